@@ -19,8 +19,22 @@ from tidemark import constants as K
 from tidemark.functions.buckets import time_bucket
 
 
-def _schema(*ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(ddl))
+_TYPES = {
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "DOUBLE": T.DoubleType(),
+    "BIGINT": T.LongType(),
+    "BOOLEAN": T.BooleanType(),
+    "TIMESTAMP": T.TimestampType(),
+    "DECIMAL(18,6)": T.DecimalType(18, 6),
+    "MAP<STRING, STRING>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def table_schema(*columns: str) -> T.StructType:
+    """Schema of "name TYPE" texts. Unlike a DDL string it needs no session."""
+    pairs = [c.split(" ", 1) for c in columns]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 _AUDIT = ("source STRING", "last_fetched_at TIMESTAMP")
@@ -99,7 +113,7 @@ class Dataset:
 def _curve(name: str) -> Dataset:
     return Dataset(
         name,
-        _schema(
+        table_schema(
             "date DATE",
             "tenor STRING",
             "value DOUBLE",
@@ -116,7 +130,7 @@ def _curve(name: str) -> Dataset:
 def _ecb(name: str) -> Dataset:
     return Dataset(
         name,
-        _schema("date DATE", "value DOUBLE", "series_label STRING", "series_id STRING", *_AUDIT),
+        table_schema("date DATE", "value DOUBLE", "series_label STRING", "series_id STRING", *_AUDIT),
         keys=("date", "series_label"),
         bucket_width="quarter",
         lookback_days=7,
@@ -127,7 +141,7 @@ def _ecb(name: str) -> Dataset:
 def _statement(name: str, *columns: str) -> Dataset:
     return Dataset(
         name,
-        _schema(*_STATEMENT_HEAD, *columns, *_AUDIT, _EXTRA),
+        table_schema(*_STATEMENT_HEAD, *columns, *_AUDIT, _EXTRA),
         keys=("ticker", "fiscal_date_ending", "report_type"),
         gate=NOT_EMPTY,
         date_column="fiscal_date_ending",
@@ -140,7 +154,7 @@ def _statement(name: str, *columns: str) -> Dataset:
 def _adjusted(name: str, width: str) -> Dataset:
     return Dataset(
         name,
-        _schema(
+        table_schema(
             "ticker STRING",
             "date DATE",
             "interval STRING",
@@ -172,7 +186,7 @@ _DATASETS = [
     _ecb("ecb_monetary_aggregates"),
     Dataset(
         "euro_area_yield_curve",
-        _schema(
+        table_schema(
             "date DATE",
             "value DOUBLE",
             "maturity STRING",
@@ -189,7 +203,7 @@ _DATASETS = [
     ),
     Dataset(
         "gov_bond_yields",
-        _schema(
+        table_schema(
             "date DATE",
             "value DOUBLE",
             "country STRING",
@@ -207,7 +221,7 @@ _DATASETS = [
     ),
     Dataset(
         "eurostat_hicp",
-        _schema(
+        table_schema(
             "date DATE",
             "value DOUBLE",
             "country STRING",
@@ -224,7 +238,7 @@ _DATASETS = [
     ),
     Dataset(
         "eurostat_gdp",
-        _schema(
+        table_schema(
             "date DATE",
             "value DOUBLE",
             "country STRING",
@@ -241,7 +255,7 @@ _DATASETS = [
     ),
     Dataset(
         "daily_bars",
-        _schema(
+        table_schema(
             "ticker STRING",
             "date DATE",
             "open DOUBLE",
@@ -259,7 +273,7 @@ _DATASETS = [
     ),
     Dataset(
         "daily_open_close",
-        _schema(
+        table_schema(
             "ticker STRING",
             "date DATE",
             "open DOUBLE",
@@ -278,7 +292,7 @@ _DATASETS = [
     ),
     Dataset(
         "ticker_details",
-        _schema(
+        table_schema(
             "ticker STRING",
             "name STRING",
             "market STRING",
@@ -303,7 +317,7 @@ _DATASETS = [
     ),
     Dataset(
         "ticker_list",
-        _schema(
+        table_schema(
             "ticker STRING",
             "market STRING",
             "name STRING",
@@ -354,7 +368,7 @@ _DATASETS = [
     ),
     Dataset(
         "overview",
-        _schema(
+        table_schema(
             "ticker STRING",
             "asset_type STRING",
             "name STRING",
@@ -380,7 +394,7 @@ _DATASETS = [
     _adjusted("monthly_adjusted", "year"),
     Dataset(
         "options",
-        _schema(
+        table_schema(
             "underlying STRING",
             "type STRING",
             "expiry DATE",
@@ -456,7 +470,7 @@ def _table(name, datasets, columns, primary_key, source, **kw) -> TableSpec:
     return TableSpec(
         name,
         tuple(datasets),
-        _schema(*columns, *_AUDIT),
+        table_schema(*columns, *_AUDIT),
         tuple(primary_key),
         source,
         not_null=tuple(primary_key) + tuple(not_null),

@@ -214,10 +214,3 @@ def chains_to_long(
     changes["source"] = F.lit(source)
     changes["last_fetched_at"] = F.col("snapshot_ts")
     return conform(both.withColumns(changes), schema)
-
-
-def requested_vs_available(
-    requested: DataFrame, available: DataFrame, on: str | list[str]
-) -> tuple[DataFrame, DataFrame]:
-    """The requested keys that exist, and those that do not."""
-    return requested.join(available, on, "left_semi"), requested.join(available, on, "left_anti")

@@ -125,5 +125,5 @@ def file_info(spark: SparkSession, path: str) -> DataFrame:
         "modified",
         F.lit(df.count()).alias("rows"),
         F.lit(len(df.columns)).alias("columns"),
-        F.lit(int(memory.toString())).cast("bigint").alias("memory_bytes"),
+        F.lit(int(str(memory))).cast("bigint").alias("memory_bytes"),
     )

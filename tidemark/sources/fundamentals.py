@@ -79,15 +79,15 @@ def fundamentals(landed: DataFrame, statement: str, batch_ts: dt.datetime | str)
     sections = {"annual": f"annual{suffix}", "quarterly": f"quarterly{suffix}"}
     reports = "array<map<string,string>>"
     payload = F.from_json("raw", ", ".join(f"{s} {reports}" for s in sections.values()))
-    tagged = [
-        F.transform(
+
+    def tagged(kind: str, section: str) -> Column:
+        return F.transform(
             F.coalesce(F.col("payload")[section], F.array().cast(reports)),
-            lambda r, kind=kind: F.struct(F.lit(kind).alias("report_type"), r.alias("report")),
+            lambda r: F.struct(F.lit(kind).alias("report_type"), r.alias("report")),
         )
-        for kind, section in sections.items()
-    ]
+
     rows = landed.select("symbol", payload.alias("payload")).select(
-        "symbol", F.inline(F.concat(*tagged))
+        "symbol", F.inline(F.concat(*[tagged(k, s) for k, s in sections.items()]))
     )
     currency = F.when(
         F.map_contains_key("report", F.lit("reportedCurrency")), F.col("report")["reportedCurrency"]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import DATASETS
 from tidemark.functions import first_available, strict_date, to_decimal6
+from tidemark.operators.joins import requested_vs_available
 from tidemark.operators.merge import dedupe_grain
-from tidemark.operators.reshape import chains_to_long, requested_vs_available
+from tidemark.operators.reshape import chains_to_long
 
 CHAIN_PAYLOAD = (
     "contractSymbol STRING, lastTradeDate TIMESTAMP, strike DOUBLE, lastPrice DOUBLE, "
