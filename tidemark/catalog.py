@@ -4,7 +4,9 @@ A ``Dataset`` says everything the jobs need, so one code path serves all of
 them. Stored tables are bucketed by time (or by country / market) and sorted
 by the lookup columns inside each bucket. A daily batch therefore rewrites
 only the newest buckets, however many tickers there are, and a lookup by
-ticker is served by the min/max statistics of the sorted files.
+ticker is served by the min/max statistics of the sorted files. Buckets are as
+wide as the volume asks for: years for series, months for bars, days for option
+chains.
 """
 
 from __future__ import annotations
@@ -106,8 +108,13 @@ class Dataset:
 
     @property
     def sort_columns(self) -> tuple[str, ...]:
-        lead = self.cluster_by or self.keys
-        return lead + tuple(k for k in self.keys if k not in lead)
+        """Sort order inside a bucket: lookup columns first, then the rest of the key."""
+        return self.cluster_by + tuple(k for k in self.keys if k not in self.cluster_by)
+
+    @property
+    def write_keys(self) -> tuple[str, ...]:
+        """The key in the order rows are sorted by."""
+        return tuple(c for c in self.sort_columns if c in self.keys)
 
 
 def _curve(name: str) -> Dataset:
@@ -122,8 +129,9 @@ def _curve(name: str) -> Dataset:
             *_AUDIT,
         ),
         keys=("date", "tenor", "fred_series_id"),
+        bucket_width="year",
         lookback_days=7,
-        cluster_by=("component", "tenor", "date"),
+        cluster_by=("tenor", "fred_series_id", "date"),
     )
 
 
@@ -132,7 +140,7 @@ def _ecb(name: str) -> Dataset:
         name,
         table_schema("date DATE", "value DOUBLE", "series_label STRING", "series_id STRING", *_AUDIT),
         keys=("date", "series_label"),
-        bucket_width="quarter",
+        bucket_width="year",
         lookback_days=7,
         cluster_by=("series_label", "date"),
     )
@@ -198,7 +206,7 @@ _DATASETS = [
             *_AUDIT,
         ),
         keys=("date", "maturity", "curve_type", "bond_type", "country"),
-        bucket_width="quarter",
+        bucket_width="year",
         cluster_by=("maturity", "curve_type", "date"),
     ),
     Dataset(
@@ -233,7 +241,7 @@ _DATASETS = [
             *_AUDIT,
         ),
         keys=("date", "country", "item", "unit"),
-        bucket_width="quarter",
+        bucket_width="year",
         cluster_by=("country", "item", "date"),
     ),
     Dataset(

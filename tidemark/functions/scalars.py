@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,15 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    An optimizer that pushes a filter below a projection repeats the columns
+    the filter uses; a parsed payload is too dear for that.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 # -- numbers ------------------------------------------------------------------
 
 

@@ -41,10 +41,10 @@ def last_status(
     keys: tuple[str, ...] = ("source", "dataset", "symbol"),
     order: tuple[str, ...] = ("timestamp",),
 ) -> DataFrame:
-    """The newest record per key.
+    """The newest record per key; more order columns break ties.
 
-    With one order column the newest of each key is kept per map task by a
-    hash aggregate; more columns break ties.
+    Every map task keeps one record per key before the shuffle, so a symbol
+    with very many records stays cheap.
     """
     rest = [c for c in state.columns if c not in keys]
     newest = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from tidemark.operators.union import align, merged_schema, relaxed_union
 
 _IS_NEW = "__is_new"
 _RANK = "__rank"
+_PART = "__part"
 
 
 def _has_map(t: T.DataType) -> bool:
@@ -39,7 +40,8 @@ def keep_first(df: DataFrame, keys: Iterable[str], order: list[Column]) -> DataF
     """One row per key: the first in ``order``.
 
     The rank filter lets Spark cut every key to one row per map task before
-    the shuffle, so a key with a third of all rows never lands in one task.
+    the shuffle (WindowGroupLimit), so a key with a third of all rows never
+    lands in one task.
     """
     window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
@@ -64,6 +66,46 @@ def merge_latest(
     return keep_first(both, keys, order).drop(_IS_NEW)
 
 
+def merge_arranged(
+    existing: DataFrame,
+    new: DataFrame,
+    keys: Iterable[str],
+    bucket: Column,
+    parts: Mapping[str | None, int],
+    fetched_at: str = "last_fetched_at",
+) -> DataFrame:
+    """``merge_latest`` whose single shuffle also lays the rows out for writing.
+
+    Rows are hashed by bucket and, in large buckets, by a part number drawn
+    from the key, so that a bucket with a third of all rows is spread over
+    ``parts[bucket]`` tasks. Both are functions of the key: the window needs no
+    shuffle of its own, and the result is sorted by ``bucket`` and key. The
+    batch is deduplicated first, so a key that repeats in it is cut to one row
+    per map task; ``existing`` has one row per key already.
+    """
+    keys = list(keys)
+    both = relaxed_union(
+        existing.withColumn(_IS_NEW, F.lit(0)),
+        dedupe_grain(new, keys, fetched_at).withColumn(_IS_NEW, F.lit(1)),
+    )
+    order = [F.col(_IS_NEW).desc(), row_hash(both).desc()]
+    if fetched_at in both.columns:
+        order.insert(0, F.col(fetched_at).desc_nulls_last())
+    count = F.lit(1)
+    for name, n in parts.items():
+        if n > 1:
+            count = F.when(F.col("bucket").eqNullSafe(F.lit(name)), F.lit(n)).otherwise(count)
+    hashed = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    placed = both.withColumn("bucket", bucket).withColumn(_PART, F.pmod(hashed, count))
+    # Twice as many tasks as parts of large buckets; small buckets share them.
+    tasks = 2 * sum(n for n in parts.values() if n > 1)
+    if tasks > int(existing.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        placed = placed.repartition(tasks, "bucket", _PART)
+    else:
+        placed = placed.repartition("bucket", _PART)
+    return keep_first(placed, ["bucket", _PART, *keys], order).drop(_IS_NEW, _PART)
+
+
 def dedupe_grain(
     df: DataFrame, keys: Iterable[str], fetched_at: str = "last_fetched_at"
 ) -> DataFrame:
@@ -91,10 +133,11 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Iterable[str]) -> DataFram
     if not kept:
         untouched = existing.join(new.select(*keys), keys, "left_anti")
         return align(relaxed_union(untouched, new), target)
+    # The batch is the small side: known rows take their new values in a left
+    # join that needs no shuffle of the table when the batch can be broadcast.
     renamed = {c: f"__new_{c}" for c in supplied}
-    joined = existing.join(
-        new.withColumnsRenamed(renamed).withColumn(_IS_NEW, F.lit(1)), keys, "full_outer"
-    )
+    updates = new.withColumnsRenamed(renamed).withColumn(_IS_NEW, F.lit(1))
+    joined = existing.join(updates, keys, "left")
     have = set(existing.columns)
     out = []
     for f in target:
@@ -105,4 +148,5 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Iterable[str]) -> DataFram
         else:
             value = F.col(f"`{f.name}`").cast(f.dataType)
         out.append(value.alias(f.name))
-    return joined.select(*out)
+    known = existing.select(*keys).join(new.select(*keys), keys, "left_semi")
+    return relaxed_union(joined.select(*out), new.join(known, keys, "left_anti"))

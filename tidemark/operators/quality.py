@@ -49,6 +49,18 @@ def gate_metrics(columns: Iterable[str], gate: Gate) -> list[Column]:
     return out
 
 
+def combined_metrics(columns: Iterable[str], gate: Gate) -> list[Column]:
+    """Aggregates that join ``gate_metrics`` of parts into those of the whole."""
+    have = set(columns)
+    out = [F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")]
+    for c in gate.not_all_null:
+        if c in have:
+            out.append(F.coalesce(F.sum(f"`filled:{c}`"), F.lit(0)).alias(f"filled:{c}"))
+    if gate.date_column in have:
+        out += [F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date")]
+    return out
+
+
 def _row(check: str, ok: Column, expected: Column, actual: Column) -> Column:
     return F.struct(
         F.lit(check).alias("check"),

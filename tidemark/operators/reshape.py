@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import constants as K
 from tidemark.catalog import DATASETS
@@ -20,7 +21,7 @@ from tidemark.functions import (
     to_long,
     utc_date,
 )
-from tidemark.operators.project import conform, drop_null_obs, empty_like, with_audit
+from tidemark.operators.project import conform, empty_like, with_audit
 from tidemark.operators.union import relaxed_union
 
 
@@ -154,29 +155,36 @@ def periods_to_long(
 
     Period columns are told by name; all other columns are dimensions and stay.
     """
+    kinds = {f.name: f.dataType for f in wide.schema}
     periods = [c for c in wide.columns if looks_like_period(c)]
-    dims = [c for c in wide.columns if c not in periods]
-    text = wide.select(
-        *[F.col(f"`{d}`") for d in dims], *[F.col(f"`{p}`").cast("string").alias(p) for p in periods]
-    )
+    dims = [F.col(f"`{c}`") for c in wide.columns if c not in periods]
     if not periods:
-        long = text.withColumns({"date": F.lit(None).cast("date"), "value": F.lit(None).cast("double")})
-        long = long.where(F.lit(False))
+        absent = {"date": F.lit(None).cast("date"), "value": F.lit(None).cast("double")}
+        long = wide.withColumns(absent).where(F.lit(False))
     else:
-        long = text.unpivot(
-            [F.col(f"`{d}`") for d in dims], [F.col(f"`{p}`") for p in periods], "period", "text"
-        )
-        long = long.select(
-            *[F.col(f"`{d}`") for d in dims],
-            parse_period("period").alias("date"),
-            lenient_number("text").alias("value"),
-        )
-    long = drop_null_obs(long)
+        # The date of a column is a constant, so period texts are parsed once per
+        # query, not once per row. Missing values are dropped before rows are made.
+        cells = [
+            F.struct(
+                parse_period(F.lit(p)).alias("date"), _cell_value(p, kinds[p]).alias("value")
+            )
+            for p in periods
+        ]
+        filled = F.filter(F.array(*cells), lambda c: c["date"].isNotNull() & c["value"].isNotNull())
+        long = wide.select(*dims, F.inline(filled))
     for name, value in (extra or {}).items():
         long = long.withColumn(name, value if isinstance(value, Column) else F.lit(value))
     return with_audit(long, source, batch_ts, indicator=indicator)
 
 
+def _cell_value(column: str, kind: T.DataType) -> Column:
+    """Value of a period column: text leniently, numbers as they are but for NaN."""
+    value = F.col(f"`{column}`")
+    if isinstance(kind, T.StringType):
+        return lenient_number(value)
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+
 _CHAIN_NAMES = {
     "contractSymbol": "contract_symbol",
     "lastTradeDate": "last_trade_date",

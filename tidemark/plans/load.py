@@ -12,6 +12,7 @@ from tidemark.catalog import DATASETS, TABLES, TableSpec
 from tidemark.operators.merge import dedupe_grain, upsert
 from tidemark.operators.project import conform, intersect_columns
 from tidemark.operators.union import relaxed_union
+from tidemark.plans.save import touched_buckets
 from tidemark.sinks.published import PublishedTable
 
 LOAD_SCHEMA = "table STRING, status STRING, reason STRING, rows BIGINT, columns INT"
@@ -65,10 +66,9 @@ def load_table(spark: SparkSession, store: str, spec: TableSpec | str, df: DataF
 
 
 def _upsert_table(table: PublishedTable, base, spec: TableSpec, rows: DataFrame, matched: int):
-    from tidemark.plans.save import _touched
-
-    # Every key column takes part in the bucket, so a key never leaves its bucket.
-    touched = _touched(rows, table.dataset)
+    # The bucket is a function of the key (snapshot date of the snapshot time),
+    # so a key never leaves its bucket.
+    touched = touched_buckets(rows, table.dataset)
     if touched is not None and not touched:
         return (spec.name, "skipped", "no rows", 0, matched)
     keep = None if touched is None else (lambda bucket: bucket in touched)

@@ -10,29 +10,40 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemark.catalog import DATASETS, Dataset, Gate
+from tidemark.catalog import DATASETS, Dataset
 from tidemark.operators.ledger import LEDGER_SCHEMA
-from tidemark.operators.merge import dedupe_grain, merge_latest
+from tidemark.operators.merge import dedupe_grain, merge_arranged, merge_latest
 from tidemark.operators.project import between_dates, incremental_since_by
 from tidemark.operators.quality import (
+    GateError,
+    combined_metrics,
     failing_items,
     first_failure,
     gate_metrics,
+    gate_report,
     gate_rows,
     missing_columns,
 )
 from tidemark.operators.union import align, merged_schema, relaxed_union
-from tidemark.sinks.published import Manifest, PublishedTable
+from tidemark.sinks.published import Manifest, PublishedTable, bucket_folder
 
 # More distinct buckets than this in one batch and the whole table is merged
 # instead of a list of buckets: a history load, not an increment.
 MAX_TOUCHED_BUCKETS = 20_000
 
+# Up to this many touched buckets the merge lays the rows out itself.
+MAX_ARRANGED_BUCKETS = 200
+
+# Rows of a bucket one task merges and writes.
+ROWS_PER_PART = 4_000_000
+
 
 @dataclass(frozen=True)
 class SaveOutcome:
@@ -45,15 +56,38 @@ class SaveOutcome:
     rows: int | None = None
 
 
-def _touched(new: DataFrame, dataset: Dataset) -> set[str | None] | None:
-    """Buckets of a batch, or None when they are too many to list."""
+def touched_buckets(new: DataFrame, dataset: Dataset) -> dict[str | None, int] | None:
+    """Rows of a batch per bucket, or None when the buckets are too many to list."""
     buckets = (
-        new.select(dataset.bucket_expr().alias("bucket"))
-        .distinct()
+        new.groupBy(dataset.bucket_expr().alias("bucket"))
+        .count()
         .limit(MAX_TOUCHED_BUCKETS + 1)
         .collect()
     )
-    return None if len(buckets) > MAX_TOUCHED_BUCKETS else {r["bucket"] for r in buckets}
+    if len(buckets) > MAX_TOUCHED_BUCKETS:
+        return None
+    return {r["bucket"]: r["count"] for r in buckets}
+
+
+def _stage_merged(
+    table: PublishedTable, base: Manifest, new: DataFrame, touched: dict[str | None, int] | None
+) -> tuple[int, StructType]:
+    """Merge a batch into the buckets it touches and write them; nothing is published yet."""
+    dataset = table.dataset
+    keep = None if touched is None else (lambda bucket: bucket in touched)
+    stored = table.read(manifest=base, keep=keep)
+    if touched is None or not base.buckets or len(touched) > MAX_ARRANGED_BUCKETS:
+        merged = merge_latest(stored, new, dataset.keys)
+        schema = merged_schema(base.schema, merged.schema)
+        return table.stage(align(merged, schema)), schema
+    parts = {
+        bucket: ceil((rows + table.rows_of(base, bucket)) / ROWS_PER_PART)
+        for bucket, rows in touched.items()
+    }
+    merged = merge_arranged(stored, new, dataset.write_keys, dataset.bucket_expr(), parts)
+    schema = merged_schema(base.schema, merged.drop("bucket").schema)
+    laid_out = StructType([*schema, StructField("bucket", StringType())])
+    return table.stage(align(merged, laid_out), arranged=True), schema
 
 
 def _since_start(
@@ -70,35 +104,35 @@ def _since_start(
     return between_dates(new, start=start, column=table.dataset.date_column)
 
 
-def _gate_whole(
-    table: PublishedTable, staged: DataFrame, base: Manifest, touched, gate: Gate, schema
-):
-    """First failing check of the table as it would be published, or None.
+def _audit(
+    table: PublishedTable, base: Manifest, folder: int, schema: StructType
+) -> tuple[dict[str, int], GateError | None]:
+    """Rows per bucket of a staged folder, and the first failing check of the table with it.
 
-    The staged rows are checked first. Buckets that stay as they are are read
-    only for checks that the staged rows cannot settle, and then only the
-    columns of the gate.
+    One job over the files just written gives both. Buckets that stay as they
+    are are read only for checks the staged rows cannot settle, and then only
+    the columns of the gate.
     """
-    untouched = Manifest(
-        base.version,
-        {n: b for n, b in base.buckets.items() if touched is not None and n not in touched},
-        base.schema,
+    gate, name = table.dataset.gate, table.dataset.name
+    columns = schema.fieldNames()
+    staged = table.staged(folder, schema)
+    per_bucket = staged.groupBy("bucket").agg(*gate_metrics(columns, gate))
+    counts = F.collect_list(F.struct("bucket", "rows")).alias("counts")
+    touched = set(table.staged_names(folder))
+    rest = Manifest(
+        base.version, {n: b for n, b in base.buckets.items() if n not in touched}, base.schema
     )
-    columns = [f.name for f in schema]
-    whole = staged.select(*columns)
-    report = whole.agg(*gate_metrics(columns, gate))
-    if untouched.buckets:
-        other_rows = untouched.rows
-        report = report.withColumn("rows", F.col("rows") + F.lit(other_rows))
-    rows = report.select(F.inline(F.array(*gate_rows(columns, gate)))).collect()
-    error = first_failure(rows, table.dataset.name)
+    whole = per_bucket.agg(counts, *combined_metrics(columns, gate))
+    whole = whole.withColumn("rows", F.col("rows") + F.lit(rest.rows))
+    row = whole.select("counts", F.array(*gate_rows(columns, gate)).alias("checks")).first()
+    found = {bucket_folder(c["bucket"]): c["rows"] for c in row["counts"]}
+    error = first_failure(row["checks"], name)
     bounded = gate.min_date is not None or gate.max_date is not None
-    if untouched.buckets and (error is not None or bounded):
-        rest = align(table.read(manifest=untouched), schema)
-        both = whole.unionByName(rest).agg(*gate_metrics(columns, gate))
-        rows = both.select(F.inline(F.array(*gate_rows(columns, gate)))).collect()
-        error = first_failure(rows, table.dataset.name)
-    return error
+    if rest.buckets and (error is not None or bounded):
+        others = align(table.read(manifest=rest), schema)
+        both = staged.select(*columns).unionByName(others)
+        error = first_failure(gate_report(both, gate).collect(), name)
+    return found, error
 
 
 def save_dataset(
@@ -123,29 +157,33 @@ def save_dataset(
     if absent:
         return SaveOutcome(dataset.name, "failed", f"required_columns: missing: {','.join(absent)}")
     if not base.buckets:
-        return _publish(table, base, dedupe_grain(fresh, dataset.keys), None, extra)
+        rows = dedupe_grain(fresh, dataset.keys)
+        schema = merged_schema(base.schema, rows.schema)
+        return _publish(table, base, table.stage(align(rows, schema)), schema, extra)
     # The batch is read for its buckets and again for the merge.
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = _touched(fresh, dataset)
+        touched = touched_buckets(fresh, dataset)
         if touched is not None and not touched:
             return SaveOutcome(dataset.name, "skipped", "no rows")
-        keep = None if touched is None else (lambda bucket: bucket in touched)
-        merged = merge_latest(table.read(manifest=base, keep=keep), fresh, dataset.keys)
-        return _publish(table, base, merged, touched, extra)
+        folder, schema = _stage_merged(table, base, fresh, touched)
+        return _publish(table, base, folder, schema, extra)
     finally:
         fresh.unpersist()
 
 
-def _publish(table, base, merged: DataFrame, touched, extra) -> SaveOutcome:
+def _publish(
+    table: PublishedTable,
+    base: Manifest,
+    folder: int,
+    schema: StructType,
+    extra: Mapping[str, str] | None,
+) -> SaveOutcome:
+    """Check a staged folder and publish it."""
     name = table.dataset.name
-    schema = merged_schema(base.schema, merged.schema)
-    folder = table.stage(align(merged, schema))
-    counts = table.staged_counts(folder, schema)
+    counts, error = _audit(table, base, folder, schema)
     if not counts:
         return SaveOutcome(name, "skipped", "no rows")
-    staged = table.staged(folder, schema)
-    error = _gate_whole(table, staged, base, set(counts), table.dataset.gate, schema)
     if error is not None:
         return SaveOutcome(name, "failed", str(error))
     done = table.commit(base, folder, counts, schema, extra=dict(extra or {}))
@@ -180,12 +218,8 @@ def save_by_item(
             fresh = incremental_since_by(
                 table.read(manifest=base), new, item, lookback_days, dataset.date_column
             )
-        touched = _touched(fresh, dataset) if base.buckets else None
-        keep = None if touched is None else (lambda bucket: bucket in touched)
-        stored = table.read(manifest=base, keep=keep)
-        merged = merge_latest(stored, fresh, dataset.keys)
-        schema = merged_schema(base.schema, merged.schema)
-        folder = table.stage(align(merged, schema))
+        touched = touched_buckets(fresh, dataset) if base.buckets else None
+        folder, schema = _stage_merged(table, base, fresh, touched)
         staged = table.staged(folder, schema)
         failing = failing_items(staged, item, dataset.gate)
         # Failures are rare: only they pay for a second look and a second write.

@@ -4,19 +4,21 @@ A publish writes the touched buckets into a new version folder and then adds
 one manifest file that says, for every bucket, which version folder holds it:
 
     <root>/v=3/bucket=2024-01-01/part-*.parquet
-    <root>/_manifests/00000003.json
+    <root>/manifests/00000003.json
 
 The newest manifest is the table. Readers resolve it once, so they see one
 whole version, also while the next one is being written; a job that dies
 before its manifest leaves nothing visible. Buckets that were not touched are
 not rewritten. The manifest grows with the number of buckets (days, months,
-countries), never with the rows or files.
+countries), never with the rows or files. It also is the lineage record of its
+publish: rows, columns with their types, write time and the caller's extras.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -49,12 +51,20 @@ class Manifest:
     def rows(self) -> int:
         return sum(b["rows"] for b in self.buckets.values())
 
-    def to_json(self, written_at: str) -> str:
+    def to_json(self, dataset: str, location: str, written_at: str, extra: dict) -> str:
         return json.dumps(
             {
+                "dataset": dataset,
                 "version": self.version,
+                "location": location,
+                "row_count": self.rows,
+                "column_count": len(self.schema),
+                "columns": [
+                    {"name": f.name, "dtype": f.dataType.simpleString()} for f in self.schema
+                ],
                 "written_at": written_at,
-                "schema": json.loads(self.schema.json()),
+                "extra": {k: str(v) for k, v in extra.items()},
+                "schema": self.schema.jsonValue(),
                 "buckets": self.buckets,
             }
         )
@@ -86,11 +96,11 @@ class PublishedTable:
         return [s.getPath().getName() for s in fs.listStatus(target)]
 
     def _manifest_versions(self) -> list[int]:
-        names = self._names(f"{self.root}/_manifests")
+        names = self._names(f"{self.root}/manifests")
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
 
     def _manifest_path(self, version: int) -> str:
-        return f"{self.root}/_manifests/{version:08d}.json"
+        return f"{self.root}/manifests/{version:08d}.json"
 
     # -- reading --------------------------------------------------------------
 
@@ -98,6 +108,7 @@ class PublishedTable:
         return bool(self._manifest_versions())
 
     def manifest(self, version: int | None = None) -> Manifest:
+        """The newest manifest, or an older one by version; empty before the first publish."""
         versions = self._manifest_versions()
         if not versions:
             return Manifest(0, {}, self.dataset.schema)
@@ -166,6 +177,10 @@ class PublishedTable:
 
         return keep
 
+    def rows_of(self, manifest: Manifest, bucket: str | None) -> int:
+        entry = manifest.buckets.get(bucket_folder(bucket))
+        return entry["rows"] if entry else 0
+
     def max_date(self) -> dt.date | None:
         """Latest date, read from the newest bucket alone where buckets are periods."""
         column = self.dataset.date_column
@@ -185,9 +200,17 @@ class PublishedTable:
         used = [int(n[2:]) for n in self._names(self.root) if n.startswith("v=")]
         return max([self.manifest().version, *used], default=0) + 1
 
-    def stage(self, df: DataFrame, order: Iterable[str] | None = None, dense: bool = False) -> int:
+    def stage(
+        self,
+        df: DataFrame,
+        order: Iterable[str] | None = None,
+        dense: bool = False,
+        arranged: bool = False,
+    ) -> int:
         """Write rows into a new version folder; nothing is visible until ``commit``.
 
+        ``arranged`` rows carry their ``bucket`` and are laid out already.
+
         The rebalance puts the rows of a bucket together, splits large buckets
         over many tasks and joins small ones, so neither a hot bucket nor many
         tiny files arise. ``dense`` range-partitions by bucket and sort order
@@ -195,17 +218,17 @@ class PublishedTable:
         """
         folder = self._next_folder()
         sort = list(order or self.dataset.sort_columns)
-        out = df.withColumn("bucket", self.dataset.bucket_expr())
-        sort_by = [F.expr(c) if " " not in c else _ordering(c) for c in sort]
-        if dense:
-            out = out.repartitionByRange(F.col("bucket"), *sort_by)
+        sort_by = [_ordering(c) for c in sort]
+        if arranged:
+            out = df.sortWithinPartitions("bucket")
         else:
-            out = out.hint("rebalance", F.col("bucket"))
-        writer = (
-            out.sortWithinPartitions(F.col("bucket"), *sort_by)
-            .write.partitionBy("bucket")
-            .option("compression", "zstd")
-        )
+            out = df.withColumn("bucket", self.dataset.bucket_expr())
+            if dense:
+                out = out.repartitionByRange(F.col("bucket"), *sort_by)
+            else:
+                out = out.hint("rebalance", F.col("bucket"))
+            out = out.sortWithinPartitions(F.col("bucket"), *sort_by)
+        writer = out.write.partitionBy("bucket").option("compression", "zstd")
         for column in self.dataset.bloom_columns:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.mode("errorifexists").parquet(f"{self.root}/v={folder}")
@@ -216,6 +239,10 @@ class PublishedTable:
         stored = T.StructType(list(schema) + [T.StructField("bucket", T.StringType())])
         return self.spark.read.schema(stored).parquet(f"{self.root}/v={folder}")
 
+    def staged_names(self, folder: int) -> list[str]:
+        """Bucket folders of a staged folder."""
+        return [n for n in self._names(f"{self.root}/v={folder}") if n.startswith("bucket=")]
+
     def staged_counts(self, folder: int, schema: T.StructType) -> dict[str, int]:
         """Rows per bucket of what was written, read back from the files.
 
@@ -223,7 +250,7 @@ class PublishedTable:
         executor is lost; the files cannot. One row per bucket is collected.
         """
         rows = self.staged(folder, schema).groupBy("bucket").count().collect()
-        return {_folder_name(r["bucket"]): r["count"] for r in rows}
+        return {bucket_folder(r["bucket"]): r["count"] for r in rows}
 
     def commit(
         self,
@@ -243,37 +270,24 @@ class PublishedTable:
         for name, rows in counts.items():
             buckets[name] = {"v": folder, "rows": rows, "compacted": compacted}
         merged = Manifest(base.version + 1, buckets, schema)
-        written_at = dt.datetime.now(dt.timezone.utc)
-        self._write_manifest(merged, written_at.isoformat())
-        self._record_lineage(merged, written_at, extra or {})
+        self._write_manifest(merged, extra or {})
         return merged
 
-    def _write_manifest(self, manifest: Manifest, written_at: str) -> None:
+    def _write_manifest(self, manifest: Manifest, extra: dict) -> None:
         fs = self._fs()
+        written_at = dt.datetime.now(dt.timezone.utc).isoformat()
+        text = manifest.to_json(self.dataset.name, self.root, written_at, extra)
         target = self._path(self._manifest_path(manifest.version))
-        draft = self._path(f"{self.root}/_manifests/.{manifest.version:08d}-{written_at.replace(':', '')}")
+        draft = self._path(f"{self.root}/manifests/.{manifest.version:08d}-{uuid.uuid4().hex}")
         stream = fs.create(draft, True)
-        stream.write(bytearray(manifest.to_json(written_at), "utf-8"))
+        stream.write(bytearray(text, "utf-8"))
         stream.close()
         # The rename is the commit; it must not replace another writer's manifest.
         if fs.exists(target) or not fs.rename(draft, target):
             fs.delete(draft, False)
-            raise ConcurrentPublish(f"{self.root}: version {manifest.version} was published already")
-
-    def _record_lineage(self, manifest: Manifest, written_at: dt.datetime, extra: dict) -> None:
-        columns = [(f.name, f.dataType.simpleString()) for f in manifest.schema]
-        row = (
-            self.dataset.name,
-            manifest.version,
-            self.root,
-            manifest.rows,
-            len(columns),
-            columns,
-            written_at,
-            {k: str(v) for k, v in extra.items()},
-        )
-        meta = self.spark.createDataFrame([row], META_SCHEMA).coalesce(1)
-        meta.write.mode("append").parquet(f"{self.store}/_dataset_meta")
+            raise ConcurrentPublish(
+                f"{self.root}: version {manifest.version} was published already"
+            )
 
     def replace(self, df: DataFrame, extra: dict[str, str] | None = None) -> Manifest:
         """Replace the whole table: all or nothing."""
@@ -293,19 +307,18 @@ class PublishedTable:
         used = {b["v"] for m in recent for b in m.buckets.values()}
         # Folders newer than the newest manifest may belong to a running job.
         newest = max((b["v"] for b in recent[-1].buckets.values()), default=0)
+        # Manifests stay: they are the lineage.
         fs, gone = self._fs(), []
         for name in self._names(self.root):
             if name.startswith("v=") and int(name[2:]) not in used and int(name[2:]) < newest:
                 fs.delete(self._path(f"{self.root}/{name}"), True)
                 gone.append(int(name[2:]))
-        for version in versions[:-keep]:
-            fs.delete(self._path(self._manifest_path(version)), False)
         return sorted(gone)
 
 
 def read_lineage(spark: SparkSession, store: str) -> DataFrame:
-    """The lineage table: one row per publish."""
-    return spark.read.schema(META_SCHEMA).parquet(f"{store.rstrip('/')}/_dataset_meta")
+    """The lineage table: one row per publish of every dataset of a store."""
+    return spark.read.schema(META_SCHEMA).json(f"{store.rstrip('/')}/*/manifests/*.json")
 
 
 def bucket_start(width: str, day: dt.date) -> dt.date:
@@ -320,7 +333,7 @@ def bucket_start(width: str, day: dt.date) -> dt.date:
 
 
 def _ordering(column: str):
-    name, direction = column.rsplit(" ", 1)
+    name, _, direction = column.partition(" ")
     return F.col(name).desc() if direction.upper() == "DESC" else F.col(name).asc()
 
 
@@ -331,7 +344,7 @@ def _bucket_value(folder: str) -> str | None:
     return None if value == _NULL_BUCKET else value
 
 
-def _folder_name(bucket: str | None) -> str:
+def bucket_folder(bucket: str | None) -> str:
     """Folder name of a bucket value, with the escapes Spark uses for partitions."""
     if bucket is None or bucket == "":
         return f"bucket={_NULL_BUCKET}"

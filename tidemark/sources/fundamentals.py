@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from tidemark import constants as K
 from tidemark.catalog import DATASETS
 from tidemark.functions import (
+    bind,
     lenient_date,
     null_token_number,
     null_token_text,
     series_label,
     snake_case,
-    strict_date,
     to_long,
 )
 from tidemark.operators.project import with_audit
@@ -138,14 +138,16 @@ def adjusted_series(landed: DataFrame, interval: str, batch_ts: dt.datetime | st
     if interval not in INTERVALS:
         raise ValueError(f"unknown interval {interval!r}, must be one of {INTERVALS}")
     days = F.from_json(_series_block(F.col("raw")), "map<string,map<string,string>>")
-    rows = (
-        landed.select(F.upper("symbol").alias("ticker"), days.alias("days"))
-        .where(~F.exists(F.map_keys("days"), lambda d: lenient_date(d).isNull()))
-        .select("ticker", F.explode("days").alias("day", "values"))
+    sound = bind(
+        days,
+        lambda d: F.when(~F.exists(F.map_keys(d), lambda day: lenient_date(day).isNull()), d),
+    )
+    rows = landed.select(
+        F.upper("symbol").alias("ticker"), F.explode(sound).alias("day", "values")
     )
     shaped = rows.select(
         "ticker",
-        strict_date("day").alias("date"),
+        F.col("day").cast("date").alias("date"),
         F.lit(interval).alias("interval"),
         F.transform_keys("values", lambda k, v: series_label(k)).alias("fields"),
     )

@@ -10,30 +10,37 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.catalog import DATASETS
-from tidemark.functions import dot_to_null, lenient_date, lenient_number, parse_period, strict_date
+from tidemark.functions import bind, lenient_date, lenient_number, parse_period
 from tidemark.operators.project import between_dates, conform, select_series, with_audit
 from tidemark.operators.reshape import map_series_id
-from tidemark.sources.landed import quarantine
+from tidemark.sources.landed import is_broken_json, quarantine
 
 _OBSERVATIONS = "observations ARRAY<STRUCT<date: STRING, value: STRING>>"
 
 
 def _observations() -> Column:
-    return F.from_json("raw", _OBSERVATIONS)["observations"]
+    """Typed observations of a payload; ``bad`` says what is wrong with one."""
+    items = F.from_json("raw", _OBSERVATIONS)["observations"]
+
+    def typed(item: Column) -> Column:
+        date, text = lenient_date(item["date"]), F.nullif(item["value"], F.lit("."))
+        value = text.try_cast("double")
+        bad = F.when(date.isNull(), F.lit("bad date")).when(
+            text.isNotNull() & value.isNull(), F.lit("bad value")
+        )
+        return F.struct(date.alias("date"), value.alias("value"), bad.alias("bad"))
+
+    return F.transform(items, typed)
+
+
+def _first_bad(items: Column) -> Column:
+    return F.try_element_at(F.filter(items, lambda o: o["bad"].isNotNull()), F.lit(1))["bad"]
 
 
 def observations_problem() -> Column:
     """Why an observation payload cannot be used, else null."""
-    items = _observations()
-    bad_date = F.exists(items, lambda o: lenient_date(o["date"]).isNull())
-    bad_value = F.exists(
-        items,
-        lambda o: (o["value"] != ".") & o["value"].isNotNull() & o["value"].try_cast("double").isNull(),
-    )
-    return (
-        F.when(F.from_json("raw", "map<string,string>").isNull(), F.lit("not JSON"))
-        .when(bad_date, F.lit("bad date"))
-        .when(bad_value, F.lit("bad value"))
+    return F.when(is_broken_json(F.col("raw")), F.lit("not JSON")).otherwise(
+        _first_bad(_observations())
     )
 
 
@@ -42,22 +49,11 @@ def fred_observations(
 ) -> DataFrame:
     """Observation payloads, one per tenor, to ``tenor, date, value``. "." is a missing value.
 
-    Payloads with a problem are left out; see ``fred_quarantine``.
+    A payload with a bad observation is left out whole; see ``fred_quarantine``.
     """
-    # The payload is parsed once: the checks run on the parsed array.
-    parsed = landed.select("symbol", _observations().alias("items"))
-    sound = ~F.exists(
-        "items",
-        lambda o: lenient_date(o["date"]).isNull()
-        | ((o["value"] != ".") & o["value"].isNotNull() & o["value"].try_cast("double").isNull()),
-    )
-    rows = parsed.where(sound).select("symbol", F.inline("items"))
-    tidy = rows.select(
-        F.col("symbol").alias("tenor"),
-        strict_date("date").alias("date"),
-        dot_to_null("value").alias("value"),
-    )
-    return between_dates(tidy, start, end)
+    sound = bind(_observations(), lambda items: F.when(_first_bad(items).isNull(), items))
+    rows = landed.select(F.col("symbol").alias("tenor"), F.inline(sound)).drop("bad")
+    return between_dates(rows, start, end)
 
 
 def fred_quarantine(landed: DataFrame) -> DataFrame:
