@@ -29,11 +29,14 @@ def retain(table: PublishedTable, months: int, now: dt.date) -> int:
     days = {n: _day(n) for n in base.buckets}
     old = [n for n, day in days.items() if day is not None and day < edge]
     cut = [n for n, day in days.items() if day == edge and edge < limit]
+    rows = table.read(manifest=base, keep=lambda b: b == edge.isoformat())
+    if cut:
+        expired = F.col(dataset.date_column).cast("date") < F.lit(limit)
+        cut = [] if rows.where(expired).isEmpty() else cut
     if not old and not cut:
         return base.rows
     folder, counts = None, {}
     if cut:
-        rows = table.read(manifest=base, keep=lambda b: b == edge.isoformat())
         folder = table.stage(retained(rows, dataset.date_column, months, now))
         counts = table.staged_counts(folder, base.schema)
     return table.commit(base, folder, counts, base.schema, drop=old + cut).rows
