@@ -133,11 +133,10 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Iterable[str]) -> DataFram
     if not kept:
         untouched = existing.join(new.select(*keys), keys, "left_anti")
         return align(relaxed_union(untouched, new), target)
-    # The batch is the small side: known rows take their new values in a left
-    # join that needs no shuffle of the table when the batch can be broadcast.
+    # Keys are unique on both sides, so no task can get more than its share.
     renamed = {c: f"__new_{c}" for c in supplied}
     updates = new.withColumnsRenamed(renamed).withColumn(_IS_NEW, F.lit(1))
-    joined = existing.join(updates, keys, "left")
+    joined = existing.join(updates, keys, "full_outer")
     have = set(existing.columns)
     out = []
     for f in target:
@@ -148,5 +147,4 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Iterable[str]) -> DataFram
         else:
             value = F.col(f"`{f.name}`").cast(f.dataType)
         out.append(value.alias(f.name))
-    known = existing.select(*keys).join(new.select(*keys), keys, "left_semi")
-    return relaxed_union(joined.select(*out), new.join(known, keys, "left_anti"))
+    return joined.select(*out)

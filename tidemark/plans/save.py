@@ -214,11 +214,12 @@ def save_by_item(
         new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fresh = new
+        touched = touched_buckets(new, dataset) if base.buckets else None
         if lookback_days is not None and base.buckets:
-            fresh = incremental_since_by(
-                table.read(manifest=base), new, item, lookback_days, dataset.date_column
-            )
-        touched = touched_buckets(fresh, dataset) if base.buckets else None
+            # The start dates come from all buckets, unless a bucket is an item.
+            own = touched is not None and dataset.bucket_column == item
+            known = table.read(manifest=base, keep=touched.__contains__ if own else None)
+            fresh = incremental_since_by(known, new, item, lookback_days, dataset.date_column)
         folder, schema = _stage_merged(table, base, fresh, touched)
         staged = table.staged(folder, schema)
         failing = failing_items(staged, item, dataset.gate)
