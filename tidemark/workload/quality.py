@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog import Gate
+from tidemark.catalog import OPTIONS_GATE, Gate
 from tidemark.operators.ledger import failed_symbols, last_status, run_items, run_report, task_report
 from tidemark.operators.profile import column_stats, dataset_summary, null_profile, numeric_summary
 from tidemark.operators.quality import (
@@ -59,6 +59,24 @@ def _gate_by_item(spark, sf):
     return gate_report_by(_keyed_orders(spark, sf), "ticker", Gate()).select("ticker", "check", "ok")
 
 
+@query("gate_options", """
+    SELECT unnest(['not_empty', 'row_count', 'required_columns', 'not_all_null']) AS "check",
+           unnest([count(*) > 0, count(*) >= 1, true, count(l_shipdate) > 0]) AS ok
+    FROM lineitem""")
+def _gate_options(spark, sf):
+    # Line items as contracts, against the gate of the option chain.
+    chain = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("underlying"),
+        F.col("l_linestatus").alias("type"),
+        F.col("l_shipdate").cast("date").alias("expiry"),
+        F.col("l_partkey").cast("string").alias("contract_symbol"),
+        F.col("l_extendedprice").alias("strike"),
+        F.col("l_shipdate").alias("snapshot_ts"),
+        F.col("l_shipdate").cast("date").alias("snapshot_date"),
+    )
+    return gate_report(chain, OPTIONS_GATE).select("check", "ok")
+
+
 @query("failing_items", "SELECT '3-MEDIUM' AS ticker, 'not_all_null: all null: date' AS reason")
 def _failing_items(spark, sf):
     return failing_items(_keyed_orders(spark, sf), "ticker", Gate())

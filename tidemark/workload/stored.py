@@ -335,6 +335,46 @@ def _compact_table(spark, sf):
     return rows.withColumn("compacted", F.col("bucket").isin(done))
 
 
+@query("ingest_bars", """
+    SELECT ticker, date, price AS close, event_id AS transactions FROM (
+      SELECT upper(event_type) AS ticker, CAST(CAST(ts AS DATE) AS VARCHAR) AS date,
+             round(value * 100) AS price, event_id,
+             row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC) AS rn
+      FROM events)
+    WHERE rn = 1""")
+def _ingest_bars(spark, sf):
+    # Landed JSON lines, one bar per ticker and day, through feed, merge, gate and store.
+    from tidemark.plans.feeds import ingest
+
+    root = scratch_root(spark, "landing")
+    last = table(spark, sf, "events").groupBy("event_type", F.col("ts").cast("date").alias("day")).agg(
+        F.max_by(F.struct(cents("value").alias("close"), F.col("event_id").alias("transactions")), "ts").alias("bar")
+    )
+    millis = F.unix_date("day").cast("bigint") * 86_400_000
+    last.select(F.col("event_type").alias("ticker"), millis.alias("timestamp"), "bar.*").write.json(
+        f"{root}/landed/daily_bars"
+    )
+    ingest(spark, f"{root}/store", f"{root}/landed", "daily_bars", BATCH_TS)
+    rows = save.read_dataset(spark, f"{root}/store", "daily_bars")
+    return shown(rows.select("ticker", "date", "close", "transactions"))
+
+
+@query("save_ticker_list", """
+    SELECT p_type AS market, lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS ticker, p_brand AS name FROM part""")
+def _save_ticker_list(spark, sf):
+    # The listing comes twice; the later names win.
+    store = scratch_root(spark, "listing")
+    for column, fetched in (("p_name", "2024-06-01"), ("p_brand", "2024-06-02")):
+        batch = table(spark, sf, "part").select(
+            F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("ticker"),
+            F.col("p_type").alias("market"),
+            F.col(column).alias("name"),
+            F.lit(fetched).cast("timestamp").alias("last_fetched_at"),
+        )
+        save.save_by_item(spark, store, "ticker_list", batch)
+    return save.read_dataset(spark, store, "ticker_list").select("market", "ticker", "name")
+
+
 @query("read_dates", f"""
     WITH {_DAILY_BARS}
     SELECT ticker, CAST(date AS VARCHAR) AS date, price AS close FROM daily
