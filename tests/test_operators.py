@@ -367,6 +367,10 @@ def test_single_row_has_no_deviation(spark):
     assert numeric_summary(spark.createDataFrame([(2.0,)], "a DOUBLE")).first()["std"] is None
 
 
+def test_summary_without_numeric_columns_is_empty(spark):
+    assert numeric_summary(spark.createDataFrame([("x",)], "a STRING")).count() == 0
+
+
 def test_nested_columns_are_profiled(spark):
     df = spark.createDataFrame([({"a": "1"}, [1]), ({"a": "1"}, [2])], "m MAP<STRING,STRING>, l ARRAY<INT>")
     assert {r["column"]: r["uniques"] for r in column_stats(df).collect()} == {"m": 1, "l": 2}

@@ -22,6 +22,7 @@ from tidemark.operators.ledger import (
     task_report,
 )
 from tidemark.plans import load, rollup, save, upkeep
+from tidemark.session import scratch_root
 from tidemark.sinks import ConcurrentPublish, PublishedTable
 from tidemark.sinks.published import read_lineage
 from tidemark.streaming import landed_stream, merge_stream
@@ -169,6 +170,17 @@ def test_lineage(spark, store):
     assert row["extra"] == {"run": "7"} and row["written_at"] is not None
 
 
+def test_scratch_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    one, two = scratch_root(spark, "x"), scratch_root(spark, "x")
+    assert one.startswith(f"{shared}/x-") and one != two
+
+
+def test_key_reads_need_a_key(spark, store):
+    with pytest.raises(ValueError):
+        PublishedTable(spark, store, DATASETS["ecb_hicp"]).read_key("x")
+
+
 # -- by item ------------------------------------------------------------------
 
 

@@ -130,6 +130,9 @@ def column_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
 def numeric_summary(df: DataFrame) -> DataFrame:
     """Numeric columns: min, max, mean and sample standard deviation."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    if not numeric:
+        schema = "column STRING, min DOUBLE, max DOUBLE, mean DOUBLE, std DOUBLE"
+        return df.sparkSession.createDataFrame([], schema)
     stats = {"min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev_samp}
     one = df.agg(
         *[fn(_name(c)).cast("double").alias(f"{s}:{c}") for c in numeric for s, fn in stats.items()]

@@ -76,7 +76,8 @@ def _upsert_table(table: PublishedTable, base, spec: TableSpec, rows: DataFrame,
     folder = table.stage(conform(with_defaults(merged, spec), spec.schema))
     counts = table.staged_counts(folder, spec.schema)
     table.commit(base, folder, counts, spec.schema)
-    return (spec.name, "upserted", None, rows.count(), matched)
+    upserted = rows.count() if touched is None else sum(touched.values())
+    return (spec.name, "upserted", None, upserted, matched)
 
 
 def load_all(

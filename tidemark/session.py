@@ -39,5 +39,6 @@ def scratch_root(spark: SparkSession, label: str) -> str:
     as in local tests, a temporary folder of this machine is used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tidemark-")
     return f"{base}/{label}-{uuid.uuid4().hex}"

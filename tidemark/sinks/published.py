@@ -152,6 +152,8 @@ class PublishedTable:
         equality is pushed down to files sorted by it.
         """
         key, column = key.upper(), self.dataset.item_column
+        if column is None:
+            raise ValueError(f"{self.dataset.name} is not kept by ticker, country or market")
         if self.dataset.bucket_column == column:
             return self.read(keep=lambda bucket: bucket is not None and bucket.upper() == key)
         return self.read().where(F.col(column) == F.lit(key))
