@@ -21,7 +21,7 @@ from tidemark.functions import (
     to_long,
     utc_date,
 )
-from tidemark.operators.project import conform, empty_like, with_audit
+from tidemark.operators.project import conform, drop_null_obs, empty_like, with_audit
 from tidemark.operators.union import relaxed_union
 
 
@@ -163,15 +163,14 @@ def periods_to_long(
         long = wide.withColumns(absent).where(F.lit(False))
     else:
         # The date of a column is a constant, so period texts are parsed once per
-        # query, not once per row. Missing values are dropped before rows are made.
+        # query, not once per row.
         cells = [
             F.struct(
                 parse_period(F.lit(p)).alias("date"), _cell_value(p, kinds[p]).alias("value")
             )
             for p in periods
         ]
-        filled = F.filter(F.array(*cells), lambda c: c["date"].isNotNull() & c["value"].isNotNull())
-        long = wide.select(*dims, F.inline(filled))
+        long = drop_null_obs(wide.select(*dims, F.inline(F.array(*cells))))
     for name, value in (extra or {}).items():
         long = long.withColumn(name, value if isinstance(value, Column) else F.lit(value))
     return with_audit(long, source, batch_ts, indicator=indicator)
