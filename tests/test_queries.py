@@ -1,11 +1,12 @@
-"""Every registered query against its SQL on the smallest driver tables."""
+"""Every query of the library against its SQL on the smallest driver tables."""
 
 from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle import compare, connect
+from tidemark.workload import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,13 +16,13 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, name, SF_DIR) is None
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry(spark):

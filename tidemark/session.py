@@ -33,12 +33,17 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **extra
 
 
 def scratch_root(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the cluster.
+    """A fresh folder under the folder that driver and executors share.
 
-    ``spark.checkpoint.dir`` names the shared folder. Only where it is unset,
-    as in local tests, a temporary folder of this machine is used.
+    ``spark.checkpoint.dir`` names it. Where it is unset and the session runs
+    on this machine alone, a temporary folder is set for the session; on a
+    cluster that would lose data, so there it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base}/{label}-{uuid.uuid4().hex}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
