@@ -83,3 +83,12 @@ def matching(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col:
     """``docs`` whose id and text digest are in ``rows`` (doc_id, text_sha256)."""
     keys, _, some, match = _split(docs, rows, id_col, text_col)
     return some.join(keys, match, "left_semi").drop("__key")
+
+
+def bounded(rows: DataFrame, most: int, *columns: str) -> DataFrame:
+    """``rows`` where there are at most ``most``, else about as many, chosen by a hash of ``columns``."""
+    count = rows.count()
+    if count <= most:
+        return rows
+    share = max(0.0, most - 4 * most**0.5) / count
+    return rows.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(share * (1 << 40)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, packing
+from tidemark.llm import exact_dedup, language_id, packing, quality_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer)).drop("row")
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(table(spark, sf_dir, "documents"))
