@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language_id, packing, quality_classifier
+from tidemark.llm import exact_dedup, language_id, mixing, packing, quality_classifier, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +53,32 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_language_id")
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op8_mix_sources",
+    """
+    WITH sizes AS (SELECT source, count(*) AS n, pow(CAST(count(*) AS DOUBLE), 0.5) AS weight FROM documents GROUP BY source),
+    rates AS (
+        SELECT source, weight * CAST((SELECT sum(n) FROM sizes) AS DOUBLE) / (SELECT sum(weight) FROM sizes) / n AS rate
+        FROM sizes),
+    terms AS (
+        SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS term
+        FROM rates, (SELECT unnest(range(0, 2000)) AS k) WHERE k <= 40 + 4 * rate),
+    steps AS (SELECT source, k, sum(term) OVER (PARTITION BY source ORDER BY k) AS below FROM terms),
+    drawn AS (
+        SELECT *, CAST('0x' || md5('mix:' || doc_id)[1:13] AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+    counted AS (
+        SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(s.k) AS copies
+        FROM drawn d JOIN steps s ON s.source IS NOT DISTINCT FROM d.source AND s.below <= d.u
+        GROUP BY ALL)
+    SELECT doc_id, text, lang, source, n_chars, copy, md5('mix:order:' || doc_id || ':' || copy) AS shuffle_key
+    FROM (SELECT *, CAST(unnest(range(copies)) AS INTEGER) AS copy FROM counted)""",
+)
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.replicate(table(spark, sf_dir, "documents"))
