@@ -82,3 +82,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents"))
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
