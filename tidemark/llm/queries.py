@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, language_id, mixing, packing, quality_classifier, quality_rules
+from tidemark.llm import exact_dedup, license_scan, language_id, mixing, packing, pii, quality_classifier, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +88,9 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_scan")
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_pii_pseudonyms")
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pii.pseudonymise(table(spark, sf_dir, "documents"), key="tidemark")
+    return made.select("doc_id", "text", F.size("private_kinds").cast("long").alias("n_private"), "private_kinds")
