@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, license_scan, language_id, mixing, packing, pii, quality_classifier, quality_rules
+from tidemark.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +104,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = pii.pseudonymise(table(spark, sf_dir, "documents"), key="tidemark")
     return made.select("doc_id", "text", F.size("private_kinds").cast("long").alias("n_private"), "private_kinds")
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
