@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     exact_dedup,
+    jaccard_join,
     language_id,
     license_scan,
     mixing,
@@ -109,3 +110,8 @@ def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"))
