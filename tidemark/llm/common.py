@@ -60,29 +60,31 @@ class SlotFilter:
         return held(self.slot(column))
 
 
-def _split(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str):
-    """``rows`` (doc_id, text_sha256) as join keys, and ``docs`` with a mark where its id may be among them."""
-    keys = rows.select(F.col("doc_id").cast("long").alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    near = SlotFilter(keys, "__id").holds(id_col)
-    marked = docs.withColumn("__near", near)
-    some = marked.where("__near").drop("__near").withColumn("__key", F.unhex(F.sha2(text_or_empty(text_col), 256)))
-    match = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__sha"))
+def _split(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str | None):
+    """``rows`` as join keys, ``docs`` that are surely not among them, the others, and how these match."""
+    keys = rows.select(F.col("doc_id").cast("long").alias("__id"), *([F.unhex("text_sha256").alias("__sha")] if text_col else []))
+    marked = docs.withColumn("__near", SlotFilter(keys, "__id").holds(id_col))
+    some = marked.where("__near").drop("__near")
+    match = F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    if text_col:
+        match = match & (F.unhex(F.sha2(text_or_empty(text_col), 256)) == F.col("__sha"))
     return keys, marked.where("NOT __near").drop("__near"), some, match
 
 
-def without(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str | None = "text") -> DataFrame:
     """``docs`` without those whose id and text digest are in ``rows`` (doc_id, text_sha256).
 
-    Most texts stay where they are; those whose id may be named are shuffled for an exact join.
+    Without a text column, ids alone tell. Most texts stay where they are; only
+    those whose id may be named are shuffled, for an exact join.
     """
     keys, clear, some, match = _split(docs, rows, id_col, text_col)
-    return clear.unionByName(some.join(keys, match, "left_anti").drop("__key"))
+    return clear.unionByName(some.join(keys, match, "left_anti"))
 
 
-def matching(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def matching(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str | None = "text") -> DataFrame:
     """``docs`` whose id and text digest are in ``rows`` (doc_id, text_sha256)."""
     keys, _, some, match = _split(docs, rows, id_col, text_col)
-    return some.join(keys, match, "left_semi").drop("__key")
+    return some.join(keys, match, "left_semi")
 
 
 def bounded(rows: DataFrame, most: int, *columns: str) -> DataFrame:

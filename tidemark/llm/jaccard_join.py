@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SlotFilter, stored, text_or_empty
+from tidemark.llm.common import SlotFilter, stored, text_or_empty, without
 from tidemark.llm.components import components
 
 U = np.uint64
@@ -353,3 +353,11 @@ def link(
     return sizes.join(named, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def representatives(
+    docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents with the smallest id of their component, with all their columns; null ids stay."""
+    found = stored(link(docs, words, percent, id_col, text_col), "components")
+    return without(docs, found.where("doc_id <> component_id").select("doc_id"), id_col, None)
