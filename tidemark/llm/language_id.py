@@ -87,7 +87,8 @@ class ContextTrees:
         """Probabilities after longer contexts, given those after the shorter ones."""
         n, seen = counts.sum(1, keepdims=True), counts > 0
         d = seen.sum(1, keepdims=True)
-        rest = np.maximum((shorter * ~seen).sum(1, keepdims=True) + (256 - counts.shape[1]) / 256**2, 1e-12)
+        # Class 0 stands for each of the bytes that were never seen.
+        rest = (shorter * ~seen).sum(1, keepdims=True) + (256 - counts.shape[1]) * shorter[:, :1]
         mixed = np.where(seen, counts, d * shorter / rest) / np.maximum(n + d, 1)
         return np.where(n > 0, mixed, shorter)
 
