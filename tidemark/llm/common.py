@@ -49,13 +49,14 @@ class SlotFilter:
     def slot(self, column: str) -> Column:
         return F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(self.bits).cast("long"))
 
-    def holds(self, column: str) -> Column:
-        words = self.words
+    def held(self, slots: pd.Series) -> np.ndarray:
+        slots = slots.to_numpy(np.int64)
+        return (self.words[slots >> 6] >> (slots & 63)) & 1 == 1
 
+    def holds(self, column: str) -> Column:
         @F.pandas_udf("boolean")
         def held(slots: pd.Series) -> pd.Series:
-            slots = slots.to_numpy(np.int64)
-            return pd.Series((words[slots >> 6] >> (slots & 63)) & 1 == 1)
+            return pd.Series(self.held(slots))
 
         return held(self.slot(column))
 

@@ -32,7 +32,7 @@ PART = 2048
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -165,11 +165,13 @@ def _sketch(rows: DataFrame, words: int) -> DataFrame:
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            out = []
+            out, slots = [], []
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 made = shingles(text, words)
-                np.add.at(counters, (made & U(COUNTERS - 1)).astype(np.int64), 1)
+                slots.append((made & U(COUNTERS - 1)).astype(np.int32))
                 out.append((doc, len(made), xxhash.xxh3_128_digest(made.tobytes()), None))
+            if slots:
+                counters += np.bincount(np.concatenate(slots), minlength=COUNTERS)
             yield pd.DataFrame(out, columns=["doc_id", "n", "signature", "counter"]).astype({"doc_id": "Int64", "counter": "Int32"})
         used = np.flatnonzero(counters)
         yield pd.DataFrame({
@@ -179,36 +181,45 @@ def _sketch(rows: DataFrame, words: int) -> DataFrame:
     return stored(rows.mapInPandas(sketch, "doc_id long, n long, signature binary, counter int"), "sketch")
 
 
-def _points(rows: DataFrame, words: int, percent: int, rank: np.ndarray) -> DataFrame:
-    """(doc_id, n, signature, point, prefix): the shingles of which a linked set must share one, rare ones first."""
+def _points(rows: DataFrame, words: int, percent: int, rank: np.ndarray, alike: DataFrame) -> DataFrame:
+    """(doc_id, n, point, prefix) of one document for each set, without those in ``alike``.
+
+    ``prefix`` has the shingles of which a linked set must share one, rare ones first.
+    """
+    copies = SlotFilter(alike, "doc_id")
 
     def point(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
+            for doc, text, again in zip(batch["doc_id"], batch["text"], copies.held(batch["slot"])):
                 made = shingles(text, words)
                 if not len(made):
                     continue
                 least = -(-percent * len(made) // 100)
-                order = np.lexsort((made, rank[(made & U(COUNTERS - 1)).astype(np.int64)]))
+                # The hashes are sorted, so a stable sort by rank leaves them in order within it.
+                order = np.argsort(rank[(made & U(COUNTERS - 1)).astype(np.int64)], kind="stable")
                 prefix = made[order[: len(made) - least + 1]].view(np.int64)
-                out.append((doc, len(made), xxhash.xxh3_128_digest(made.tobytes()), vector(made), prefix))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "signature", "point", "prefix"])
+                out.append((doc, len(made), xxhash.xxh3_128_digest(made.tobytes()), vector(made), prefix, again))
+            yield pd.DataFrame(out, columns=["doc_id", "n", "signature", "point", "prefix", "again"])
 
-    return rows.mapInPandas(point, "doc_id long, n long, signature binary, point binary, prefix array<long>")
+    schema = "doc_id long, n long, signature binary, point binary, prefix array<long>, again boolean"
+    made = stored(rows.withColumn("slot", copies.slot("doc_id")).mapInPandas(point, schema), "points")
+    first = made.where("again").join(alike, ["doc_id", "signature"], "left_anti")
+    return made.where("NOT again").unionByName(first.select(made.columns)).drop("again", "signature")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link. Only texts whose id may be in a pair are looked at again."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    some = rows.where(SlotFilter(ids, "doc_id").holds("doc_id"))
+    wanted = SlotFilter(ids, "doc_id")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [shingles(text, words).view(np.int64) for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "made": made})
+            some = batch[wanted.held(batch["slot"])]
+            made = [shingles(text, words).view(np.int64) for text in some["text"]]
+            yield pd.DataFrame({"doc_id": some["doc_id"], "made": pd.Series(made, index=some.index, dtype=object)})
 
-    found = some.mapInPandas(sets, "doc_id long, made array<long>")
+    found = rows.withColumn("slot", wanted.slot("doc_id")).mapInPandas(sets, "doc_id long, made array<long>")
     left, right = (found.withColumnsRenamed({"doc_id": x, "made": f"set_{x}"}) for x in "ab")
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
     overlap = F.size(F.array_intersect("set_a", "set_b"))
@@ -296,7 +307,7 @@ def link(
     sizes = sketch.where("signature IS NOT NULL").drop("counter")
     known = rows.where("doc_id IS NOT NULL")
     counters = sketch.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("n").alias("n")).collect()
-    rank = np.zeros(COUNTERS, np.int64)
+    rank = np.zeros(COUNTERS, np.int8)
     mean = max(1.0, sum(r["n"] for r in counters) / COUNTERS)
     for r in counters:
         rank[r["counter"]] = max(0, int(np.log2(r["n"] / mean)))
@@ -307,12 +318,7 @@ def link(
     alike = stored(
         real.join(heads.where("rows > 1"), "signature").where("doc_id <> head").select("doc_id", "head", "signature"), "alike"
     )
-    every = _points(known, words, percent, rank).withColumn("again", SlotFilter(alike, "doc_id").holds("doc_id"))
-    points = stored(
-        every.where("NOT again").unionByName(every.where("again").join(alike, ["doc_id", "signature"], "left_anti").select(every.columns))
-        .drop("again", "signature"),
-        "points",
-    )
+    points = _points(known, words, percent, rank, alike)
     light = points.drop("prefix")
 
     tokens = points.select("doc_id", F.explode("prefix").alias("token"))
