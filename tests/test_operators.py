@@ -11,7 +11,7 @@ from tidemark import constants as K
 from tidemark.catalog import DATASETS, OPTIONS_GATE, Gate
 from tidemark.operators.aggregate import ohlcv
 from tidemark.operators.limits import paged_limit, sample
-from tidemark.operators.merge import dedupe_grain, merge_arranged, merge_latest, upsert
+from tidemark.operators.merge import dedupe_grain, merge_latest, upsert
 from tidemark.operators.profile import column_stats, null_profile, numeric_summary
 from tidemark.operators.project import (
     between_dates,
@@ -86,14 +86,14 @@ def test_merge_is_idempotent_and_independent_of_split_and_partitions(spark):
         assert sorted(other.collect()) == sorted(once.collect())
 
 
-def test_arranged_merge_equals_plain_merge(spark):
-    rows = [(f"2024-{1 + i % 3:02d}-{1 + i % 9:02d}", float(i), f"2024-02-{1 + i % 20:02d}") for i in range(90)]
-    old = merge_latest(series(spark).limit(0), series(spark, *rows[:50]), ["date"])
-    new = series(spark, *rows[50:])
-    bucket = F.trunc("date", "month").cast("string")
-    parts = {"2024-01-01": 7, "2024-02-01": 1, "2024-03-01": 3}
-    arranged = merge_arranged(old, new, ["date"], bucket, parts)
-    assert sorted(arranged.drop("bucket").collect()) == sorted(merge_latest(old, new, ["date"]).collect())
+def test_ties_of_a_batch_do_not_depend_on_what_is_stored(spark):
+    rows = [(f"2024-01-{1 + i % 9:02d}", float(i), "2024-02-01") for i in range(90)]
+    new = series(spark, *rows)
+    alone = sorted(dedupe_grain(new, ["date"]).collect())
+    wider = series(spark, ("2024-01-01", -1.0, "2024-01-01")).withColumn("note", F.lit("x"))
+    for old in (series(spark).limit(0), wider):
+        merged = merge_latest(old, new, ["date"]).select(*new.columns)
+        assert sorted(merged.collect()) == alone
 
 
 def test_merge_cuts_hot_keys_before_the_shuffle(spark):

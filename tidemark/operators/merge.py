@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tidemark.operators.union import align, merged_schema, relaxed_union
 
 _IS_NEW = "__is_new"
 _RANK = "__rank"
-_PART = "__part"
+_TIE = "__tie"
 
 
 def _has_map(t: T.DataType) -> bool:
@@ -24,9 +24,9 @@ def _has_map(t: T.DataType) -> bool:
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Hash of a whole row; the last tie-breaker, so results never depend on partitioning."""
+    """Hash of a whole row; the last tie-breaker, so results never depend on partitioning or column order."""
     parts = []
-    for f in df.schema:
+    for f in sorted(df.schema, key=lambda f: f.name):
         column = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.MapType):
             column = F.to_json(F.array_sort(F.map_entries(column)))
@@ -55,55 +55,18 @@ def merge_latest(
 ) -> DataFrame:
     """Relaxed union that keeps, per key, the row fetched last.
 
-    On equal fetch times the new batch wins, then the row hash decides.
+    On equal fetch times the new batch wins, then the hash that the row has in
+    its own table, before the union changes types or adds columns. So a batch's
+    ties are settled as ``dedupe_grain`` of the batch settles them.
     """
     both = relaxed_union(
-        existing.withColumn(_IS_NEW, F.lit(0)), new.withColumn(_IS_NEW, F.lit(1))
+        existing.withColumns({_IS_NEW: F.lit(0), _TIE: row_hash(existing)}),
+        new.withColumns({_IS_NEW: F.lit(1), _TIE: row_hash(new)}),
     )
-    order = [F.col(_IS_NEW).desc(), row_hash(both).desc()]
+    order = [F.col(_IS_NEW).desc(), F.col(_TIE).desc()]
     if fetched_at in both.columns:
         order.insert(0, F.col(fetched_at).desc_nulls_last())
-    return keep_first(both, keys, order).drop(_IS_NEW)
-
-
-def merge_arranged(
-    existing: DataFrame,
-    new: DataFrame,
-    keys: Iterable[str],
-    bucket: Column,
-    parts: Mapping[str | None, int],
-    fetched_at: str = "last_fetched_at",
-) -> DataFrame:
-    """``merge_latest`` whose single shuffle also lays the rows out for writing.
-
-    Rows are hashed by bucket and, in large buckets, by a part number drawn
-    from the key, so that a bucket with a third of all rows is spread over
-    ``parts[bucket]`` tasks. Both are functions of the key: the window needs no
-    shuffle of its own, and the result is sorted by ``bucket`` and key. The
-    batch is deduplicated first, so a key that repeats in it is cut to one row
-    per map task; ``existing`` has one row per key already.
-    """
-    keys = list(keys)
-    both = relaxed_union(
-        existing.withColumn(_IS_NEW, F.lit(0)),
-        dedupe_grain(new, keys, fetched_at).withColumn(_IS_NEW, F.lit(1)),
-    )
-    order = [F.col(_IS_NEW).desc(), row_hash(both).desc()]
-    if fetched_at in both.columns:
-        order.insert(0, F.col(fetched_at).desc_nulls_last())
-    count = F.lit(1)
-    for name, n in parts.items():
-        if n > 1:
-            count = F.when(F.col("bucket").eqNullSafe(F.lit(name)), F.lit(n)).otherwise(count)
-    hashed = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
-    placed = both.withColumn("bucket", bucket).withColumn(_PART, F.pmod(hashed, count))
-    # Twice as many tasks as parts of large buckets; small buckets share them.
-    tasks = 2 * sum(n for n in parts.values() if n > 1)
-    if tasks > int(existing.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        placed = placed.repartition(tasks, "bucket", _PART)
-    else:
-        placed = placed.repartition("bucket", _PART)
-    return keep_first(placed, ["bucket", _PART, *keys], order).drop(_IS_NEW, _PART)
+    return keep_first(both, keys, order).drop(_IS_NEW, _TIE)
 
 
 def dedupe_grain(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +44,10 @@ def loadable(df: DataFrame, spec: TableSpec) -> tuple[DataFrame | None, str | No
 def load_table(spark: SparkSession, store: str, spec: TableSpec | str, df: DataFrame) -> tuple:
     """Load one table: replace its rows, or upsert them by primary key.
 
-    An empty source leaves the table as it is. Returns a row of ``LOAD_SCHEMA``.
+    An empty source leaves the table as it is. Rows that break the declared
+    keys are set aside and counted in ``reason``: of rows with one primary key
+    the one fetched last stays, rows with a null where none may be go. Returns
+    a row of ``LOAD_SCHEMA``.
     """
     spec = TABLES[spec] if isinstance(spec, str) else spec
     rows, reason = loadable(df, spec)
@@ -55,29 +59,41 @@ def load_table(spark: SparkSession, store: str, spec: TableSpec | str, df: DataF
     if spec.mode == "upsert" and base.buckets:
         return _upsert_table(table, base, spec, rows, matched)
     final = conform(with_defaults(rows, spec), spec.schema)
-    if spec.mode == "upsert":
-        final = dedupe_grain(final, spec.primary_key)
-    folder = table.stage(final)
+    total = final.agg(F.count(F.lit(1)), F.count_if(~_filled(spec))).first()
+    folder = table.stage(dedupe_grain(final.where(_filled(spec)), spec.primary_key))
     counts = table.staged_counts(folder, spec.schema)
+    aside = _aside(total[1], total[0] - total[1] - sum(counts.values()))
     if not counts:
-        return (spec.name, "skipped", "no rows", 0, matched)
+        return (spec.name, "skipped", aside or "no rows", 0, matched)
     table.commit(base, folder, counts, spec.schema, replace_all=True)
-    return (spec.name, "loaded", None, sum(counts.values()), matched)
+    return (spec.name, "loaded", aside, sum(counts.values()), matched)
+
+
+def _filled(spec: TableSpec) -> Column:
+    """Whether a row has all that the table declares as never null."""
+    columns = dict.fromkeys([*spec.primary_key, *spec.not_null])
+    return reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns])
+
+
+def _aside(nulls: int, repeats: int) -> str | None:
+    parts = [f"{n} rows with {what}" for n, what in ((nulls, "null keys"), (repeats, "repeated keys")) if n]
+    return "set aside: " + ", ".join(parts) if parts else None
 
 
 def _upsert_table(table: PublishedTable, base, spec: TableSpec, rows: DataFrame, matched: int):
     # The bucket is a function of the key (snapshot date of the snapshot time),
     # so a key never leaves its bucket.
+    keyed = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in spec.primary_key])
+    total = rows.agg(F.count(F.lit(1)), F.count_if(~keyed)).first()
+    rows = rows.where(keyed)
     touched = touched_buckets(rows, table.dataset)
-    if touched is not None and not touched:
-        return (spec.name, "skipped", "no rows", 0, matched)
-    keep = None if touched is None else (lambda bucket: bucket in touched)
-    merged = upsert(table.read(manifest=base, keep=keep), rows, spec.primary_key)
+    if not touched:
+        return (spec.name, "skipped", _aside(total[1], 0) or "no rows", 0, matched)
+    merged = upsert(table.read(manifest=base, keep=touched.__contains__), rows, spec.primary_key)
     folder = table.stage(conform(with_defaults(merged, spec), spec.schema))
     counts = table.staged_counts(folder, spec.schema)
     table.commit(base, folder, counts, spec.schema)
-    upserted = rows.count() if touched is None else sum(touched.values())
-    return (spec.name, "upserted", None, upserted, matched)
+    return (spec.name, "upserted", _aside(total[1], 0), total[0] - total[1], matched)
 
 
 def load_all(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.catalog import NOT_EMPTY, TABLES, Dataset
 from tidemark.operators.aggregate import ROLLUPS, Rollup, roll_up
-from tidemark.sinks.published import PublishedTable, bucket_start
+from tidemark.sinks.published import PublishedTable, bucket_day, bucket_start
 
 
 def add_months(day: dt.date, months: int) -> dt.date:
@@ -86,11 +86,8 @@ def refresh_rollup(spark: SparkSession, store: str, name: str, now: dt.date) ->
     manifest = table.manifest()
     folder = table.stage(rows)
     counts = table.staged_counts(folder, rows.schema)
-    in_window = [
-        n
-        for n in manifest.buckets
-        if first <= dt.date.fromisoformat(n.split("=", 1)[1]) < end
-    ]
+    days = {n: bucket_day(n) for n in manifest.buckets}
+    in_window = [n for n, day in days.items() if day is not None and first <= day < end]
     table.commit(manifest, folder, counts, rows.schema, drop=in_window)
     return sum(counts.values())
 

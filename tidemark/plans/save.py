@@ -10,16 +10,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tidemark.catalog import DATASETS, Dataset
 from tidemark.operators.ledger import LEDGER_SCHEMA
-from tidemark.operators.merge import dedupe_grain, merge_arranged, merge_latest
+from tidemark.operators.merge import dedupe_grain, merge_latest
 from tidemark.operators.project import between_dates, incremental_since_by
 from tidemark.operators.quality import (
     GateError,
@@ -32,18 +31,8 @@ from tidemark.operators.quality import (
     missing_columns,
 )
 from tidemark.operators.union import align, merged_schema, relaxed_union
-from tidemark.sinks.published import Manifest, PublishedTable, bucket_folder
-
-# More distinct buckets than this in one batch and the whole table is merged
-# instead of a list of buckets: a history load, not an increment.
-MAX_TOUCHED_BUCKETS = 20_000
-
-# Up to this many touched buckets the merge lays the rows out itself.
-MAX_ARRANGED_BUCKETS = 200
-
-# Rows of a bucket one task merges and writes.
-ROWS_PER_PART = 4_000_000
-
+from tidemark.session import scratch_root
+from tidemark.sinks.published import BUCKET, Manifest, PublishedTable, bucket_folder, bucket_value
 
 @dataclass(frozen=True)
 class SaveOutcome:
@@ -56,38 +45,20 @@ class SaveOutcome:
     rows: int | None = None
 
 
-def touched_buckets(new: DataFrame, dataset: Dataset) -> dict[str | None, int] | None:
-    """Rows of a batch per bucket, or None when the buckets are too many to list."""
-    buckets = (
-        new.groupBy(dataset.bucket_expr().alias("bucket"))
-        .count()
-        .limit(MAX_TOUCHED_BUCKETS + 1)
-        .collect()
-    )
-    if len(buckets) > MAX_TOUCHED_BUCKETS:
-        return None
-    return {r["bucket"]: r["count"] for r in buckets}
+def touched_buckets(new: DataFrame, dataset: Dataset) -> set[str | None]:
+    """Buckets of a batch; the calendar, or the list of countries or markets, bounds their number."""
+    rows = new.select(dataset.bucket_expr().alias("bucket")).distinct().collect()
+    return {r["bucket"] for r in rows}
 
 
 def _stage_merged(
-    table: PublishedTable, base: Manifest, new: DataFrame, touched: dict[str | None, int] | None
-) -> tuple[int, StructType]:
+    table: PublishedTable, base: Manifest, new: DataFrame, touched: set[str | None]
+) -> tuple[str, StructType]:
     """Merge a batch into the buckets it touches and write them; nothing is published yet."""
-    dataset = table.dataset
-    keep = None if touched is None else (lambda bucket: bucket in touched)
-    stored = table.read(manifest=base, keep=keep)
-    if touched is None or not base.buckets or len(touched) > MAX_ARRANGED_BUCKETS:
-        merged = merge_latest(stored, new, dataset.keys)
-        schema = merged_schema(base.schema, merged.schema)
-        return table.stage(align(merged, schema)), schema
-    parts = {
-        bucket: ceil((rows + table.rows_of(base, bucket)) / ROWS_PER_PART)
-        for bucket, rows in touched.items()
-    }
-    merged = merge_arranged(stored, new, dataset.write_keys, dataset.bucket_expr(), parts)
-    schema = merged_schema(base.schema, merged.drop("bucket").schema)
-    laid_out = StructType([*schema, StructField("bucket", StringType())])
-    return table.stage(align(merged, laid_out), arranged=True), schema
+    stored = table.read(manifest=base, keep=touched.__contains__)
+    merged = merge_latest(stored, new, table.dataset.keys)
+    schema = merged_schema(base.schema, merged.schema)
+    return table.stage(align(merged, schema)), schema
 
 
 def _since_start(
@@ -105,7 +76,7 @@ def _since_start(
 
 
 def _audit(
-    table: PublishedTable, base: Manifest, folder: int, schema: StructType
+    table: PublishedTable, base: Manifest, folder: str, schema: StructType
 ) -> tuple[dict[str, int], GateError | None]:
     """Rows per bucket of a staged folder, and the first failing check of the table with it.
 
@@ -116,8 +87,8 @@ def _audit(
     gate, name = table.dataset.gate, table.dataset.name
     columns = schema.fieldNames()
     staged = table.staged(folder, schema)
-    per_bucket = staged.groupBy("bucket").agg(*gate_metrics(columns, gate))
-    counts = F.collect_list(F.struct("bucket", "rows")).alias("counts")
+    per_bucket = staged.groupBy(BUCKET).agg(*gate_metrics(columns, gate))
+    counts = F.collect_list(F.struct(BUCKET, "rows")).alias("counts")
     touched = set(table.staged_names(folder))
     rest = Manifest(
         base.version, {n: b for n, b in base.buckets.items() if n not in touched}, base.schema
@@ -125,7 +96,7 @@ def _audit(
     whole = per_bucket.agg(counts, *combined_metrics(columns, gate))
     whole = whole.withColumn("rows", F.col("rows") + F.lit(rest.rows))
     row = whole.select("counts", F.array(*gate_rows(columns, gate)).alias("checks")).first()
-    found = {bucket_folder(c["bucket"]): c["rows"] for c in row["counts"]}
+    found = {bucket_folder(c[BUCKET]): c["rows"] for c in row["counts"]}
     error = first_failure(row["checks"], name)
     bounded = gate.min_date is not None or gate.max_date is not None
     if rest.buckets and (error is not None or bounded):
@@ -164,7 +135,7 @@ def save_dataset(
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         touched = touched_buckets(fresh, dataset)
-        if touched is not None and not touched:
+        if not touched:
             return SaveOutcome(dataset.name, "skipped", "no rows")
         folder, schema = _stage_merged(table, base, fresh, touched)
         return _publish(table, base, folder, schema, extra)
@@ -175,7 +146,7 @@ def save_dataset(
 def _publish(
     table: PublishedTable,
     base: Manifest,
-    folder: int,
+    folder: str,
     schema: StructType,
     extra: Mapping[str, str] | None,
 ) -> SaveOutcome:
@@ -200,8 +171,9 @@ def save_by_item(
 ) -> DataFrame:
     """Merge a batch of many tickers or countries in one job, failures isolated.
 
-    Every item is gated by itself: the failing ones are left out and the others
-    are published. Returns the ledger of the run, one row per item.
+    Every item is gated by itself, over what it has stored and what the batch
+    brings. A failing item adds nothing and its stored rows stay as they are;
+    the others are published. Returns the ledger of the run, one row per item.
     ``lookback_days`` gives every item its own start date.
     """
     dataset = DATASETS[dataset] if isinstance(dataset, str) else dataset
@@ -209,47 +181,68 @@ def save_by_item(
     table = PublishedTable(spark, store, dataset)
     base = table.manifest()
     run_id = run_id or f"{dataset.name}-{base.version + 1}"
-    if base.buckets:
-        # The batch is read for its buckets, for the merge and for the ledger.
-        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    # The batch is read for its buckets, for the merge and for the ledger.
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fresh = new
-        touched = touched_buckets(new, dataset) if base.buckets else None
+        touched = touched_buckets(new, dataset)
         if lookback_days is not None and base.buckets:
             # The start dates come from all buckets, unless a bucket is an item.
-            own = touched is not None and dataset.bucket_column == item
+            own = dataset.bucket_column == item
             known = table.read(manifest=base, keep=touched.__contains__ if own else None)
             fresh = incremental_since_by(known, new, item, lookback_days, dataset.date_column)
         folder, schema = _stage_merged(table, base, fresh, touched)
-        staged = table.staged(folder, schema)
-        failing = failing_items(staged, item, dataset.gate)
-        # Failures are rare: only they pay for a second look and a second write.
+        failing = _failing(table, base, folder, schema, new.select(item), touched)
+        # Failures are rare: only they pay for a second merge, of the batch without them.
         if not failing.isEmpty():
-            if touched is not None and dataset.date_column:
-                # Dated rows of an item in buckets outside this batch satisfy the gate.
-                others = table.read(manifest=base, keep=lambda b: b not in touched)
-                dated = others.where(F.col(dataset.date_column).isNotNull()).select(item)
-                failing = failing.join(dated, item, "left_anti")
-            good = staged.join(failing, item, "left_anti").select(*schema.fieldNames())
-            folder = table.stage(good)
-        counts = table.staged_counts(folder, schema)
+            fresh = fresh.join(failing, fresh[item].eqNullSafe(failing[item]), "left_anti")
+            folder = None if fresh.isEmpty() else _stage_merged(table, base, fresh, touched)[0]
+        counts = {} if folder is None else table.staged_counts(folder, schema)
         if counts:
             table.commit(base, folder, counts, schema, extra={"run_id": run_id})
-        items = new.select(item) if base.buckets else staged.select(item)
         path = f"{table.store}/_run_ledger"
-        ledger = _item_ledger(items, item, failing, dataset.name, run_id)
+        ledger = _item_ledger(new.select(item), item, failing, dataset.name, run_id)
         ledger.write.mode("append").parquet(path)
         return spark.read.schema(LEDGER_SCHEMA).parquet(path).where(F.col("run_id") == run_id)
     finally:
         new.unpersist()
 
 
+def _failing(
+    table: PublishedTable,
+    base: Manifest,
+    folder: str,
+    schema: StructType,
+    items: DataFrame,
+    touched: set[str | None],
+) -> DataFrame:
+    """Items of a batch that fail the gate with it, and the first check each fails.
+
+    Buckets that the batch does not touch are read, for the gate's columns,
+    only where their rows can change a verdict: a bound may be passed by all
+    rows together, and a shortage in the staged rows be made up for.
+    """
+    item, gate = table.dataset.item_column, table.dataset.gate
+    batch = items.distinct()
+    staged = table.staged(folder, schema).join(batch, item, "left_semi")
+    failing = failing_items(staged, item, gate)
+    others = table.read(manifest=base, keep=lambda bucket: bucket not in touched)
+    bounded = gate.max_rows is not None or gate.min_date is not None or gate.max_date is not None
+    untouched = any(bucket_value(name) not in touched for name in base.buckets)
+    if untouched and (bounded or not failing.isEmpty()):
+        parts = staged.select(*schema.fieldNames()).unionByName(align(others, schema).join(batch, item, "left_semi"))
+        failing = failing_items(parts, item, gate)
+    path = scratch_root(table.spark, "failing")
+    failing.write.parquet(path)
+    return table.spark.read.schema(failing.schema).parquet(path)
+
+
 def _item_ledger(
     items: DataFrame, item: str, failing: DataFrame, name: str, run_id: str
 ) -> DataFrame:
     return (
         items.distinct()
-        .join(failing, item, "left")
+        .join(failing.withColumnRenamed(item, "__item"), F.col(item).eqNullSafe(F.col("__item")), "left")
         .select(
             F.lit(run_id).alias("run_id"),
             F.lit(name).alias("dataset"),

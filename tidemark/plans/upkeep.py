@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import TABLES, TableSpec
 from tidemark.plans.rollup import add_months
-from tidemark.sinks.published import PublishedTable, bucket_start
+from tidemark.sinks.published import PublishedTable, bucket_day, bucket_start
 
 
 def retained(df: DataFrame, date_column: str, months: int, now: dt.date) -> DataFrame:
@@ -26,7 +26,7 @@ def retain(table: PublishedTable, months: int, now: dt.date) -> int:
     dataset, base = table.dataset, table.manifest()
     limit = add_months(now, -months)
     edge = bucket_start(dataset.bucket_width, limit)
-    days = {n: _day(n) for n in base.buckets}
+    days = {n: bucket_day(n) for n in base.buckets}
     old = [n for n, day in days.items() if day is not None and day < edge]
     cut = [n for n, day in days.items() if day == edge and edge < limit]
     rows = table.read(manifest=base, keep=lambda b: b == edge.isoformat())
@@ -59,11 +59,11 @@ def compact(
     due = [
         n
         for n, entry in base.buckets.items()
-        if not entry.get("compacted") and _day(n) is not None and _day(n) < limit
+        if not entry.get("compacted") and bucket_day(n) is not None and bucket_day(n) < limit
     ]
     if not due:
         return []
-    wanted = {_day(n).isoformat() for n in due}
+    wanted = {bucket_day(n).isoformat() for n in due}
     rows = table.read(manifest=base, keep=lambda b: b in wanted)
     tail = order_by or (table.dataset.date_column,)
     folder = table.stage(rows, order=(*segment_by, *tail), dense=True)
@@ -72,11 +72,6 @@ def compact(
     return sorted(wanted)
 
 
-def _day(folder: str) -> dt.date | None:
-    value = folder.split("=", 1)[1]
-    return None if value.startswith("__") else dt.date.fromisoformat(value)
-
-
 def compact_limit(spec: TableSpec, now: dt.date) -> dt.date:
     """Buckets that end before this day are compacted."""
     if spec.compact_unit == "days":
@@ -85,7 +80,7 @@ def compact_limit(spec: TableSpec, now: dt.date) -> dt.date:
 
 
 def apply_policies(spark: SparkSession, store: str, now: dt.date) -> DataFrame:
-    """Retention, then compaction, of every stored table that has a policy."""
+    """Retention, then compaction, of every stored table that has a policy; unused folders go."""
     out = []
     for spec in TABLES.values():
         table = PublishedTable(spark, store, spec.dataset())
@@ -98,5 +93,6 @@ def apply_policies(spark: SparkSession, store: str, now: dt.date) -> DataFrame:
             if spec.compact_after
             else []
         )
+        table.expire_versions()
         out.append((spec.name, before - after, len(done)))
     return spark.createDataFrame(out, "table STRING, dropped_rows BIGINT, compacted_buckets INT")

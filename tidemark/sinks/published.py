@@ -1,9 +1,9 @@
 """Versioned Parquet tables.
 
-A publish writes the touched buckets into a new version folder and then adds
+A publish writes the touched buckets into a new version folder and then creates
 one manifest file that says, for every bucket, which version folder holds it:
 
-    <root>/v=3/bucket=2024-01-01/part-*.parquet
+    <root>/__version=<uuid>/__bucket=2024-01-01/part-*.parquet
     <root>/manifests/00000003.json
 
 The newest manifest is the table. Readers resolve it once, so they see one
@@ -22,6 +22,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,8 @@ META_SCHEMA = (
     "extra MAP<STRING, STRING>"
 )
 _NULL_BUCKET = "__HIVE_DEFAULT_PARTITION__"
+# Reserved partition columns; no dataset may have columns of these names.
+BUCKET, VERSION = "__bucket", "__version"
 
 
 class ConcurrentPublish(RuntimeError):
@@ -43,7 +46,7 @@ class ConcurrentPublish(RuntimeError):
 @dataclass
 class Manifest:
     version: int
-    # Bucket folder name -> {"v": version folder, "rows": row count, "compacted": bool}
+    # Bucket folder name -> {"v": id of the version folder, "rows": row count, "compacted": bool}
     buckets: dict[str, dict] = field(default_factory=dict)
     schema: T.StructType | None = None
 
@@ -113,13 +116,21 @@ class PublishedTable:
         if not versions:
             return Manifest(0, {}, self.dataset.schema)
         version = versions[-1] if version is None else version
+        try:
+            body = self._manifest_body(version)
+        except ValueError:
+            # The newest manifest is just being written: the one before is the table.
+            if version != versions[-1] or len(versions) < 2:
+                raise
+            body = self._manifest_body(versions[-2])
+        return Manifest(body["version"], body["buckets"], T.StructType.fromJson(body["schema"]))
+
+    def _manifest_body(self, version: int) -> dict:
         stream = self._fs().open(self._path(self._manifest_path(version)))
         try:
-            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        body = json.loads(text)
-        return Manifest(body["version"], body["buckets"], T.StructType.fromJson(body["schema"]))
 
     def read(
         self,
@@ -128,22 +139,25 @@ class PublishedTable:
         manifest: Manifest | None = None,
         with_bucket: bool = False,
     ) -> DataFrame:
-        """The table, or the buckets ``keep`` accepts; other buckets are not even listed."""
+        """The table, or the buckets ``keep`` accepts; other buckets are not even listed.
+
+        ``with_bucket`` adds each row's bucket as ``__bucket``.
+        """
         manifest = manifest or self.manifest(version)
         folders = [
-            f"{self.root}/v={entry['v']}/{name}"
+            f"{self.root}/{VERSION}={entry['v']}/{name}"
             for name, entry in manifest.buckets.items()
-            if keep is None or keep(_bucket_value(name))
+            if keep is None or keep(bucket_value(name))
         ]
         schema = manifest.schema
         if not folders:
             df = self.spark.createDataFrame([], schema)
-            return df.withColumn("bucket", F.lit(None).cast("string")) if with_bucket else df
+            return df.withColumn(BUCKET, F.lit(None).cast("string")) if with_bucket else df
         stored = T.StructType(
-            list(schema) + [T.StructField("v", T.LongType()), T.StructField("bucket", T.StringType())]
+            list(schema) + [T.StructField(VERSION, T.StringType()), T.StructField(BUCKET, T.StringType())]
         )
         df = self.spark.read.schema(stored).option("basePath", self.root).parquet(*folders)
-        return df.drop("v") if with_bucket else df.drop("v", "bucket")
+        return df.drop(VERSION) if with_bucket else df.drop(VERSION, BUCKET)
 
     def read_key(self, key: str) -> DataFrame:
         """Rows of one ticker, country, market or underlying; the key is case-normalised.
@@ -179,15 +193,11 @@ class PublishedTable:
 
         return keep
 
-    def rows_of(self, manifest: Manifest, bucket: str | None) -> int:
-        entry = manifest.buckets.get(bucket_folder(bucket))
-        return entry["rows"] if entry else 0
-
     def max_date(self) -> dt.date | None:
         """Latest date, read from the newest bucket alone where buckets are periods."""
         column = self.dataset.date_column
         if self.dataset.time_bucketed:
-            values = [_bucket_value(n) for n in self.manifest().buckets]
+            values = [bucket_value(n) for n in self.manifest().buckets]
             days = [v for v in values if v is not None]
             if not days:
                 return None
@@ -197,67 +207,61 @@ class PublishedTable:
 
     # -- writing --------------------------------------------------------------
 
-    def _next_folder(self) -> int:
-        """A version folder no writer has used, committed or not."""
-        used = [int(n[2:]) for n in self._names(self.root) if n.startswith("v=")]
-        return max([self.manifest().version, *used], default=0) + 1
-
     def stage(
         self,
         df: DataFrame,
         order: Iterable[str] | None = None,
         dense: bool = False,
-        arranged: bool = False,
-    ) -> int:
+    ) -> str:
         """Write rows into a new version folder; nothing is visible until ``commit``.
 
-        ``arranged`` rows carry their ``bucket`` and are laid out already.
+        The folder's name is drawn anew, so writers never share one.
 
         The rebalance puts the rows of a bucket together, splits large buckets
         over many tasks and joins small ones, so neither a hot bucket nor many
         tiny files arise. ``dense`` range-partitions by bucket and sort order
         instead, for tables that are compacted.
         """
-        folder = self._next_folder()
+        clash = {BUCKET, VERSION} & set(df.columns)
+        if clash:
+            raise ValueError(f"{self.dataset.name}: reserved column names: {sorted(clash)}")
+        folder = uuid.uuid4().hex
         sort = list(order or self.dataset.sort_columns)
         sort_by = [_ordering(c) for c in sort]
-        if arranged:
-            out = df.sortWithinPartitions("bucket")
+        out = df.withColumn(BUCKET, self.dataset.bucket_expr())
+        if dense:
+            out = out.repartitionByRange(F.col(BUCKET), *sort_by)
         else:
-            out = df.withColumn("bucket", self.dataset.bucket_expr())
-            if dense:
-                out = out.repartitionByRange(F.col("bucket"), *sort_by)
-            else:
-                out = out.hint("rebalance", F.col("bucket"))
-            out = out.sortWithinPartitions(F.col("bucket"), *sort_by)
-        writer = out.write.partitionBy("bucket").option("compression", "zstd")
+            out = out.hint("rebalance", F.col(BUCKET))
+        out = out.sortWithinPartitions(F.col(BUCKET), *sort_by)
+        writer = out.write.partitionBy(BUCKET).option("compression", "zstd")
         for column in self.dataset.bloom_columns:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-        writer.mode("errorifexists").parquet(f"{self.root}/v={folder}")
+        writer.mode("errorifexists").parquet(f"{self.root}/{VERSION}={folder}")
         return folder
 
-    def staged(self, folder: int, schema: T.StructType) -> DataFrame:
-        """Rows of a staged folder, with their bucket."""
-        stored = T.StructType(list(schema) + [T.StructField("bucket", T.StringType())])
-        return self.spark.read.schema(stored).parquet(f"{self.root}/v={folder}")
+    def staged(self, folder: str, schema: T.StructType) -> DataFrame:
+        """Rows of a staged folder, with their bucket as ``__bucket``."""
+        stored = T.StructType(list(schema) + [T.StructField(BUCKET, T.StringType())])
+        return self.spark.read.schema(stored).parquet(f"{self.root}/{VERSION}={folder}")
 
-    def staged_names(self, folder: int) -> list[str]:
+    def staged_names(self, folder: str) -> list[str]:
         """Bucket folders of a staged folder."""
-        return [n for n in self._names(f"{self.root}/v={folder}") if n.startswith("bucket=")]
+        return [n for n in self._names(f"{self.root}/{VERSION}={folder}") if n.startswith(f"{BUCKET}=")]
 
-    def staged_counts(self, folder: int, schema: T.StructType) -> dict[str, int]:
+    def staged_counts(self, folder: str, schema: T.StructType) -> dict[str, int]:
         """Rows per bucket of what was written, read back from the files.
 
         Counters kept during the write could count a task twice when an
         executor is lost; the files cannot. One row per bucket is collected.
         """
-        rows = self.staged(folder, schema).groupBy("bucket").count().collect()
-        return {bucket_folder(r["bucket"]): r["count"] for r in rows}
+        rows = self.staged(folder, schema).groupBy(BUCKET).count().collect()
+        return {bucket_folder(r[BUCKET]): r["count"] for r in rows}
 
     def commit(
         self,
         base: Manifest,
-        folder: int | None,
+        folder: str | None,
         counts: dict[str, int],
         schema: T.StructType,
         drop: Iterable[str] = (),
@@ -280,16 +284,17 @@ class PublishedTable:
         written_at = dt.datetime.now(dt.timezone.utc).isoformat()
         text = manifest.to_json(self.dataset.name, self.root, written_at, extra)
         target = self._path(self._manifest_path(manifest.version))
-        draft = self._path(f"{self.root}/manifests/.{manifest.version:08d}-{uuid.uuid4().hex}")
-        stream = fs.create(draft, True)
-        stream.write(bytearray(text, "utf-8"))
-        stream.close()
-        # The rename is the commit; it must not replace another writer's manifest.
-        if fs.exists(target) or not fs.rename(draft, target):
-            fs.delete(draft, False)
+        # Creating the file without overwriting is the commit: of two writers one is refused.
+        try:
+            stream = fs.create(target, False)
+        except Py4JJavaError as error:
+            if not fs.exists(target):
+                raise
             raise ConcurrentPublish(
                 f"{self.root}: version {manifest.version} was published already"
-            )
+            ) from error
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
 
     def replace(self, df: DataFrame, extra: dict[str, str] | None = None) -> Manifest:
         """Replace the whole table: all or nothing."""
@@ -300,21 +305,24 @@ class PublishedTable:
 
     # -- upkeep ---------------------------------------------------------------
 
-    def expire_versions(self, keep: int = 2) -> list[int]:
-        """Delete version folders that the last ``keep`` manifests do not use."""
+    def expire_versions(self, keep: int = 2, hours: float = 24.0) -> list[str]:
+        """Delete version folders that the last ``keep`` manifests do not use.
+
+        Folders younger than ``hours`` may belong to a running job and stay.
+        Manifests stay too: they are the lineage.
+        """
         versions = self._manifest_versions()
-        if not versions:
-            return []
         recent = [self.manifest(v) for v in versions[-keep:]]
         used = {b["v"] for m in recent for b in m.buckets.values()}
-        # Folders newer than the newest manifest may belong to a running job.
-        newest = max((b["v"] for b in recent[-1].buckets.values()), default=0)
-        # Manifests stay: they are the lineage.
         fs, gone = self._fs(), []
+        limit = (dt.datetime.now(dt.timezone.utc).timestamp() - hours * 3600) * 1000
         for name in self._names(self.root):
-            if name.startswith("v=") and int(name[2:]) not in used and int(name[2:]) < newest:
-                fs.delete(self._path(f"{self.root}/{name}"), True)
-                gone.append(int(name[2:]))
+            path = self._path(f"{self.root}/{name}")
+            folder = name.removeprefix(f"{VERSION}=")
+            if folder == name or folder in used or fs.getFileStatus(path).getModificationTime() > limit:
+                continue
+            fs.delete(path, True)
+            gone.append(folder)
         return sorted(gone)
 
 
@@ -339,16 +347,22 @@ def _ordering(column: str):
     return F.col(name).desc() if direction.upper() == "DESC" else F.col(name).asc()
 
 
-def _bucket_value(folder: str) -> str | None:
+def bucket_value(folder: str) -> str | None:
     from urllib.parse import unquote
 
     value = unquote(folder.split("=", 1)[1])
     return None if value == _NULL_BUCKET else value
 
 
+def bucket_day(folder: str) -> dt.date | None:
+    """First day of a bucket of time; null for the rows without a date."""
+    value = bucket_value(folder)
+    return None if value is None else dt.date.fromisoformat(value)
+
+
 def bucket_folder(bucket: str | None) -> str:
     """Folder name of a bucket value, with the escapes Spark uses for partitions."""
     if bucket is None or bucket == "":
-        return f"bucket={_NULL_BUCKET}"
+        return f"{BUCKET}={_NULL_BUCKET}"
     special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(32)}
-    return "bucket=" + "".join(f"%{ord(c):02X}" if c in special else c for c in bucket)
+    return f"{BUCKET}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in bucket)

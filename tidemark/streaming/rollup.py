@@ -11,9 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.catalog import Dataset
 from tidemark.functions import time_bucket
 from tidemark.operators.aggregate import ROLLUPS, roll_up
-from tidemark.plans.rollup import add_months, rollup_dataset
+from tidemark.operators.quality import GateError
+from tidemark.plans.rollup import rollup_dataset
 from tidemark.plans.save import save_dataset
-from tidemark.sinks.published import PublishedTable
+from tidemark.sinks.published import PublishedTable, bucket_start
 
 
 def bucket_stream(
@@ -30,7 +31,8 @@ def bucket_stream(
 ) -> StreamingQuery:
     """Tumbling aggregates of fixed width; rows later than ``lateness`` are dropped.
 
-    Updated buckets are merged by key, so a replayed batch changes nothing.
+    Updated buckets are merged by key, so a replayed batch changes nothing. A
+    batch that fails the gate stops the stream; its offsets are not committed.
     State holds the open buckets only, never the rows.
     """
     buckets = (
@@ -42,9 +44,11 @@ def bucket_stream(
     )
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        # The batch number orders the updates of one bucket.
-        rows = batch.withColumn("last_fetched_at", F.timestamp_seconds(F.lit(batch_id)))
-        save_dataset(batch.sparkSession, store, dataset, rows)
+        # The time of the update orders them, also across checkpoints.
+        rows = batch.withColumn("last_fetched_at", F.lit(dt.datetime.now(dt.timezone.utc)))
+        outcome = save_dataset(batch.sparkSession, store, dataset, rows)
+        if outcome.status == "failed":
+            raise GateError(f"batch {batch_id}: {outcome.reason}")
 
     writer = (
         buckets.writeStream.outputMode("update")
@@ -73,11 +77,17 @@ def refresh_touched(base: PublishedTable, batch: DataFrame, rollup_name: str) ->
     )
     if not touched:
         return []
-    unit = {"day": dt.timedelta(days=1)}.get(rollup.width)
-    months = {"month": 1, "quarter": 3, "year": 12}.get(rollup.width)
-    last = touched[-1] + unit if unit else add_months(touched[-1], months)
-    rows = base.read_dates(touched[0], last - dt.timedelta(days=1))
-    rows = rows.where(time_bucket(rollup.width, rollup.date_column).isin(touched))
+    wanted = set(touched)
+
+    def holds_some(bucket: str | None) -> bool:
+        """Whether a bucket of the base overlaps one of the rollup; either may be the wider."""
+        if bucket is None or not base.dataset.time_bucketed:
+            return bucket is not None
+        day = dt.date.fromisoformat(bucket)
+        inside = bucket_start(base.dataset.bucket_width, day) == day and bucket_start(rollup.width, day) in wanted
+        return inside or any(bucket_start(base.dataset.bucket_width, start) == day for start in touched)
+
+    rows = base.read(keep=holds_some).where(time_bucket(rollup.width, rollup.date_column).isin(touched))
     rolled = roll_up(rows, rollup).withColumnRenamed("bucket", "bucket_start")
     table = PublishedTable(base.spark, base.store, rollup_dataset(rollup, rolled.schema))
     manifest = table.manifest()

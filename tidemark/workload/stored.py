@@ -329,7 +329,7 @@ def _compact_table(spark, sf):
     bars = PublishedTable(spark, target, spec.dataset())
     limit = upkeep.compact_limit(spec, bars.max_date())
     done = upkeep.compact(bars, limit, spec.segment_by)
-    rows = bars.read(with_bucket=True).groupBy("bucket").agg(
+    rows = bars.read(with_bucket=True).withColumnRenamed("__bucket", "bucket").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sum("close").alias("total")
     )
     return rows.withColumn("compacted", F.col("bucket").isin(done))
