@@ -260,3 +260,44 @@ def test_read_all_unites_types(spark, tmp_path):
     both = files.read_all(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
     assert sorted((r["v"], r["w"]) for r in both.collect()) == [("1", None), ("x", 2)]
     assert relaxed_union(both).columns == ["v", "w"]
+
+
+def test_files_with_other_headers_are_read_by_name(spark, tmp_path):
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    (folder / "a.csv").write_text("KEY,TIME_PERIOD,OBS_VALUE\nx,2024-01,1\n")
+    (folder / "b.csv").write_text("OBS_VALUE,KEY,TIME_PERIOD\r\n2,y,2024-02\r\n")
+    (folder / "c.csv").write_text("KEY,TIME_PERIOD,OBS_VALUE\nz,2024-03,3\n")
+    rows = read_landed_table(spark, str(folder)).select("KEY", "TIME_PERIOD", "OBS_VALUE").collect()
+    assert sorted(map(tuple, rows)) == [("x", "2024-01", "1"), ("y", "2024-02", "2"), ("z", "2024-03", "3")]
+    typed = read_landed_table(spark, str(folder), "OBS_VALUE INT, KEY STRING, NOTE STRING").collect()
+    assert sorted(map(tuple, typed)) == [(1, "x", None), (2, "y", None), (3, "z", None)]
+
+
+def test_payloads_over_many_lines_are_one(spark, tmp_path):
+    (tmp_path / "AAA.json").write_text('{"name": "a",\n "note": {"x": 1},\n "sic": "7"}\n')
+    landed_files = read_landed(spark, str(tmp_path))
+    row = bars.ticker_details(landed_files, BATCH).first()
+    assert (row["ticker"], row["name"], dict(row["extra"])) == ("AAA", "a", {"note": '{"x":1}', "sic": "7"})
+
+
+def test_listing_keeps_all_markets_and_fields(spark):
+    entries = {f"k{n}": {"ticker": f"T{n}", "market": "stocks" if n % 2 else "otc", "cik": n} for n in range(30)}
+    rows = bars.ticker_list(landed(spark, **entries), BATCH).collect()
+    assert len(rows) == 30 and {r["extra"]["cik"] for r in rows} == {str(n) for n in range(30)}
+
+
+def test_text_in_a_number_column_is_kept(spark):
+    report = {"fiscalDateEnding": "2024-01-31", "grossProfit": "n.m.", "totalRevenue": "5"}
+    row = fundamentals.fundamentals(landed(spark, A={"annualReports": [report]}), "income_statement", BATCH).first()
+    assert row["gross_profit"] is None and row["total_revenue"] == 5 and row["extra"]["gross_profit"] == "n.m."
+
+
+def test_one_bad_contract_does_not_stop_its_chain(spark):
+    rows = [("A", "2024-05-01", '{"contractSymbol":"C1"}'), ("B", "soon", '{"contractSymbol":"C2"}'), ("C", "2024-05-01", "{")]
+    frame = spark.createDataFrame(rows, "underlying STRING, expiry STRING, raw STRING").selectExpr(
+        "*", "1.0D AS quick_price", "2.0D AS profile_price", "timestamp'2024-01-01' AS snapshot_ts"
+    )
+    assert [r["contractSymbol"] for r in options.parse_chain(frame).collect()] == ["C1"]
+    reasons = frame.select(options.contract_problem().alias("r")).collect()
+    assert [r["r"] for r in reasons] == [None, "bad expiry", "not JSON"]

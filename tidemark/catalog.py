@@ -90,6 +90,8 @@ class Dataset:
     # The column a per-key save isolates failures by ("ticker", "country", ...).
     item_column: str | None = None
     lookback_days: int | None = None
+    # Whether the start date of an increment is cut to its month.
+    monthly_start: bool = False
     # Sort order inside a bucket, for lookups.
     cluster_by: tuple[str, ...] = ()
     bloom_columns: tuple[str, ...] = ()
@@ -206,6 +208,8 @@ _DATASETS = [
             *_AUDIT,
         ),
         keys=("date", "maturity", "curve_type", "bond_type", "country"),
+        lookback_days=7,
+        monthly_start=True,
         bucket_width="year",
         cluster_by=("maturity", "curve_type", "date"),
     ),
@@ -224,6 +228,8 @@ _DATASETS = [
         keys=("country", "date", "int_rt"),
         bucket_width=None,
         bucket_column="country",
+        lookback_days=7,
+        monthly_start=True,
         item_column="country",
         cluster_by=("date",),
     ),
@@ -242,6 +248,8 @@ _DATASETS = [
         ),
         keys=("date", "country", "item", "unit"),
         bucket_width="year",
+        lookback_days=7,
+        monthly_start=True,
         cluster_by=("country", "item", "date"),
     ),
     Dataset(
@@ -259,6 +267,8 @@ _DATASETS = [
         ),
         keys=("date", "country", "na_item", "unit", "s_adj"),
         bucket_width="year",
+        lookback_days=7,
+        monthly_start=True,
         cluster_by=("country", "date"),
     ),
     Dataset(
@@ -315,6 +325,7 @@ _DATASETS = [
             "total_employees BIGINT",
             "address STRING",
             "branding STRING",
+            _EXTRA,
             *_AUDIT,
         ),
         keys=("ticker",),
@@ -334,6 +345,7 @@ _DATASETS = [
             "type STRING",
             "active BOOLEAN",
             "currency_name STRING",
+            _EXTRA,
             *_AUDIT,
         ),
         keys=("market", "ticker"),

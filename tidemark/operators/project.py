@@ -97,12 +97,12 @@ def incremental_start(
 
 
 def incremental_start_by(
-    existing: DataFrame, item: str, lookback_days: int, column: str = "date"
+    existing: DataFrame, item: str, lookback_days: int, column: str = "date", monthly: bool = False
 ) -> DataFrame:
     """``incremental_start`` for every country or ticker at once."""
-    return existing.groupBy(item).agg(
-        days_before(F.max(_name(column)), lookback_days).alias("start_date")
-    )
+    start = days_before(F.max(_name(column)), lookback_days)
+    start = F.trunc(start, "month") if monthly else start
+    return existing.groupBy(item).agg(start.alias("start_date"))
 
 
 def incremental_since(
@@ -122,10 +122,15 @@ def incremental_since(
 
 
 def incremental_since_by(
-    existing: DataFrame, new: DataFrame, item: str, lookback_days: int, column: str = "date"
+    existing: DataFrame,
+    new: DataFrame,
+    item: str,
+    lookback_days: int,
+    column: str = "date",
+    monthly: bool = False,
 ) -> DataFrame:
     """New rows from each item's own start date on; unknown items are taken whole."""
-    starts = incremental_start_by(existing, item, lookback_days, column)
+    starts = incremental_start_by(existing, item, lookback_days, column, monthly)
     return (
         new.join(starts, item, "left")
         .where(F.col("start_date").isNull() | (_name(column) >= F.col("start_date")))

@@ -19,12 +19,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import DATASETS
 from tidemark.operators.ledger import LEDGER_SCHEMA
-from tidemark.operators.project import select_series
 from tidemark.operators.reshape import full_curve, single_curve
 from tidemark.operators.union import relaxed_union
 from tidemark.plans.save import read_dataset, save_by_item, save_dataset
@@ -144,11 +143,15 @@ def ingest(
     batch_ts: dt.datetime | str,
     items: str | Iterable[str] = "ALL",
     run_id: str | None = None,
+    full_history: bool = False,
 ) -> DataFrame:
     """Read what has landed for a dataset and save it. Returns its ledger rows.
 
     ``items`` picks tickers, countries or underlyings. Datasets of many items
-    are saved with failures isolated per item, the others as a whole.
+    are saved with failures isolated per item, the others as a whole. Every
+    item that landed or was asked for has a ledger row: saved, failed with the
+    reason, or skipped. ``full_history`` takes all landed rows in place of those
+    from the dataset's start date on.
     """
     dataset = DATASETS[name]
     run_id = run_id or f"{name}-{batch_ts}"
@@ -157,15 +160,84 @@ def ingest(
         row = (run_id, name, name, "skipped", "nothing landed")
         return spark.createDataFrame([row], LEDGER_SCHEMA)
     batch = FEEDS[name](spark, folder, batch_ts)
+    lookback = None if full_history else dataset.lookback_days
+    monthly = dataset.monthly_start
     if dataset.item_column:
-        wanted = items if items == "ALL" else [i.upper() for i in ([items] if isinstance(items, str) else items)]
-        batch = select_series(batch, wanted, dataset.item_column)
-        return save_by_item(spark, store, dataset, batch, dataset.lookback_days, run_id)
-    outcome = save_dataset(spark, store, dataset, batch, dataset.lookback_days)
+        asked = None if items == "ALL" else [items] if isinstance(items, str) else list(items)
+        if asked is not None:
+            upper = [i.upper() for i in asked]
+            batch = batch.where(F.upper(dataset.item_column).isin(upper))
+        ledger = save_by_item(spark, store, dataset, batch, lookback, run_id, monthly)
+        return _whole_ledger(spark, store, folder, name, ledger, run_id, asked)
+    outcome = save_dataset(spark, store, dataset, batch, lookback, monthly)
     row = (run_id, name, name, outcome.status, outcome.reason)
     return spark.createDataFrame([row], LEDGER_SCHEMA)
 
 
+def _line_symbols(spark: SparkSession, folder: str, problem: Column) -> DataFrame:
+    lines = _lines(spark, folder, "ticker").withColumnRenamed("ticker", "symbol")
+    return lines.select("symbol", problem.alias("reason"))
+
+
+def _contract_symbols(spark: SparkSession, folder: str) -> DataFrame:
+    sides = [_lines(spark, f"{folder}/{side}", "underlying", "expiry") for side in ("calls", "puts")]
+    both = sides[0].unionByName(sides[1])
+    return both.select(F.col("underlying").alias("symbol"), options.contract_problem().alias("reason"))
+
+
+def _payload_symbols(problem: Callable[[], Column]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: read_landed(spark, folder).select("symbol", problem().alias("reason"))
+
+
+# What has landed, by symbol, with the reason where it cannot be used.
+LANDED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "daily_bars": lambda spark, folder: _line_symbols(spark, folder, bars.bar_problem()),
+    "daily_open_close": lambda spark, folder: _line_symbols(spark, folder, bars.payload_problem()),
+    "ticker_details": _payload_symbols(bars.payload_problem),
+    **{name: _payload_symbols(fundamentals.statement_problem) for name in fundamentals.STATEMENTS},
+    "overview": _payload_symbols(fundamentals.overview_problem),
+    **{name: _payload_symbols(fundamentals.adjusted_problem) for name in fundamentals.INTERVALS},
+    "options": _contract_symbols,
+}
+
+
+def _whole_ledger(
+    spark: SparkSession,
+    store: str,
+    folder: str,
+    name: str,
+    ledger: DataFrame,
+    run_id: str,
+    asked: list[str] | None,
+) -> DataFrame:
+    """The ledger of the saved rows, with what landed without usable rows and what did not land.
+
+    A line without a symbol is listed as "?", so that broken text is not lost from sight.
+    """
+    if name in LANDED:
+        symbol = F.coalesce(F.upper("symbol"), F.when(F.col("reason").isNotNull(), F.lit("?")))
+        landed = LANDED[name](spark, folder).select(symbol.alias("item"), "reason").where(F.col("item").isNotNull())
+        others = landed.groupBy("item").agg(F.min("reason").alias("reason"))
+    else:
+        others = spark.createDataFrame([], "item STRING, reason STRING")
+    if asked is not None:
+        upper = [i.upper() for i in asked]
+        others = others.where(F.col("item").isin(upper)).unionByName(
+            spark.createDataFrame([(i, None) for i in upper], others.schema)
+        )
+        others = others.groupBy("item").agg(F.min("reason").alias("reason"))
+    rest = others.join(ledger.select(F.upper("item").alias("item")), "item", "left_anti").select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(name).alias("dataset"),
+        "item",
+        F.when(F.col("reason").isNull(), "skipped").otherwise("failed").alias("status"),
+        F.coalesce("reason", F.lit("no rows")).alias("reason"),
+    )
+    path = f"{store.rstrip('/')}/_run_ledger"
+    rest.write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path).where(F.col("run_id") == run_id)
+
+
 def ingest_bundle(
     spark: SparkSession, store: str, landing: str, bundle: str, batch_ts: dt.datetime | str
 ) -> DataFrame:

@@ -168,6 +168,7 @@ def save_by_item(
     new: DataFrame,
     lookback_days: int | None = None,
     run_id: str | None = None,
+    monthly_start: bool = False,
 ) -> DataFrame:
     """Merge a batch of many tickers or countries in one job, failures isolated.
 
@@ -190,7 +191,9 @@ def save_by_item(
             # The start dates come from all buckets, unless a bucket is an item.
             own = dataset.bucket_column == item
             known = table.read(manifest=base, keep=touched.__contains__ if own else None)
-            fresh = incremental_since_by(known, new, item, lookback_days, dataset.date_column)
+            fresh = incremental_since_by(
+                known, new, item, lookback_days, dataset.date_column, monthly_start
+            )
         folder, schema = _stage_merged(table, base, fresh, touched)
         failing = _failing(table, base, folder, schema, new.select(item), touched)
         # Failures are rare: only they pay for a second merge, of the batch without them.
@@ -273,7 +276,9 @@ def save_bundle(
     for name, batch in batches.items():
         dataset = DATASETS[name]
         try:
-            outcome = save_dataset(spark, store, dataset, batch, dataset.lookback_days)
+            outcome = save_dataset(
+                spark, store, dataset, batch, dataset.lookback_days, dataset.monthly_start
+            )
             rows.append((run_id, name, name, outcome.status, outcome.reason))
         except Exception as error:  # the reason is kept, the next dataset goes on
             rows.append((run_id, name, name, "failed", str(error).splitlines()[0]))

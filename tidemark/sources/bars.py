@@ -6,13 +6,13 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import constants as K
 from tidemark.catalog import DATASETS
 from tidemark.functions import lenient_date, ms_to_date
 from tidemark.operators.limits import paged_limit
 from tidemark.operators.project import between_dates, conform, with_audit
+from tidemark.sources.landed import error_payload, is_broken_json
 
 BAR_PAYLOAD = (
     "timestamp BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE, "
@@ -25,9 +25,7 @@ OPEN_CLOSE_PAYLOAD = (
 DETAILS_PAYLOAD = (
     "name STRING, market STRING, locale STRING, primary_exchange STRING, type STRING, "
     "active BOOLEAN, currency_name STRING, cik STRING, market_cap DOUBLE, list_date STRING, "
-    "total_employees BIGINT, "
-    "address STRUCT<address1: STRING, city: STRING, state: STRING, postal_code: STRING>, "
-    "branding STRUCT<logo_url: STRING, icon_url: STRING>"
+    "total_employees BIGINT, address STRING, branding STRING"
 )
 LISTING_PAYLOAD = (
     "ticker STRING, name STRING, market STRING, locale STRING, primary_exchange STRING, "
@@ -70,30 +68,44 @@ def open_close(
     )
 
 
-def flatten_object(df: DataFrame, column: str) -> DataFrame:
-    """Fields of a struct as columns; nested objects become JSON text, lists stay."""
-    out = [F.col(c) for c in df.columns if c != column]
-    for f in df.schema[column].dataType:
-        value = F.col(f"{column}.`{f.name}`")
-        if isinstance(f.dataType, (T.StructType, T.MapType)):
-            value = F.to_json(value)
-        out.append(value.alias(f.name))
-    return df.select(*out)
+def _with_extra(raw: Column, payload: str, name: str) -> tuple[Column, Column]:
+    """Declared fields of an object, nested ones as their JSON text, and a map of all others."""
+    declared = [f.split(" ")[0] for f in payload.split(", ")]
+    every = F.from_json(raw, "map<string,string>")
+    others = F.map_filter(every, lambda k, v: ~k.isin(declared) & v.isNotNull())
+    return F.from_json(raw, payload).alias(name), others.alias("extra")
 
 
 def ticker_details(landed: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
-    """Company details, one row per payload."""
-    parsed = landed.select(
-        F.upper("symbol").alias("ticker"), F.from_json("raw", DETAILS_PAYLOAD).alias("details")
-    )
-    rows = with_audit(flatten_object(parsed, "details"), K.SOURCE_BARS, batch_ts)
-    return conform(rows, DATASETS["ticker_details"].schema)
+    """Company details, one row per payload; fields that are not declared stay in ``extra``."""
+    details, extra = _with_extra(F.col("raw"), DETAILS_PAYLOAD, "details")
+    rows = landed.select(F.upper("symbol").alias("ticker"), details, extra).select("ticker", "details.*", "extra")
+    return conform(with_audit(rows, K.SOURCE_BARS, batch_ts), DATASETS["ticker_details"].schema)
+
+
+def payload_problem() -> Column:
+    """Why a JSON payload cannot be used, else null."""
+    raw = F.col("raw")
+    return F.when(is_broken_json(raw), F.lit("not JSON")).otherwise(error_payload(raw))
+
+
+def bar_problem() -> Column:
+    """Why a line of bars cannot be used, else null."""
+    missing = F.get_json_object("raw", "$.timestamp").isNull()
+    return F.coalesce(payload_problem(), F.when(missing, F.lit("no timestamp")))
 
 
 def ticker_list(
-    landed: DataFrame, batch_ts: dt.datetime | str, market: str = "stocks", limit: int = 2_500
+    landed: DataFrame, batch_ts: dt.datetime | str, market: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Listing of one market, sorted by ticker, up to ``limit`` rounded up to whole pages."""
-    parsed = landed.select(F.from_json("raw", LISTING_PAYLOAD).alias("entry")).select("entry.*")
-    rows = parsed.where(F.col("market") == market).orderBy("ticker").limit(paged_limit(limit))
+    """Listing of all markets, or of one; fields that are not declared stay in ``extra``.
+
+    With a ``limit``, the first rows by ticker, rounded up to whole pages.
+    """
+    entry, extra = _with_extra(F.col("raw"), LISTING_PAYLOAD, "entry")
+    rows = landed.select(entry, extra).select("entry.*", "extra").where(F.col("ticker").isNotNull())
+    if market is not None:
+        rows = rows.where(F.col("market") == market)
+    if limit is not None:
+        rows = rows.orderBy("ticker").limit(paged_limit(limit))
     return conform(with_audit(rows, K.SOURCE_BARS, batch_ts), DATASETS["ticker_list"].schema)

@@ -48,7 +48,10 @@ def _finish(
     """Fixed columns, promoted columns, the rest in ``extra``, audit columns."""
     promoted = _declared(name, fixed)
     known = [f.name for f in promoted]
-    rest = F.map_filter("fields", lambda k, v: ~k.isin(known) & null_token_text(v).isNotNull())
+    numbers = [f.name for f in promoted if not isinstance(f.dataType, T.StringType)]
+    # Text where a number is declared is no number, but it is kept.
+    stray = lambda k, v: k.isin(numbers) & null_token_number(v).isNull()
+    rest = F.map_filter("fields", lambda k, v: (~k.isin(known) | stray(k, v)) & null_token_text(v).isNotNull())
     shaped = rows.select(
         *fixed, *[_promote(F.col("fields"), f).alias(f.name) for f in promoted], rest.alias("extra")
     )
@@ -103,6 +106,12 @@ def fundamentals(landed: DataFrame, statement: str, batch_ts: dt.datetime | str)
     return _finish(shaped, statement, fixed, batch_ts)
 
 
+def overview_problem() -> Column:
+    """Why a profile cannot be used, else null."""
+    absent = F.get_json_object("raw", "$.Symbol").isNull()
+    return F.coalesce(statement_problem(), F.when(absent, F.lit("no symbol")))
+
+
 def overview(landed: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
     """Company profiles, one row each; payloads without ``Symbol`` give none."""
     rows = landed.select(

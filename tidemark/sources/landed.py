@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.union import relaxed_union
 
 
 def read_landed(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
@@ -17,8 +20,7 @@ def read_landed(spark: SparkSession, path: str, one_per_line: bool = False) -> D
     ``one_per_line`` reads files that hold one payload per line and carry the
     symbol inside the payload.
     """
-    reader = spark.read if one_per_line else spark.read.option("wholetext", "true")
-    text = reader.option("recursiveFileLookup", "true").text(path)
+    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=not one_per_line)
     file_name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[A-Za-z]+)?$", 1)
     return text.select(file_name.alias("symbol"), F.col("value").alias("raw"))
 
@@ -26,9 +28,28 @@ def read_landed(spark: SparkSession, path: str, one_per_line: bool = False) -> D
 def read_landed_table(
     spark: SparkSession, path: str, schema: str | None = None, sep: str = ","
 ) -> DataFrame:
-    """Delimited landed files with a header; columns stay text unless a schema is given."""
+    """Delimited landed files with a header; columns stay text unless a schema is given.
+
+    Files may differ in which columns they have and in their order: those with
+    the same header line are read together, and the groups are united by name.
+    """
     reader = spark.read.option("header", "true").option("sep", sep)
-    return (reader.schema(schema) if schema else reader).csv(path)
+    files = spark.read.text(path, wholetext=True)
+    header = F.regexp_replace(F.substring_index("value", "\n", 1), r"\r$", "")
+    groups = (
+        files.select(header.alias("header"), F.col("_metadata.file_path").alias("file"))
+        .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    )
+    if len(groups) < 2:
+        return (reader.schema(schema) if schema else reader).csv(path)
+    read = relaxed_union(*[reader.csv(group["files"]) for group in groups])
+    if schema is None:
+        return read
+    wanted = T.StructType.fromDDL(schema)
+    return read.select(*[
+        (F.col(f"`{f.name}`") if f.name in read.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in wanted
+    ])
 
 
 def is_broken_json(raw: Column) -> Column:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog import DATASETS
-from tidemark.functions import first_available, strict_date, to_decimal6
+from tidemark.functions import first_available, lenient_date, to_decimal6
 from tidemark.operators.joins import requested_vs_available
 from tidemark.operators.merge import dedupe_grain
 from tidemark.operators.reshape import chains_to_long
+from tidemark.sources.landed import is_broken_json
 
 CHAIN_PAYLOAD = (
     "contractSymbol STRING, lastTradeDate TIMESTAMP, strike DOUBLE, lastPrice DOUBLE, "
@@ -25,16 +26,29 @@ def parse_chain(landed: DataFrame) -> DataFrame:
     """Contract payloads, one JSON object per row, next to their snapshot envelope.
 
     The envelope has ``underlying``, ``expiry`` (text), ``quick_price``,
-    ``profile_price`` and ``snapshot_ts``; the quick quote is preferred.
+    ``profile_price`` and ``snapshot_ts``; the quick quote is preferred. Contracts
+    with a bad expiry or a broken payload are left out (``contract_problem``).
     """
     spot = first_available(to_decimal6("quick_price"), to_decimal6("profile_price"))
     return landed.select(
         "underlying",
-        strict_date("expiry").alias("expiry"),
+        lenient_date("expiry").alias("expiry"),
         spot.alias("underlying_price"),
         "snapshot_ts",
         F.from_json("raw", CHAIN_PAYLOAD).alias("contract"),
-    ).select("underlying", "expiry", "underlying_price", "snapshot_ts", "contract.*")
+    ).where(F.col("expiry").isNotNull() & F.col("contract.contractSymbol").isNotNull()).select(
+        "underlying", "expiry", "underlying_price", "snapshot_ts", "contract.*"
+    )
+
+
+def contract_problem() -> Column:
+    """Why a contract cannot be used, else null: one bad contract does not stop its chain."""
+    symbol = F.get_json_object("raw", "$.contractSymbol")
+    return (
+        F.when(is_broken_json(F.col("raw")), F.lit("not JSON"))
+        .when(symbol.isNull(), F.lit("no contract symbol"))
+        .when(lenient_date("expiry").isNull(), F.lit("bad expiry"))
+    )
 
 
 def option_chain(

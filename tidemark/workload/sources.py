@@ -321,17 +321,22 @@ def _open_close(spark, sf):
 @query("ticker_details", """
     SELECT upper(s_name) AS ticker, s_name AS name, s_acctbal > 0 AS active,
            round(s_acctbal * 100) AS market_cap,
-           '{"city":"' || s_nationkey || '","state":"x"}' AS address, CAST(NULL AS VARCHAR) AS branding
+           '{"city":"' || s_nationkey || '","state":"x"}' AS address, CAST(NULL AS VARCHAR) AS branding,
+           'S' || s_suppkey AS sic_code
     FROM supplier""")
 def _ticker_details(spark, sf):
     address = F.struct(F.col("s_nationkey").cast("string").alias("city"), F.lit("x").alias("state"))
     details = F.struct(
         F.col("s_name").alias("name"), (F.col("s_acctbal") > 0).alias("active"),
         cents("s_acctbal").alias("market_cap"), address.alias("address"),
+        F.concat(F.lit("S"), F.col("s_suppkey")).alias("sic_code"),
     )
     landed = table(spark, sf, "supplier").select(F.col("s_name").alias("symbol"), F.to_json(details).alias("raw"))
     rows = bars.ticker_details(landed, BATCH_TS)
-    return rows.select("ticker", "name", "active", "market_cap", "address", "branding")
+    # Fields that are not declared come along.
+    return rows.select(
+        "ticker", "name", "active", "market_cap", "address", "branding", F.col("extra")["sic_code"].alias("sic_code")
+    )
 
 
 @query("ticker_list", """
