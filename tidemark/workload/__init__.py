@@ -5,7 +5,7 @@ roles of tickers, series, dates and values. Money is read in whole cents, so
 sums are exact whatever order they are formed in. Dates are shown as ISO text.
 """
 
-from tidemark.workload import quality, reshaping, rollups, scalars, sources, stored
+from tidemark.workload import jobs, quality, reshaping, rollups, scalars, sources, stored
 from tidemark.workload.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "quality", "reshaping", "rollups", "scalars", "sources", "stored"]
+__all__ = ["QUERIES", "SQL", "jobs", "quality", "reshaping", "rollups", "scalars", "sources", "stored"]
