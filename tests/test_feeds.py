@@ -106,3 +106,65 @@ def test_ingest_twice_changes_nothing(spark, landing, tmp_path):
         ingest(spark, store, landing, "options", BATCH)
     rows = read_dataset(spark, store, "options")
     assert sorted(r["contract_symbol"] for r in rows.collect()) == ["C1", "P1"]
+
+
+def ledger_of(rows) -> dict:
+    return {r["item"]: (r["status"], r["reason"]) for r in rows.collect()}
+
+
+def test_every_symbol_has_a_ledger_row(spark, tmp_path):
+    bar = {"timestamp": 1704067200000, "open": 1, "close": 2}
+    lines = [{**bar, "ticker": "a"}, {"ticker": "c", "open": 1}, {"ticker": "n", "Note": "limit"}]
+    put(tmp_path / "landing/daily_bars/b.json", "\n".join(map(json.dumps, lines)) + '\n{"ticker": "b", "op\n')
+    whole = ingest(spark, f"{tmp_path}/one", f"{tmp_path}/landing", "daily_bars", BATCH)
+    assert ledger_of(whole) == {
+        "A": ("saved", None), "C": ("failed", "no timestamp"), "N": ("failed", "limit"), "?": ("failed", "not JSON"),
+    }
+    some = ingest(spark, f"{tmp_path}/two", f"{tmp_path}/landing", "daily_bars", BATCH, items=["a", "C", "missing"])
+    assert ledger_of(some) == {
+        "A": ("saved", None), "C": ("failed", "no timestamp"), "MISSING": ("skipped", "no rows"),
+    }
+
+
+def test_refused_statements_and_bad_contracts_are_reported(spark, tmp_path):
+    put(tmp_path / "landing/income_statement/ibm.json", {"Note": "limit"})
+    rows = ingest(spark, f"{tmp_path}/s", f"{tmp_path}/landing", "income_statement", BATCH)
+    assert ledger_of(rows) == {"IBM": ("failed", "limit")}
+    good = {"underlying": "aaa", "expiry": "2026-06-15", "contractSymbol": "C1", "strike": 1.0}
+    bad = {**good, "underlying": "bbb", "expiry": "soon"}
+    put(tmp_path / "landing/options/calls/c.json", json.dumps(good) + "\n" + json.dumps(bad))
+    put(tmp_path / "landing/options/puts/p.json", {**good, "contractSymbol": "P1"})
+    rows = ingest(spark, f"{tmp_path}/s", f"{tmp_path}/landing", "options", BATCH)
+    assert ledger_of(rows) == {"AAA": ("saved", None), "BBB": ("failed", "bad expiry")}
+
+
+def test_a_listing_is_kept_whole_and_found_by_market(spark, tmp_path):
+    lines = [{"ticker": f"T{n:04d}", "market": "stocks"} for n in range(3000)] + [{"ticker": "O", "market": "otc"}]
+    put(tmp_path / "landing/ticker_list/l.json", "\n".join(map(json.dumps, lines)))
+    ingest(spark, f"{tmp_path}/s", f"{tmp_path}/landing", "ticker_list", BATCH)
+    assert read_dataset(spark, f"{tmp_path}/s", "ticker_list").count() == 3001
+    rows = ingest(spark, f"{tmp_path}/t", f"{tmp_path}/landing", "ticker_list", BATCH, items=["stocks"])
+    assert [tuple(r)[2:] for r in rows.collect() if r["item"] == "stocks"] == [("stocks", "saved", None)]
+    assert read_dataset(spark, f"{tmp_path}/t", "ticker_list").count() == 3000
+
+
+def test_statistical_sets_start_with_a_month(spark, tmp_path):
+    def land(name: str, *values: tuple[str, int]) -> None:
+        header = f"freq,unit,coicop,{K.GEO_COLUMN}," + ",".join(m for m, _ in values)
+        put(tmp_path / f"{name}/eurostat_hicp/d.csv", header + "\nM,I15,CP00,DE," + ",".join(str(v) for _, v in values) + "\n")
+
+    land("one", ("2024-01", 1), ("2024-02", 1), ("2024-03", 1))
+    land("two", ("2024-01", 2), ("2024-02", 2), ("2024-03", 2), ("2024-04", 2))
+    store = f"{tmp_path}/s"
+
+    def values() -> list:
+        rows = read_dataset(spark, store, "eurostat_hicp").orderBy("date").collect()
+        return [(r["date"], r["value"]) for r in rows]
+
+    ingest(spark, store, f"{tmp_path}/one", "eurostat_hicp", "2024-06-01")
+    ingest(spark, store, f"{tmp_path}/two", "eurostat_hicp", "2024-07-01")
+    # Seven days before 2024-03-01 lie in February, which is taken from its first day on.
+    months = [day(f"2024-0{m}-01") for m in (1, 2, 3, 4)]
+    assert values() == list(zip(months, [1.0, 2.0, 2.0, 2.0]))
+    ingest(spark, store, f"{tmp_path}/two", "eurostat_hicp", "2024-08-01", full_history=True)
+    assert values() == list(zip(months, [2.0] * 4))

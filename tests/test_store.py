@@ -480,3 +480,36 @@ def test_landed_stream_equals_batch_and_survives_a_replay(spark, store, tmp_path
     # The same files again, as after a lost checkpoint.
     run("two")
     assert stored(spark, store) == want
+
+
+def test_rows_that_break_declared_keys_are_set_aside(spark, store):
+    rows = bars(spark, ("A", "2024-01-01", 1.0, "2024-01-01"), ("A", "2024-01-01", 2.0, "2024-01-02"), ("B", None, 3.0, "2024-01-01"))
+    done = load.load_table(spark, store, "market_data_daily", rows)
+    assert done[1:4] == ("loaded", "set aside: 1 rows with null keys, 1 rows with repeated keys", 1)
+    table = PublishedTable(spark, store, TABLES["market_data_daily"].dataset())
+    assert [r["close"] for r in table.read().collect()] == [2.0]
+
+
+def test_a_rollup_with_a_bucket_of_no_date_is_refreshed(spark, store):
+    rows = bars(spark, ("A", "2024-01-01", 1.0, "2024-01-01"), ("A", "2024-02-01", 2.0, "2024-01-02"))
+    base = PublishedTable(spark, store, TABLES["market_data_daily"].dataset())
+    base.replace(rows.unionByName(bars(spark, ("B", None, 3.0, "2024-01-01"))))
+    rollup.build_rollup(spark, store, "ohlcv_monthly")
+    assert rollup.refresh_rollup(spark, store, "ohlcv_monthly", day("2024-03-05")) >= 1
+    upkeep.retain(base, 24, day("2024-06-15"))
+
+
+def test_a_stream_stops_on_a_failed_gate(spark, tmp_path):
+    from tidemark.streaming import bucket_stream
+
+    spark.createDataFrame([(ts("2024-01-01"), "k", 1.0)], "at TIMESTAMP, k STRING, x DOUBLE").write.parquet(f"{tmp_path}/in")
+    dataset = Dataset(
+        "totals", table_schema("bucket_start DATE", "k STRING", "total DOUBLE", "last_fetched_at TIMESTAMP"),
+        keys=("bucket_start", "k"), date_column="bucket_start",
+        gate=Gate(required=(), not_all_null=(), date_column="bucket_start", min_rows=5),
+    )
+    stream = spark.readStream.schema("at TIMESTAMP, k STRING, x DOUBLE").parquet(f"{tmp_path}/in")
+    query = bucket_stream(stream, "at", ["k"], [F.sum("x").alias("total")], f"{tmp_path}/s", dataset, f"{tmp_path}/c")
+    with pytest.raises(Exception, match="row_count"):
+        query.awaitTermination()
+    assert not PublishedTable(spark, f"{tmp_path}/s", dataset).exists()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,12 +41,34 @@ def _comparable(t: T.DataType) -> bool:
     return not isinstance(t, (T.MapType, T.ArrayType, T.StructType, T.VariantType))
 
 
-def _distinct(f: T.StructField, approximate: bool) -> Column:
+def _plain(f: T.StructField) -> Column:
+    """A column in a form whose equal values hash alike."""
     column = _name(f.name)
     if not _comparable(f.dataType):
-        column = F.to_json(F.struct(column))
-        column = F.when(_name(f.name).isNotNull(), column)
-    return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+        return F.when(column.isNotNull(), F.to_json(F.struct(column)))
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return column + F.lit(0.0)  # -0.0 is 0.0
+    return column
+
+
+def _uniques(df: DataFrame) -> DataFrame:
+    """One row: a map of column position to its number of different values.
+
+    What is shuffled is a pair of hashes for each value and column, formed and
+    made distinct before the shuffle, never the values themselves.
+    """
+    cells = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.xxhash64(_plain(f)).alias("h1"),
+            F.xxhash64(F.lit("second"), _plain(f)).alias("h2"),
+            _name(f.name).isNotNull().alias("filled"),
+        )
+        for i, f in enumerate(df.schema, 1)
+    ]
+    long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where("filled")
+    counts = long.groupBy("position", "h1", "h2").agg(F.first("filled")).groupBy("position").count()
+    return counts.agg(F.map_from_entries(F.collect_list(F.struct("position", "count"))).alias("uniques"))
 
 
 def _range(f: T.StructField) -> tuple[Column, Column, Column]:
@@ -80,32 +100,25 @@ def _kind(t: T.DataType) -> str:
     return "none"
 
 
-def _column_cell(df: DataFrame, position: int, f: T.StructField, approximate: bool) -> DataFrame:
-    """The statistics of one column, from a scan of that column alone."""
-    low, high, mean = _range(f)
-    one = df.select(_name(f.name)).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(_name(f.name)).alias("filled"),
-        _distinct(f, approximate).alias("distinct"),
-        low.alias("low"),
-        high.alias("high"),
-        mean.alias("mean"),
-    )
-    nulls = F.col("rows") - F.col("filled")
+def _column_cell(position: int, f: T.StructField, approximate: bool) -> Column:
+    """The statistics of one column out of the row of aggregates."""
+    at = lambda what: F.col(f"`{what}:{position}`")
+    nulls = F.col("`:rows`") - at("filled")
+    found = at("distinct") if approximate else F.coalesce(F.col("uniques")[position], F.lit(0))
     timed = _kind(f.dataType) == "time"
     number, moment = F.lit(None).cast("double"), F.lit(None).cast("string")
-    return one.select(
+    return F.struct(
         F.lit(position).alias("position"),
         F.lit(f.name).alias("column"),
         F.lit(f.dataType.simpleString()).alias("type"),
         F.lit(_kind(f.dataType)).alias("kind"),
         nulls.alias("nulls"),
-        (F.col("distinct") + (nulls > 0).cast("bigint")).alias("uniques"),
-        (number if timed else F.col("low").cast("double")).alias("min_number"),
-        (number if timed else F.col("high").cast("double")).alias("max_number"),
-        (number if timed else F.col("mean").cast("double")).alias("mean_number"),
-        (F.col("low").cast("string") if timed else moment).alias("min_time"),
-        (F.col("high").cast("string") if timed else moment).alias("max_time"),
+        (found + (nulls > 0).cast("bigint")).alias("uniques"),
+        (number if timed else at("low").cast("double")).alias("min_number"),
+        (number if timed else at("high").cast("double")).alias("max_number"),
+        (number if timed else at("mean").cast("double")).alias("mean_number"),
+        (at("low").cast("string") if timed else moment).alias("min_time"),
+        (at("high").cast("string") if timed else moment).alias("max_time"),
     )
 
 
@@ -116,15 +129,24 @@ def column_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
     percentage of true, text the shortest and longest length in characters;
     ``kind`` says which. Numeric results are in ``*_number``, times in
     ``*_time``. ``approximate`` trades exact unique counts for a sketch that
-    needs no shuffle of the values.
+    needs no shuffle at all.
 
-    Each column is aggregated by itself, in one job: a columnar scan reads no
-    byte twice that way, while several exact unique counts in one aggregate
-    would copy every row once per column. Meant for stored tables; a costly
-    plan should be stored before it is profiled.
+    All ranges come from one aggregate over one scan, the unique counts from a
+    second scan whose values are hashed to 128 bits before they are shuffled.
     """
-    cells = [_column_cell(df, i, f, approximate) for i, f in enumerate(df.schema, 1)]
-    return reduce(DataFrame.union, cells)
+    fields = list(enumerate(df.schema, 1))
+    aggregates = [F.count(F.lit(1)).alias(":rows")]
+    for i, f in fields:
+        low, high, mean = _range(f)
+        aggregates += [
+            F.count(_name(f.name)).alias(f"filled:{i}"), low.alias(f"low:{i}"), high.alias(f"high:{i}"), mean.alias(f"mean:{i}")
+        ]
+        if approximate:
+            aggregates.append(F.approx_count_distinct(_plain(f)).alias(f"distinct:{i}"))
+    one = df.agg(*aggregates)
+    if not approximate:
+        one = one.crossJoin(_uniques(df))  # one row by one row
+    return one.select(F.inline(F.array(*[_column_cell(i, f, approximate) for i, f in fields])))
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:
