@@ -12,7 +12,7 @@ import pytest
 from tests.llm.conftest import SF_DIR, prose
 from tidemark.llm import jaccard_join
 from tidemark.llm.components import components
-from tidemark.llm.jaccard_join import Tree, folded, link, may_link, representatives, shingles, vector
+from tidemark.llm.jaccard_join import Tree, counts_of, folded, link, may_link, representatives, shingles, vector
 
 
 def brute(docs, words: int, percent: int) -> dict:
@@ -90,8 +90,9 @@ def test_tree_leaves_nothing_out():
 
 def test_bounds_hold_for_folded_points():
     a, b = shingles(prose(1, 400), 4), shingles(prose(1, 330), 4)
-    x, y = (np.frombuffer(vector(s), np.uint8) for s in (a, b))
-    for groups in (32, 16):
+    x, y = (counts_of([vector(s)])[0] for s in (a, b))
+    assert x.sum() == len(a) and y.sum() == len(b)
+    for groups in (128, 32, 16):
         assert np.minimum(folded(x, groups), folded(y, groups)).sum() >= len(np.intersect1d(a, b))
 
 

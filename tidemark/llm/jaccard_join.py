@@ -61,12 +61,24 @@ def shingles(text: str, words: int) -> np.ndarray:
 
 
 def vector(made: np.ndarray) -> bytes:
-    """Counts by hash group, about eight a group; empty where a count does not fit, which rules nothing out."""
+    """Counts by hash group, one or two a group, in half a byte each.
+
+    Empty where a count does not fit, which rules nothing out.
+    """
     groups = 32
-    while groups * 8 < len(made):
+    while groups * 2 < len(made):
         groups *= 2
     counts = np.bincount((made & U(groups - 1)).astype(np.int64), minlength=groups)
-    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+    if counts.max(initial=0) > 15:
+        return b""
+    half = counts.astype(np.uint8).reshape(2, -1)
+    return (half[0] | half[1] << 4).tobytes()
+
+
+def counts_of(points: list[bytes]) -> np.ndarray:
+    """The counts of points of one size, a row each."""
+    packed = np.frombuffer(b"".join(points), np.uint8).reshape(len(points), -1)
+    return np.concatenate([packed & 15, packed >> 4], 1)
 
 
 def folded(v: np.ndarray, groups: int) -> np.ndarray:
@@ -87,11 +99,8 @@ def _pair_bounds(a: list[bytes], b: list[bytes], sizes: np.ndarray) -> np.ndarra
         if not la or not lb:
             out[at] = sizes[at]
             continue
-        for some in np.array_split(at, -(-len(at) * int(la + lb) // (1 << 24)) or 1):
-            x, y = (
-                folded(np.frombuffer(b"".join(v[k] for k in some), np.uint8).reshape(len(some), -1), min(la, lb))
-                for v in (a, b)
-            )
+        for some in np.array_split(at, -(-len(at) * int(la + lb) // (1 << 22)) or 1):
+            x, y = (folded(counts_of([v[k] for k in some]), 2 * min(la, lb)) for v in (a, b))
             out[some] = np.minimum(x, y).sum(1)
     return out
 
@@ -104,13 +113,13 @@ class Tree:
         self.levels: list[list[tuple]] = [[]]
         for low in range(0, len(sizes), LEAF):
             rows = np.arange(low, min(low + LEAF, len(sizes)))
-            groups = min(len(vectors[k]) for k in rows)
+            groups = 2 * min(len(vectors[k]) for k in rows)
             points = None
             if groups:
-                points = np.stack([folded(np.frombuffer(vectors[k], np.uint8), groups) for k in rows])
+                points = np.concatenate([folded(counts_of([vectors[k]]), groups) for k in rows])
             own = classes[rows]
-            self.levels[0].append((rows, points, None if points is None else points.max(0), sizes[rows[0]], sizes[rows[-1]],
-                                   own[0] if (own == own[0]).all() else None))
+            box, alone = None if points is None else points.max(0), (own == own[0]).all()
+            self.levels[0].append((rows, points, box, sizes[rows[0]], sizes[rows[-1]], own[0] if alone else None))
         while len(self.levels[-1]) > 1:
             below, above = self.levels[-1], []
             for low in range(0, len(below), LEAF):
@@ -120,7 +129,8 @@ class Tree:
                     groups = min(len(p[2]) for p in part)
                     box = np.max([folded(p[2], groups) for p in part], 0)
                 own = {p[5] for p in part}
-                above.append((range(low, low + len(part)), None, box, part[0][3], part[-1][4], own.pop() if len(own) == 1 else None))
+                alone = own.pop() if len(own) == 1 else None
+                above.append((range(low, low + len(part)), None, box, part[0][3], part[-1][4], alone))
             self.levels.append(above)
 
     def pairs(self, percent: int) -> np.ndarray:
@@ -341,7 +351,14 @@ def link(
     ).drop("component", "leader")
     mixed = sorted_in.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     inside = stored(sorted_in.join(mixed.select("token"), "token", "left_semi"), "mixed")
-    heads_of = inside.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_set("token")), 1, 4).alias("heads"))
+    heads_of = stored(
+        inside.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_set("token")), 1, 4).alias("heads")), "heads"
+    )
+    # A block whose documents all share one earlier block has nothing to add to that.
+    firsts = inside.join(heads_of.select("doc_id", F.col("heads")[0].alias("first")), "doc_id")
+    needed = firsts.groupBy("token").agg(F.min("first").alias("low"), F.max("first").alias("high"))
+    needed = needed.where("low < high OR high = token").select("token")
+    inside = stored(inside.join(needed, "token", "left_semi"), "needed")
     parts = F.ceil(F.col("rows") / PART).cast("int")
     dealt = (
         inside.join(light.join(heads_of, "doc_id"), "doc_id")
