@@ -374,3 +374,11 @@ def test_summary_without_numeric_columns_is_empty(spark):
 def test_nested_columns_are_profiled(spark):
     df = spark.createDataFrame([({"a": "1"}, [1]), ({"a": "1"}, [2])], "m MAP<STRING,STRING>, l ARRAY<INT>")
     assert {r["column"]: r["uniques"] for r in column_stats(df).collect()} == {"m": 1, "l": 2}
+
+
+def test_an_empty_table_has_the_schema_asked_for(spark):
+    from tidemark.operators.project import empty_like
+
+    for dataset in DATASETS.values():
+        empty = empty_like(spark, dataset.schema)
+        assert empty.schema == dataset.schema and empty.isEmpty()

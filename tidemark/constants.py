@@ -20,21 +20,65 @@ CONSTANT_MATURITY = {
     "30Y": "DGS30",
 }
 
-# Fitted curves have one series per whole year, 1 to 10, named by prefix.
-FITTED_YEARS = range(1, 11)
-FITTED_PREFIXES = {
-    "zero_coupon": "THREEFY",
-    "instantaneous_forward": "THREEFF",
-    "term_premium_spot": "THREEFYTP",
-    "term_premium_forward": "THREEFFTP",
+# Series of the fitted curves by tenor.
+ZERO_COUPON = {
+    "1Y": "THREEFY1",
+    "2Y": "THREEFY2",
+    "3Y": "THREEFY3",
+    "4Y": "THREEFY4",
+    "5Y": "THREEFY5",
+    "6Y": "THREEFY6",
+    "7Y": "THREEFY7",
+    "8Y": "THREEFY8",
+    "9Y": "THREEFY9",
+    "10Y": "THREEFY10",
+}
+
+INSTANTANEOUS_FORWARD = {
+    "1Y": "THREEFF1",
+    "2Y": "THREEFF2",
+    "3Y": "THREEFF3",
+    "4Y": "THREEFF4",
+    "5Y": "THREEFF5",
+    "6Y": "THREEFF6",
+    "7Y": "THREEFF7",
+    "8Y": "THREEFF8",
+    "9Y": "THREEFF9",
+    "10Y": "THREEFF10",
+}
+
+TERM_PREMIUM_SPOT = {
+    "1Y": "THREEFYTP1",
+    "2Y": "THREEFYTP2",
+    "3Y": "THREEFYTP3",
+    "4Y": "THREEFYTP4",
+    "5Y": "THREEFYTP5",
+    "6Y": "THREEFYTP6",
+    "7Y": "THREEFYTP7",
+    "8Y": "THREEFYTP8",
+    "9Y": "THREEFYTP9",
+    "10Y": "THREEFYTP10",
+}
+
+TERM_PREMIUM_FORWARD = {
+    "1Y": "THREEFFTP1",
+    "2Y": "THREEFFTP2",
+    "3Y": "THREEFFTP3",
+    "4Y": "THREEFFTP4",
+    "5Y": "THREEFFTP5",
+    "6Y": "THREEFFTP6",
+    "7Y": "THREEFFTP7",
+    "8Y": "THREEFFTP8",
+    "9Y": "THREEFFTP9",
+    "10Y": "THREEFFTP10",
 }
 
 CURVES: dict[str, dict[str, str]] = {
     "constant_maturity": CONSTANT_MATURITY,
-    **{
-        component: {f"{n}Y": f"{prefix}{n}" for n in FITTED_YEARS}
-        for component, prefix in FITTED_PREFIXES.items()
-    },
+    "zero_coupon": ZERO_COUPON,
+    "instantaneous_forward": INSTANTANEOUS_FORWARD,
+    "term_premium_spot": TERM_PREMIUM_SPOT,
+    "term_premium_forward": TERM_PREMIUM_FORWARD,
 }
 
 # Tenor prefixes in the combined wide curve.

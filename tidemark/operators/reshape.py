@@ -205,12 +205,14 @@ def chains_to_long(
     Both sides carry the snapshot envelope: ``underlying``, ``expiry``,
     ``underlying_price`` and ``snapshot_ts``. A column a side lacks is null.
     """
+    sides = [side.withColumn("type", F.lit(kind)) for side, kind in ((calls, "call"), (puts, "put"))]
+    return typed_chains_to_long(relaxed_union(*sides), source)
+
+
+def typed_chains_to_long(contracts: DataFrame, source: str = K.SOURCE_OPTIONS) -> DataFrame:
+    """``chains_to_long`` of contracts that carry their side as ``type``."""
     schema = DATASETS["options"].schema
-    sides = [
-        side.withColumnsRenamed(_CHAIN_NAMES).withColumn("type", F.lit(kind))
-        for side, kind in ((calls, "call"), (puts, "put"))
-    ]
-    both = relaxed_union(*sides)
+    both = contracts.withColumnsRenamed(_CHAIN_NAMES)
     have = set(both.columns)
     changes = {c: to_decimal6(c) for c in _MONEY if c in have}
     changes.update({c: to_long(c) for c in ("volume", "open_interest") if c in have})

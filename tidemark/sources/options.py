@@ -11,7 +11,8 @@ from tidemark.catalog import DATASETS
 from tidemark.functions import first_available, lenient_date, to_decimal6
 from tidemark.operators.joins import requested_vs_available
 from tidemark.operators.merge import dedupe_grain
-from tidemark.operators.reshape import chains_to_long
+from tidemark.operators.reshape import typed_chains_to_long
+from tidemark.operators.union import relaxed_union
 from tidemark.sources.landed import is_broken_json
 
 CHAIN_PAYLOAD = (
@@ -27,17 +28,20 @@ def parse_chain(landed: DataFrame) -> DataFrame:
 
     The envelope has ``underlying``, ``expiry`` (text), ``quick_price``,
     ``profile_price`` and ``snapshot_ts``; the quick quote is preferred. Contracts
-    with a bad expiry or a broken payload are left out (``contract_problem``).
+    with a bad expiry or a broken payload are left out (``contract_problem``). A
+    ``type`` (side) is kept.
     """
     spot = first_available(to_decimal6("quick_price"), to_decimal6("profile_price"))
+    kept = [c for c in ("type",) if c in landed.columns]
     return landed.select(
         "underlying",
         lenient_date("expiry").alias("expiry"),
         spot.alias("underlying_price"),
         "snapshot_ts",
         F.from_json("raw", CHAIN_PAYLOAD).alias("contract"),
+        *kept,
     ).where(F.col("expiry").isNotNull() & F.col("contract.contractSymbol").isNotNull()).select(
-        "underlying", "expiry", "underlying_price", "snapshot_ts", "contract.*"
+        "underlying", "expiry", "underlying_price", "snapshot_ts", *kept, "contract.*"
     )
 
 
@@ -58,14 +62,19 @@ def option_chain(
 
     A long request comes as a DataFrame with an ``expiry`` column.
     """
+    sides = [side.withColumn("type", F.lit(kind)) for side, kind in ((calls, "call"), (puts, "put"))]
+    return typed_option_chain(relaxed_union(*sides), expiries)
+
+
+def typed_option_chain(
+    contracts: DataFrame, expiries: Iterable[str] | DataFrame | None = None
+) -> DataFrame:
+    """``option_chain`` of contracts that carry their side as ``type``: one parse, one join."""
     if isinstance(expiries, DataFrame):
-        calls = calls.join(expiries, "expiry", "left_semi")
-        puts = puts.join(expiries, "expiry", "left_semi")
+        contracts = contracts.join(expiries, "expiry", "left_semi")
     elif expiries is not None:
-        wanted = [F.lit(e).cast("date") for e in expiries]
-        calls = calls.where(F.col("expiry").isin(wanted))
-        puts = puts.where(F.col("expiry").isin(wanted))
-    return dedupe_grain(chains_to_long(calls, puts), DATASETS["options"].keys)
+        contracts = contracts.where(F.col("expiry").isin([F.lit(e).cast("date") for e in expiries]))
+    return dedupe_grain(typed_chains_to_long(contracts), DATASETS["options"].keys)
 
 
 def missing_expiries(requested: DataFrame, calls: DataFrame, puts: DataFrame) -> DataFrame:

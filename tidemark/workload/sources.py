@@ -376,14 +376,12 @@ def _option_chain(spark, sf):
         F.lit(10.25).alias("profile_price"),
         F.lit(BATCH_TS).cast("timestamp").alias("snapshot_ts"),
         F.to_json(contract).alias("raw"),
-        "l_linestatus",
+        F.when(F.col("l_linestatus") == "O", "call").otherwise("put").alias("type"),
     )
-    calls = options.parse_chain(landed.where("l_linestatus = 'O'"))
-    puts = options.parse_chain(landed.where("l_linestatus = 'F'"))
     expiries = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(
         F.col("o_orderdate").cast("date").alias("expiry")
     )
-    chain = options.option_chain(calls, puts, expiries)
+    chain = options.typed_option_chain(options.parse_chain(landed), expiries)
     return shown(chain.select("underlying", "type", "expiry", "contract_symbol", "underlying_price"))
 
 

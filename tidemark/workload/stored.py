@@ -164,10 +164,11 @@ def _read_stored_key(spark, sf):
 
 
 @query("save_bundle", """
-    SELECT * FROM (VALUES
-      ('run-1', 'gsw_term_premiums', 'gsw_term_premiums', 'saved'),
-      ('run-1', 'eurostat_gdp', 'eurostat_gdp', 'failed'),
-      ('run-1', 'daily_bars', 'daily_bars', 'saved')) AS t(run_id, dataset, item, status)""")
+    SELECT 'run-1' AS run_id, 'gsw_term_premiums' AS dataset, 'saved' AS status,
+           count(DISTINCT (CAST(o_orderdate AS DATE), o_custkey)) AS rows FROM orders
+    UNION ALL SELECT 'run-1', 'eurostat_gdp', 'failed', 0
+    UNION ALL SELECT 'run-1', 'daily_bars', 'saved', count(DISTINCT (o_orderpriority, CAST(o_orderdate AS DATE)))
+    FROM orders""")
 def _save_bundle(spark, sf):
     # The dataset in the middle lacks key columns; the others are saved.
     store = scratch_root(spark, "bundle")
@@ -184,12 +185,19 @@ def _save_bundle(spark, sf):
         "eurostat_gdp": premiums.drop("tenor"),
         "daily_bars": _bar_batch(spark, sf),
     }
-    return save.save_bundle(spark, store, batches, "run-1").drop("reason")
+    ledger = save.save_bundle(spark, store, batches, "run-1").select("run_id", "dataset", "status")
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(name))
+        for name, rows in save.read_datasets(spark, store, batches).items()
+    ]
+    stored = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return ledger.join(stored, "dataset").select("run_id", "dataset", "status", "rows")
 
 
 @query("save_term_premiums", """
     WITH p AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderstatus AS s, max(o_orderkey) AS k
-               FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2)
+               FROM (SELECT * REPLACE (CASE o_orderstatus WHEN 'F' THEN 'F' ELSE 'O' END AS o_orderstatus) FROM orders)
+               GROUP BY 1, 2)
     SELECT CASE s WHEN 'F' THEN 'term_premium_spot' ELSE 'term_premium_forward' END AS component,
            CASE s WHEN 'F' THEN 'THREEFYTP1' ELSE 'THREEFFTP1' END AS fred_series_id,
            count(*) AS n, CAST(sum(k) AS DOUBLE) AS total
@@ -197,8 +205,8 @@ def _save_bundle(spark, sf):
 def _save_term_premiums(spark, sf):
     store = scratch_root(spark, "premiums")
 
-    def side(status, component, series):
-        return table(spark, sf, "orders").where(F.col("o_orderstatus") == status).select(
+    def side(condition, component, series):
+        return table(spark, sf, "orders").where(condition).select(
             F.col("o_orderdate").cast("date").alias("date"),
             F.lit("1Y").alias("tenor"),
             F.col("o_orderkey").cast("double").alias("value"),
@@ -207,8 +215,8 @@ def _save_term_premiums(spark, sf):
             F.timestamp_seconds(F.col("o_orderkey")).alias("last_fetched_at"),
         )
 
-    spot = side("F", "term_premium_spot", "THREEFYTP1")
-    forward = side("O", "term_premium_forward", "THREEFFTP1")
+    spot = side("o_orderstatus = 'F'", "term_premium_spot", "THREEFYTP1")
+    forward = side("o_orderstatus <> 'F'", "term_premium_forward", "THREEFFTP1")
     save.save_term_premiums(spark, store, spot, forward)
     return save.read_dataset(spark, store, "gsw_term_premiums").groupBy(
         "component", "fred_series_id"
