@@ -4,7 +4,7 @@ A document is a set of word shingles. Its point counts the shingles that fall in
 each hash group; two sets share at most the sum of the smaller counts, so most
 pairs need no look at the sets. The points of one tree cannot be kept apart
 when groups are many, so the join goes over blocks: two sets that link share one
-of the first few shingles of each in a common order (rare ones first), and each
+of the first few shingles of each in a common order (rare words first), and each
 block of documents with such a shingle is searched by its own R-tree.
 """
 
@@ -23,7 +23,7 @@ from tidemark.llm.components import components
 
 U = np.uint64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-#: Counters of shingle frequency; fixed, so that they may go to every task.
+#: Counters of word frequency; fixed, so that they may go to every task.
 COUNTERS = 1 << 17
 LEAF = 32
 #: Most points of a block in one task; larger blocks are dealt out as pairs of parts.
@@ -46,18 +46,39 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(29))
 
 
-def shingles(text: str, words: int) -> np.ndarray:
-    """Sorted hashes of the different shingles of a whole text; fewer words count as one shingle."""
+def word_hashes(text: str) -> np.ndarray:
     parts = text.encode("utf-8", "replace").translate(_LOWER).split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, parts), np.uint64, len(parts))
+    return np.fromiter(map(_WORDS.__getitem__, parts), np.uint64, len(parts))
+
+
+def _rolled(h: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of the shingles in order; fewer words count as one shingle."""
     width = min(words, len(h))
-    count = len(h) - width + 1
+    count = len(h) - width + 1 if width else 0
     made = np.full(count, width, np.uint64)
     for k in range(width):
         made = _mix(made * U(0x9E3779B97F4A7C15) + h[k : k + count])
-    return np.unique(made)
+    return made
+
+
+def shingles(text: str, words: int) -> np.ndarray:
+    """Sorted hashes of the different shingles of a whole text."""
+    return np.unique(_rolled(word_hashes(text), words))
+
+
+def ranked(text: str, words: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted shingles, and the place of each in the common order: the summed weights of its words.
+
+    A shingle of frequent words is frequent; its place depends on its words alone.
+    """
+    h = word_hashes(text)
+    made, first = np.unique(_rolled(h, words), return_index=True)
+    own = weight[(h & U(COUNTERS - 1)).astype(np.int64)]
+    width = min(words, len(h))
+    total = np.zeros(len(h) - width + 1 if width else 0, np.int16)
+    for k in range(width):
+        total += own[k : k + len(total)]
+    return made, total[first]
 
 
 def vector(made: np.ndarray) -> bytes:
@@ -170,15 +191,16 @@ class Tree:
 
 
 def _sketch(rows: DataFrame, words: int) -> DataFrame:
-    """One pass: (doc_id, n, signature) of every document, and the shingle counters of every task."""
+    """One pass: (doc_id, n, signature) of every document, and the word counters of every task."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             out, slots = [], []
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                made = shingles(text, words)
-                slots.append((made & U(COUNTERS - 1)).astype(np.int32))
+                h = word_hashes(text)
+                made = np.unique(_rolled(h, words))
+                slots.append((h & U(COUNTERS - 1)).astype(np.int32))
                 out.append((doc, len(made), xxhash.xxh3_128_digest(made.tobytes()), None))
             if slots:
                 counters += np.bincount(np.concatenate(slots), minlength=COUNTERS)
@@ -191,7 +213,7 @@ def _sketch(rows: DataFrame, words: int) -> DataFrame:
     return stored(rows.mapInPandas(sketch, "doc_id long, n long, signature binary, counter int"), "sketch")
 
 
-def _points(rows: DataFrame, words: int, percent: int, rank: np.ndarray, alike: DataFrame) -> DataFrame:
+def _points(rows: DataFrame, words: int, percent: int, weight: np.ndarray, alike: DataFrame) -> DataFrame:
     """(doc_id, n, point, prefix) of one document for each set, without those in ``alike``.
 
     ``prefix`` has the shingles of which a linked set must share one, rare ones first.
@@ -202,12 +224,12 @@ def _points(rows: DataFrame, words: int, percent: int, rank: np.ndarray, alike:
         for batch in batches:
             out = []
             for doc, text, again in zip(batch["doc_id"], batch["text"], copies.held(batch["slot"])):
-                made = shingles(text, words)
+                made, rank = ranked(text, words, weight)
                 if not len(made):
                     continue
                 least = -(-percent * len(made) // 100)
                 # The hashes are sorted, so a stable sort by rank leaves them in order within it.
-                order = np.argsort(rank[(made & U(COUNTERS - 1)).astype(np.int64)], kind="stable")
+                order = np.argsort(rank, kind="stable")
                 prefix = made[order[: len(made) - least + 1]].view(np.int64)
                 out.append((doc, len(made), xxhash.xxh3_128_digest(made.tobytes()), vector(made), prefix, again))
             yield pd.DataFrame(out, columns=["doc_id", "n", "signature", "point", "prefix", "again"])
@@ -317,10 +339,9 @@ def link(
     sizes = sketch.where("signature IS NOT NULL").drop("counter")
     known = rows.where("doc_id IS NOT NULL")
     counters = sketch.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("n").alias("n")).collect()
-    rank = np.zeros(COUNTERS, np.int8)
-    mean = max(1.0, sum(r["n"] for r in counters) / COUNTERS)
+    weight = np.zeros(COUNTERS, np.int16)
     for r in counters:
-        rank[r["counter"]] = max(0, int(np.log2(r["n"] / mean)))
+        weight[r["counter"]] = round(4 * np.log2(1 + r["n"]))
 
     # Equal sets need one point. Its id stands for them.
     real = sizes.where("n > 0 AND doc_id IS NOT NULL")
@@ -328,7 +349,7 @@ def link(
     alike = stored(
         real.join(heads.where("rows > 1"), "signature").where("doc_id <> head").select("doc_id", "head", "signature"), "alike"
     )
-    points = _points(known, words, percent, rank, alike)
+    points = _points(known, words, percent, weight, alike)
     light = points.drop("prefix")
 
     tokens = points.select("doc_id", F.explode("prefix").alias("token"))
