@@ -21,6 +21,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1_000) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most ``rows`` rows.
+
+    Texts are long. A batch exists in the JVM and in the Python worker at once,
+    and each worker of an executor has its own.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -63,6 +76,7 @@ class SlotFilter:
 
 def _split(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str | None):
     """``rows`` as join keys, ``docs`` that are surely not among them, the others, and how these match."""
+    small_batches(docs)
     keys = rows.select(F.col("doc_id").cast("long").alias("__id"), *([F.unhex("text_sha256").alias("__sha")] if text_col else []))
     marked = docs.withColumn("__near", SlotFilter(keys, "__id").holds(id_col))
     some = marked.where("__near").drop("__near")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SlotFilter, stored, text_or_empty, without
+from tidemark.llm.common import SlotFilter, small_batches, stored, text_or_empty, without
 from tidemark.llm.components import components
 
 U = np.uint64
@@ -32,7 +32,7 @@ PART = 2048
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -334,7 +334,7 @@ def link(
     whole sets, and only pairs already known to be in one component are not
     looked at again. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     sketch = _sketch(rows, words)
     sizes = sketch.where("signature IS NOT NULL").drop("counter")
     known = rows.where("doc_id IS NOT NULL")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded, fold
+from tidemark.llm.common import bounded, fold, small_batches
 from tidemark.llm.tokens import has_letter
 
 #: Most documents whose bytes are counted; every other step takes all documents.
@@ -143,7 +143,7 @@ def predict(
     probabilities. Null texts, texts without a letter, and all texts where
     nothing could be learned are ``und`` with score 0.
     """
-    counts = grams(docs, id_col, text_col, lang_col, sample)
+    counts = grams(small_batches(docs), id_col, text_col, lang_col, sample)
     key = hash(tuple(map(tuple, counts.itertuples(index=False))))
 
     def guess(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

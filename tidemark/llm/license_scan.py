@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
+
 # Notices and opening sentences of well-known licenses.
 TEMPLATES = {
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
@@ -175,5 +177,5 @@ def scan(
                         out.append((doc, name, n / size, spans[first][0], spans[last][1], n, size))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")]).astype({"doc_id": "Int64"})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.where(F.length("text") > 0).mapInPandas(look, FOUND)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_or_empty
+from tidemark.llm.common import small_batches, stored, text_or_empty
 from tidemark.llm.tokens import encoder
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -47,7 +47,7 @@ def pieces(
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
             yield frame.astype({"doc_id": "Int64"})
 
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         text_or_empty(text_col).alias("text"),

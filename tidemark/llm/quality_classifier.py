@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded, fold, stored, text_or_empty
+from tidemark.llm.common import bounded, fold, small_batches, stored, text_or_empty
 
 #: Most labelled documents that a model is fitted on, chosen by a hash of their ids.
 SAMPLE = 20_000
@@ -145,7 +145,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 "statistics": [statistics(text) for text in batch["text"]],
             })
 
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"),
         (fold(id_col, 3) == 1).alias("held_out"),
         text_or_empty(text_col).alias("text"),

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SlotFilter, stored, text_or_empty
+from tidemark.llm.common import SlotFilter, small_batches, stored, text_or_empty
 
 U = np.uint64
 _SEGMENT = 1 << 20
@@ -281,7 +281,7 @@ def remove_repeats(
     removed spans (byte ranges) and the remaining bytes come along.
     """
     text = text_or_empty(text_col)
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.hash(text, F.lit(1)).alias("tag"), text.alias("text")
     )
     suffixes = stored(_sampled(rows.where(F.octet_length("text") >= length), length, gram), "suffixes")
