@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF_DIR, prose
 from tidemark.llm import jaccard_join
@@ -66,6 +67,26 @@ def test_chains_and_near_groups(spark, monkeypatch, part):
     assert kept == sorted({c for _, _, c in brute(docs, 5, 80)})
 
 
+def test_hot_classes_are_not_copied_against_themselves(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PART", 8)
+    dealt, searched = [], jaccard_join._searched
+    monkeypatch.setattr(jaccard_join, "_searched", lambda blocks, percent: dealt.append(blocks) or searched(blocks, percent))
+    draw = random.Random(5)
+    words, texts = prose(1, 120).split(), []
+    for _ in range(150):
+        some = list(words)
+        some[draw.randrange(60, 120)] = str(draw.random())
+        texts.append(" ".join(some))
+    texts += [" ".join(words[:k]) for k in (40, 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert result(docs) == brute(docs, 4, 85)
+    blocks = dealt[0]
+    hot = blocks.groupBy("token").agg(F.count_distinct("doc_id").alias("rows"), F.count(F.lit(1)).alias("copies")).where("rows > 100")
+    assert hot.count() and hot.where("copies > 2 * rows").count() == 0
+    large = blocks.join(hot.select("token"), "token")
+    assert large.groupBy("task").count().agg(F.max("count")).first()[0] < 4 * 8
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     assert result(docs) == brute(docs, 4, 85)

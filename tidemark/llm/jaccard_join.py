@@ -275,6 +275,35 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return both.where(possible("n_a", "n_b", "point_a", "point_b")).select("a", "b")
 
 
+def _dealt(inside: DataFrame) -> DataFrame:
+    """The rows of blocks (token, doc_id, class, rows) dealt out to tasks, with their part and the parts (i, j) to compare.
+
+    Whole small blocks share tasks of about 10,000 rows. A large block is dealt
+    by class: a class of ``PART`` rows or more has parts of its own, the others
+    share parts. Only two parts that hold different classes meet, in a task of
+    their own, so a hot class is never copied against itself.
+    """
+    zero = F.lit(0).cast("long")
+    whole = inside.where(F.col("rows") <= PART)
+    count = inside.agg(F.count_if(F.col("rows") <= PART).alias("whole"), F.count_if(F.col("rows") > PART).alias("large")).first()
+    tasks = max(1, -(-count["whole"] // 10_000))
+    whole = whole.withColumns({"part": zero, "i": zero, "j": zero}).withColumn("task", F.pmod(F.xxhash64("token"), F.lit(tasks)))
+    if not count["large"]:
+        return whole.drop("rows")
+    large = inside.where(F.col("rows") > PART)
+    own = large.groupBy("token", "class").agg(F.count(F.lit(1)).alias("own"))
+    shared = own.where(F.col("own") < PART).groupBy("token").agg(F.ceil(F.sum("own") / PART).alias("shared"))
+    chunk = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("own") / PART))
+    part = F.when(F.col("own") < PART, F.pmod(F.xxhash64("class"), F.col("shared"))).otherwise(F.xxhash64("class", chunk))
+    placed = large.join(own.join(shared, "token", "left"), ["token", "class"]).withColumn("part", part).drop("rows", "own", "shared")
+    parts = stored(placed.groupBy("token", "part").agg(F.min("class").alias("low"), F.max("class").alias("high")), "parts")
+    left, right = (parts.withColumnsRenamed({"part": x, "low": f"low_{x}", "high": f"high_{x}"}) for x in "ij")
+    couples = left.join(right, "token").where("i <= j AND least(low_i, low_j) < greatest(high_i, high_j)")
+    met = couples.select("token", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("part"))
+    apart = placed.join(met, ["token", "part"]).withColumn("task", F.xxhash64("token", "i", "j"))
+    return whole.drop("rows").unionByName(apart)
+
+
 def _searched(blocks: DataFrame, percent: int) -> DataFrame:
     """Pairs over classes that the points of a block leave open; each pair in one block where that can be told."""
 
@@ -380,15 +409,7 @@ def link(
     needed = firsts.groupBy("token").agg(F.min("first").alias("low"), F.max("first").alias("high"))
     needed = needed.where("low < high OR high = token").select("token")
     inside = stored(inside.join(needed, "token", "left_semi"), "needed")
-    parts = F.ceil(F.col("rows") / PART).cast("int")
-    dealt = (
-        inside.join(light.join(heads_of, "doc_id"), "doc_id")
-        .withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("parts", "other", "rows")
-    )
-    tasks = max(1, -(-inside.count() // 10_000))
-    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("token", "i", "j"), F.lit(tasks)))
+    dealt = _dealt(inside).join(light.join(heads_of, "doc_id"), "doc_id")
     open_pairs = stored(_searched(dealt, percent).distinct(), "pairs")
     second = _verified(open_pairs, known, words, percent)
 
