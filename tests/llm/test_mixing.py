@@ -50,6 +50,21 @@ def test_many_sources_are_joined(spark, monkeypatch):
     assert mixing.replicate(docs).collect() == want
 
 
+@pytest.mark.parametrize("broadcast", [20_000, 1])
+def test_large_means_are_drawn(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
+    docs = spark.range(40).selectExpr("id as doc_id", "if(id < 20, 'rare', 'other') as source")
+    rows = mixing.replicate(docs, weights={"rare": 1.0, "other": 0.001}, epochs=2400.0).collect()
+    copies = {}
+    for r in rows:
+        copies.setdefault((r.source, r.doc_id), []).append(r.copy)
+    assert all(sorted(c) == list(range(len(c))) for c in copies.values())
+    rare = np.array([len(c) for (source, _), c in copies.items() if source == "rare"])
+    mean = 4800 / 1.001
+    assert len(rare) == 20 and abs(rare.mean() - mean) < 5 * math.sqrt(mean / 20)
+    assert 0.3 < rare.var(ddof=1) / mean < 2.5
+
+
 def test_steps_end_at_one():
     for rate in (0.0, 0.1, 3.0, 450.0):
         steps = mixing._steps(rate)

@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 
 #: Most sources whose rates are sent to every task; more are joined by a shuffle.
 BROADCAST_SOURCES = 20_000
-#: Largest mean repetition; e**-mean must stay a normal double.
+#: Largest mean of one draw; e**-mean must stay a normal double. Larger means are sums of several draws.
 MAX_RATE = 500.0
+#: Most copies of a row that are numbered in one array.
+CHUNK = 4096
 
 
 def uniform(seed: str, *columns: str) -> Column:
@@ -59,6 +61,24 @@ def _steps(rate: float) -> list[float]:
     return found
 
 
+def _draws(rate: float) -> int:
+    """How many independent draws add up to one with mean ``rate``."""
+    return max(1, math.ceil(rate / MAX_RATE))
+
+
+def _copies(seed: str, id_col: str) -> Column:
+    """The sum of ``__draws`` Poisson numbers with the same ``__steps``, each from a hash of its own."""
+
+    def further(k: Column) -> Column:
+        parts = F.concat_ws(":", F.lit(seed), F.lit("draw"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), k)
+        u = F.conv(F.substring(F.md5(parts), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+        return poisson(u, F.col("__steps"))
+
+    first = poisson(uniform(seed, id_col), F.col("__steps"))
+    others = F.aggregate(F.sequence(F.lit(2), F.col("__draws")), first, lambda total, k: total + further(k))
+    return F.when(F.col("__draws") > 1, others).otherwise(first)
+
+
 def replicate(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -73,26 +93,31 @@ def replicate(
     Adds ``copy`` (from 0) and ``shuffle_key``, by which the result is sorted
     over all partitions. The draw depends on seed and id only: runs agree, and
     rows with the same id are repeated alike. With the method's draws a row can
-    come zero times; over a source the repetitions meet the rate. An empty
-    table gives no rows; texts of any kind are carried along.
+    come zero times; over a source the repetitions meet the rate, however large
+    it is. An empty table gives no rows; texts of any kind are carried along.
     """
     found = rates(docs, source_col, weights, exponent, epochs)
     small = found.limit(BROADCAST_SOURCES + 1).collect()
-    if small and max(r["rate"] for r in small) > MAX_RATE:
-        raise ValueError(f"a mean repetition over {MAX_RATE:g}: give the source a smaller weight")
     schema = T.StructType([
-        T.StructField("__source", T.StringType()), T.StructField("__steps", T.ArrayType(T.DoubleType())),
+        T.StructField("__source", T.StringType()), T.StructField("__draws", T.IntegerType()),
+        T.StructField("__steps", T.ArrayType(T.DoubleType())),
     ])
+
+    def drawn_by(rate: float) -> tuple[int, list[float]]:
+        return _draws(rate), _steps(rate / _draws(rate))
+
     source = F.col(source_col).cast("string")
     if len(small) <= BROADCAST_SOURCES:
-        table = docs.sparkSession.createDataFrame([(r["source"], _steps(r["rate"])) for r in small], schema)
+        table = docs.sparkSession.createDataFrame([(r["source"], *drawn_by(r["rate"])) for r in small], schema)
         table = F.broadcast(table)
     else:
-        steps_of = F.udf(_steps, T.ArrayType(T.DoubleType()))
-        table = found.select(F.col("source").alias("__source"), steps_of("rate").alias("__steps"))
+        drawn_of = F.udf(drawn_by, T.StructType(schema.fields[1:]))
+        table = found.select(F.col("source").alias("__source"), drawn_of("rate").alias("__by")).select("__source", "__by.*")
     drawn = docs.join(table, source.eqNullSafe(F.col("__source")))
-    copies = poisson(uniform(seed, id_col), F.col("__steps"))
-    counted = drawn.withColumn("__copies", copies).where("__copies > 0").drop("__source", "__steps")
-    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1))).drop("__copies")
+    counted = drawn.withColumn("__copies", _copies(seed, id_col)).where("__copies > 0").drop("__source", "__draws", "__steps")
+    last = F.col("__copies") - 1
+    chunks = counted.withColumn("__from", F.explode(F.sequence(F.lit(0), last, F.lit(CHUNK))))
+    numbers = F.sequence(F.col("__from"), F.least(last, F.col("__from") + (CHUNK - 1)))
+    each = chunks.withColumn("copy", F.explode(numbers)).drop("__copies", "__from")
     key = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col(id_col), F.col("copy")))
     return each.withColumn("shuffle_key", key).orderBy("shuffle_key")
