@@ -54,6 +54,14 @@ def test_missing_words_lower_the_coverage(spark):
     assert [(r.doc_id, r.license) for r in rows] == [(1, "BSD")] and 0.8 <= rows[0].coverage < 1
 
 
+def test_adjacent_copies_are_found(spark):
+    texts = [(2 * k + j - 2, " ".join([text] * j)) for k, text in enumerate(TEMPLATES.values()) for j in (2, 3)]
+    rows = scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    got = {(r.doc_id, r.license): r for r in rows}
+    for k, (name, text) in enumerate(TEMPLATES.items()):
+        assert all(got[2 * k + j - 2, name].coverage == 1 for j in (2, 3)), name
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
     found = {(r.doc_id, r.license) for r in scan(docs).collect()}

@@ -130,9 +130,9 @@ def scan(
 
     Coverage is the share of the template's words that are aligned within
     ``slack`` times its length; ``threshold`` of it counts as found. An anchor
-    repeated far from the license would not be unique, so the text is aligned
-    line by line where words repeat: each stretch around a rare template word is
-    aligned by itself. Null, empty and other texts without a license give no
+    repeated elsewhere would not be unique, so each stretch around a rare
+    template word is aligned by itself where words repeat; stretches that hold
+    several copies are cut to one. Null, empty and other texts without a license give no
     rows; repeated rows are scanned one by one; other columns are ignored.
     """
     known = {name: words_of(text)[0] for name, text in (TEMPLATES if templates is None else templates).items()}
@@ -142,17 +142,28 @@ def scan(
     every = set().union(*(words for words, _ in needs.values())) if needs else set()
 
     def found_in(words: list[str], template: list[str], slack: float) -> tuple[int, int, int]:
-        best = _tightest(align(template, words), len(template), slack)
+        size = len(template)
+        best = _tightest(align(template, words), size, slack)
+
+        def tried(low: int, high: int) -> None:
+            nonlocal best
+            low = max(0, low)
+            first, last, n = _tightest(align(template, words[low:high]), size, slack)
+            if n > best[2]:
+                best = (low + first, low + last, n)
+
         rare = min(template, key=lambda w: (words.count(w) or len(words) + 1))
-        reach = int(len(template) * (slack + 1))
-        if words.count(rare) > 1:
-            done = -1
-            for at, word in enumerate(words):
-                if word == rare and at > done:
-                    low, high = max(0, at - reach), at + reach
-                    first, last, n = _tightest(align(template, words[low:high]), len(template), slack)
-                    if n > best[2]:
-                        best = (low + first, low + last, n)
+        places = [at for at, word in enumerate(words) if word == rare]
+        reach = int(size * (slack + 1))
+        if len(places) > 1:
+            for at in places:
+                tried(at - reach, at + reach)
+        # Copies close together leave no word unique in such a stretch: cut between neighbours, and to one copy's length.
+        if best[2] < size:
+            for before, at, after in zip([-1, *places], places, [*places[1:], len(words)]):
+                tried(max(before + 1, at - reach), min(after, at + reach))
+                for own in (k for k, word in enumerate(template) if word == rare):
+                    tried(at - own, at - own + size)
         return best
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
