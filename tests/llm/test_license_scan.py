@@ -62,6 +62,24 @@ def test_adjacent_copies_are_found(spark):
         assert all(got[2 * k + j - 2, name].coverage == 1 for j in (2, 3)), name
 
 
+def test_relatives_are_told_apart(spark):
+    gnu = "This work is licensed under the GNU {} Public License, version {}."
+    texts = {
+        "Released under the BSD License.": "BSD-notice", "Released under the XYZ License.": None,
+        "Licensed under the MIT License.": "MIT-notice", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0-notice",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0-notice", "Licensed under CC BY-NC 3.0.": None,
+        gnu.format("General", 2): "GPL-2.0-notice", gnu.format("Lesser General", "3.0"): "LGPL-3.0-notice",
+        gnu.format("Library General", 2): None, "Licensed under the Apache License, Version 1.1.": None,
+        "Licensed under the Apache License v2.0.": "Apache-2.0-notice",
+        TEMPLATES["GPL-3.0"] + " " + TEMPLATES["LGPL-3.0"]: "GPL-3.0,LGPL-3.0", TEMPLATES["AGPL-3.0"]: "AGPL-3.0",
+    }
+    rows = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for k, (text, want) in enumerate(texts.items()):
+        assert ",".join(sorted(r.license for r in rows if r.doc_id == k)) == (want or ""), text
+    own = scan(spark.createDataFrame([(1, "made by the new people"), (2, "made by the old people")], "doc_id long, text string"), {"own": "Made by the old people"})
+    assert [r.doc_id for r in own.collect()] == [2]
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
     found = {(r.doc_id, r.license) for r in scan(docs).collect()}

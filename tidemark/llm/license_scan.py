@@ -19,6 +19,16 @@ TEMPLATES = {
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "AGPL-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-NC-SA-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "BSD-notice": "Released under the BSD License.",
+    "ISC-notice": "Released under the ISC License.",
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
@@ -42,16 +52,67 @@ TEMPLATES = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."
     ),
+    "GPL-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."
+    ),
+    "LGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
 }
 
+# Words next to each other that tell a license from its relatives; without them its text counts as another's.
+NAMING = {
+    "GPL-3.0-notice": ["gnu general", "3"], "GPL-3.0": ["gnu general", "3"],
+    "GPL-2.0-notice": ["gnu general", "2"], "GPL-2.0": ["gnu general", "2"],
+    "LGPL-3.0-notice": ["gnu lesser general", "3"], "LGPL-3.0": ["gnu lesser general", "3"],
+    "LGPL-2.1-notice": ["gnu lesser general", "2.1"], "LGPL-2.1": ["gnu lesser general", "2.1"],
+    "AGPL-3.0-notice": ["gnu affero general", "3"], "AGPL-3.0": ["gnu affero general", "3"],
+    "MPL-2.0-notice": ["mozilla public", "2"], "MPL-2.0": ["mozilla public", "2"],
+    "Apache-2.0-notice": ["apache license", "2"], "Apache-2.0": ["apache license", "2"],
+    "CC-BY-NC-4.0-notice": ["by-nc 4"], "CC-BY-4.0-notice": ["by 4"],
+    "CC-BY-SA-4.0-notice": ["by-sa 4"], "CC-BY-NC-SA-4.0-notice": ["by-nc-sa 4"],
+    "MIT-notice": ["mit"], "BSD-notice": ["bsd"], "ISC-notice": ["isc"],
+}
+#: Other templates of so few words must be there as a whole.
+SHORT = 12
+
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
+_VERSION = re.compile(r"v?(\d+(?:\.\d+)*?)(?:\.0)?")
 FOUND = "doc_id long, license string, coverage double, first_char long, last_char long, matched long, template_words long"
 
 
 def words_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
-    """Words in lower case and their places. Case and punctuation do not tell licenses apart."""
+    """Words in lower case and their places. Case, punctuation and the form of a version do not tell licenses apart."""
     found = [(m.group().lower(), m.span()) for m in _WORD.finditer(text)]
-    return [w for w, _ in found], [s for _, s in found]
+    return [_plain(w) for w, _ in found], [s for _, s in found]
+
+
+def _plain(word: str) -> str:
+    """v2.0 and 2.0 are 2."""
+    version = _VERSION.fullmatch(word) if word[-1].isdigit() else None
+    return version.group(1) if version else word
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -118,6 +179,18 @@ def _tightest(matched: list[tuple[int, int]], words: int, slack: float) -> tuple
     return best
 
 
+def _holds(matched: list[tuple[int, int]], template: list[str], phrases: list[list[str]]) -> bool:
+    """Whether each phrase is matched, its words next to each other."""
+    at = dict(matched)
+    return all(
+        any(
+            template[k : k + len(p)] == p and all(k + t in at and at[k + t] == at[k] + t for t in range(len(p)))
+            for k in range(len(template) - len(p) + 1) if k in at
+        )
+        for p in phrases
+    )
+
+
 def scan(
     docs: DataFrame,
     templates: dict[str, str] | None = None,
@@ -129,7 +202,9 @@ def scan(
     """One row for each row of ``docs`` and license it holds: coverage and place in the text.
 
     Coverage is the share of the template's words that are aligned within
-    ``slack`` times its length; ``threshold`` of it counts as found. An anchor
+    ``slack`` times its length; ``threshold`` of it counts as found, if the words
+    that name the license are among them (``NAMING``; of other short templates,
+    all words). An anchor
     repeated elsewhere would not be unique, so each stretch around a rare
     template word is aligned by itself where words repeat; stretches that hold
     several copies are cut to one. Null, empty and other texts without a license give no
@@ -137,21 +212,27 @@ def scan(
     """
     known = {name: words_of(text)[0] for name, text in (TEMPLATES if templates is None else templates).items()}
     known = {name: words for name, words in known.items() if words}
+    naming = {name: [p.split() for p in NAMING.get(name, [])] for name in known} if templates is None else {
+        name: [[w] for w in words] if len(words) <= SHORT else [] for name, words in known.items()
+    }
     # A template can only be covered by a text that holds most of its different words.
     needs = {name: (set(words), threshold * len(words)) for name, words in known.items()}
     every = set().union(*(words for words, _ in needs.values())) if needs else set()
 
-    def found_in(words: list[str], template: list[str], slack: float) -> tuple[int, int, int]:
+    def found_in(words: list[str], name: str, slack: float) -> tuple[int, int, int]:
+        template = known[name]
         size = len(template)
-        best = _tightest(align(template, words), size, slack)
+        best = (0, -1, 0)
 
         def tried(low: int, high: int) -> None:
             nonlocal best
             low = max(0, low)
-            first, last, n = _tightest(align(template, words[low:high]), size, slack)
-            if n > best[2]:
+            matched = align(template, words[low:high])
+            first, last, n = _tightest(matched, size, slack)
+            if n > best[2] and _holds([m for m in matched if first <= m[1] <= last], template, naming[name]):
                 best = (low + first, low + last, n)
 
+        tried(0, len(words))
         rare = min(template, key=lambda w: (words.count(w) or len(words) + 1))
         places = [at for at, word in enumerate(words) if word == rare]
         reach = int(size * (slack + 1))
@@ -182,7 +263,7 @@ def scan(
                     continue
                 words, spans = words_of(text)
                 for name in likely:
-                    first, last, n = found_in(words, known[name], slack)
+                    first, last, n = found_in(words, name, slack)
                     if n and n / len(known[name]) >= threshold:
                         size = len(known[name])
                         out.append((doc, name, n / size, spans[first][0], spans[last][1], n, size))
