@@ -59,6 +59,27 @@ def test_grouped_formats(spark):
         assert len(row.private_kinds) == 1
 
 
+def test_ibans_before_capitals_and_digits(spark):
+    cases = [
+        ("ES91 2100 0418 4502 0005 1332", "BIC"), ("BE68 5390 0754 7034", "EUR 20"), ("AT61 1904 3002 3457 3201", "2024"),
+        ("PL61 1090 1014 0000 0712 1981 2874", "PLN"), ("GB82 WEST 1234 5698 7654 32", "A1"), ("NO93 8601 1117 947", "OK"),
+    ]
+    alone = changed(spark, [value for value, _ in cases])
+    for (value, tail), row, own in zip(cases, changed(spark, [f"{v} {t}" for v, t in cases]), alone):
+        assert row.text == f"{own.text} {tail}" and row.private_kinds == own.private_kinds == ["iban"]
+        assert own.text != value and mod97(own.text) == 1
+
+
+def test_international_phones(spark):
+    texts = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 901820", "+49 (0)30 9018-2045", "+3612345678", "+86 138 0013 8000"]
+    rows = changed(spark, [f"call {x}, then" for x in texts])
+    for old, row in zip(texts, rows):
+        new = row.text[5:-6]
+        assert row.private_kinds == ["phone"] and new != old and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", old)
+    kept = ["+1234567", "1+12345678", "+1234567890123456", "+44 20"]
+    assert [r.text for r in changed(spark, kept)] == kept
+
+
 def test_invalid_values_stay(spark):
     texts = ["4111111111111112", "300.1.1.1", "2023-02-30", "000-12-3456", "DE88370400440532013000", "12345", "a@b", "v1.2.3"]
     for old, row in zip(texts, changed(spark, texts)):

@@ -10,18 +10,40 @@ from tidemark.functions.scalars import bind
 ROUNDS = 8
 
 _START, _END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
+#: Length of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_form(length: int, countries: str) -> str:
+    """Account numbers of one length, in one piece or in groups of four."""
+    groups, rest = divmod(length - 4, 4)
+    tail = f" [A-Z0-9]{{{rest}}}" if rest else ""
+    return (
+        rf"(?:{countries.replace(' ', '|')})\d{{2}}(?:[A-Z0-9]{{{length - 4}}}|(?: [A-Z0-9]{{4}}){{{groups}}}{tail})"
+    )
+
+
+_IBANS = "|".join(_iban_form(length, countries) for length, countries in IBAN_LENGTHS.items())
 #: What a candidate looks like, by kind. Quantifiers are bounded or possessive, so no text is slow to search.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+"
     r"@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
     "phone": r"(?<![A-Za-z0-9+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}" + _END
+    + r"|(?<![A-Za-z0-9+])\+\d(?:(?:[ .-]|[ .-]?\(|\)[ .-]?)?\d){7,14}" + _END
     + r"|(?<![A-Za-z0-9(])\(\d{3}\) ?\d{3}-\d{4}" + _END
     + r"|(?<![A-Za-z0-9.-])(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?![A-Za-z0-9-])",
     "date": r"(?<![A-Za-z0-9.-])"
     r"(?:(?:19|20)\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:19|20)\d\d|\d\d/\d\d/(?:19|20)\d\d)(?![A-Za-z0-9-])",
     "ssn": r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![A-Za-z0-9-])",
     "ip": r"(?<![A-Za-z0-9.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?[A-Za-z0-9])",
-    "iban": _START + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
+    # Countries of other lengths last: capitals or digits that follow a number of known length are not part of it.
+    "iban": _START + rf"(?=[A-Z]{{2}}\d{{2}})(?:{_IBANS})" + _END
+    + r"|" + _START + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
     "card": _START
     + r"(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})"
     + _END,
