@@ -1,4 +1,4 @@
-"""Exact dedup: sorted digest runs merged in rounds along a tree."""
+"""Exact dedup: digest runs merged in rounds of grouped aggregates."""
 
 from __future__ import annotations
 
@@ -32,8 +32,8 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def merge_runs(found: DataFrame, keep: str = "largest", fan_in: int = 16) -> tuple[DataFrame, DataFrame]:
     """The runs' own best rows, and the best row of every digest over all runs.
 
-    A run is sorted by digest and holds one row for each of its digests. In
-    each round ``fan_in`` neighbouring runs are merged into one, digest by
+    A run holds one row for each of its digests, in no order. In
+    each round a grouped aggregate joins ``fan_in`` runs into one, digest by
     digest; a digest that is in a third of all rows is one row in each run, so
     no task ever meets its rows together. A merged run is dealt out by digest
     over as many tasks as the shuffle has.
