@@ -16,9 +16,11 @@ from tidemark.llm import (
     mixing,
     packing,
     pii,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     suffix_dedup,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +117,50 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_conversation_trie",
+    """
+    WITH tab AS (
+        SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+            lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS t),
+    said AS (
+        SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS t
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT c, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || t)) AS turns
+        FROM said GROUP BY c),
+    drawn AS (
+        SELECT c, turns, xor(4294967295, list_reduce(
+            list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+            lambda x, b: xor(x // 256, tab.t[xor(x % 256, b) + 1]))) % 9 AS h
+        FROM own, tab),
+    made AS (
+        SELECT d.c, list_concat(coalesce(b.turns, [])[1:d.h], d.turns[d.h + 1:]) AS key
+        FROM drawn d LEFT JOIN own b ON b.c = d.c - d.c % 5),
+    steps AS (SELECT c, key, unnest(range(len(key) + 1)) AS d FROM made),
+    prefixes AS (SELECT c, d, key[1:d] AS p, len(key) = d AS ends FROM steps),
+    nodes AS (
+        SELECT d, p, min(c) AS c, count(*) AS n, list(c ORDER BY c) FILTER (WHERE ends) AS e
+        FROM prefixes GROUP BY d, p),
+    above AS (SELECT n.*, CASE WHEN d > 0 THEN p[1:d - 1] END AS q FROM nodes n),
+    counted AS (
+        SELECT a.*, u.c AS parent, (SELECT count(*) FROM above k WHERE k.q = a.p) AS kids
+        FROM above a LEFT JOIN nodes u ON u.p = a.q AND u.d = a.d - 1),
+    lifted AS (
+        SELECT w.p, w.d, sum(CASE WHEN k.kids = 0 THEN 1 ELSE 0 END) AS leaves,
+               sum(CASE WHEN k.d > 0 THEN (k.n - 1) * strlen(k.p[k.d].t) ELSE 0 END) AS saved
+        FROM counted k JOIN prefixes w ON w.c = k.c AND w.d <= k.d GROUP BY w.p, w.d)
+    SELECT c AS conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, kids AS n_children,
+           CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+           sha256(coalesce(array_to_string(e, ','), '')) AS ends_sha256
+    FROM counted JOIN lifted USING (p, d)""",
+)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
