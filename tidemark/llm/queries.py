@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    collocations,
     exact_dedup,
     jaccard_join,
     language_id,
@@ -119,6 +120,44 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op11_collocations",
+    r"""
+    WITH texts AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts),
+    places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+    sizes AS (SELECT unnest(range(1, 6)) AS size),
+    f AS (
+        SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+        FROM places, sizes WHERE i + size - 1 <= len(w) GROUP BY ALL),
+    totals AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+    found AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE size > 1 AND f >= 100),
+    cuts AS (SELECT *, unnest(range(1, size)) AS k FROM found),
+    scored AS (
+        SELECT c.lang, c.phrase, c.size, c.a, p.f AS l, q.f AS r, t.n, k,
+               (1000::HUGEINT * c.a * t.n) // (p.f::HUGEINT * q.f) AS score
+        FROM cuts c JOIN totals t ON t.lang = c.lang
+        JOIN f p ON p.lang = c.lang AND p.phrase = array_to_string(c.w[1:k], ' ')
+        JOIN f q ON q.lang = c.lang AND q.phrase = array_to_string(c.w[k + 1:], ' ')),
+    weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inner_sizes AS (SELECT lang, w, size, a, unnest(range(2, size)) AS part FROM found),
+    inner_places AS (SELECT lang, w, a, part, unnest(range(1, size - part + 2)) AS i FROM inner_sizes),
+    covered AS (
+        SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(a) AS within FROM inner_places GROUP BY ALL),
+    ranked AS (
+        SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+        FROM weakest s LEFT JOIN covered v ON v.lang = s.lang AND v.phrase = s.phrase
+        WHERE v.within IS NULL OR v.within < s.a)
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM ranked WHERE rank <= 2000""",
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op12_conversation_trie",
     """
