@@ -326,30 +326,75 @@ def _runs(pages: DataFrame, bits: int) -> DataFrame:
     return _rows(pages, cut, _HELD)
 
 
-def _spelled(pages: DataFrame, longest: int, bits: int) -> DataFrame:
-    """(lang, phrase, size, f): what each page counts of words and phrases that can be frequent."""
+def _exact(pages: DataFrame, count, bits: int, least: int) -> DataFrame:
+    """(lang, phrase, size, f), summed over all pages by the words themselves.
 
-    def spell(row: pd.Series) -> dict:
+    ``count`` gives, for a page, (size, hashes, phrases, counts). A page sends
+    one packed row to each task that owns a range of hashes.
+    """
+
+    def send(row: pd.Series) -> dict:
+        out = {"lang": [], "size": [], "owner": [], "phrases": [], "counts": []}
+        for size, hashes, phrases, counts in count(row):
+            owner = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+            order = np.argsort(owner, kind="stable")
+            owners, starts = np.unique(owner[order], return_index=True)
+            for one, places in zip(owners.tolist(), np.split(order, starts[1:])):
+                out["lang"].append(row["lang"]), out["size"].append(size), out["owner"].append(one)
+                out["phrases"].append(_packed(b"\n".join(phrases[k] for k in places.tolist())))
+                out["counts"].append(counts[places].tobytes())
+        return out
+
+    def settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lang, size, _ = key
+        total: dict[bytes, int] = {}
+        for phrases, counts in zip(rows["phrases"], rows["counts"]):
+            for phrase, f in zip(_unpacked(phrases).split(b"\n"), np.frombuffer(counts, np.int64).tolist()):
+                total[phrase] = total.get(phrase, 0) + f
+        found = [(phrase.decode("utf-8", "replace"), f) for phrase, f in total.items() if f >= least or size == 0]
+        return pd.DataFrame({
+            "lang": pd.Series([lang] * len(found), dtype=object),
+            "phrase": pd.Series([phrase for phrase, _ in found], dtype=object),
+            "size": np.full(len(found), size, np.int32),
+            "f": pd.Series([f for _, f in found], dtype="int64"),
+        })
+
+    sent = _rows(pages, send, "lang string, size int, owner long, phrases binary, counts binary")
+    return sent.groupBy("lang", "size", "owner").applyInPandas(settle, "lang string, phrase string, size int, f long")
+
+
+def _phrases(longest: int, bits: int):
+    """What a page counts of the phrases, of two words or more, that can be frequent."""
+
+    def count(row: pd.Series) -> Iterator[tuple]:
         grams, known = _Grams(row), _known(row["frequent"])
         frequent = {n: known.get(n, np.zeros(0, np.uint64)) for n in range(3, longest + 1)}
-        out = {"lang": [], "phrase": [], "size": [], "f": []}
         number = np.zeros(len(grams.codes), np.int64)  # of the phrase one word shorter at each place
-        for n, at, _ in grams.lengths(longest, frequent, lambda hashes: _tags(hashes, bits)):
+        for n, at, hashes in grams.lengths(longest, frequent, lambda hashes: _tags(hashes, bits)):
             if not len(at):
                 break
             _, first, group = np.unique(number[at] * len(grams.words) + grams.codes[at + n - 1], return_index=True, return_inverse=True)
             number[at] = group
+            if n == 1:
+                continue
             total = np.zeros(len(first), np.int64)
             np.add.at(total, group, grams.weight[at])
-            for place, count in zip(at[first].tolist(), total.tolist()):
-                if count:
-                    out["phrase"].append(b" ".join(grams.words[c] for c in grams.codes[place : place + n].tolist()).decode("utf-8", "replace"))
-                    out["size"].append(n)
-                    out["f"].append(count)
-        out["lang"] = [row["lang"]] * len(out["f"])
-        return out
+            first, total = first[total > 0], total[total > 0]
+            places = at[first].tolist()
+            yield n, hashes[first], [b" ".join(grams.words[c] for c in grams.codes[i : i + n].tolist()) for i in places], total
 
-    return _rows(pages, spell, "lang string, phrase string, size int, f long")
+    return count
+
+
+def _words(row: pd.Series) -> Iterator[tuple]:
+    """What a page counts of each word, and of all words (size 0)."""
+    grams = _Grams(row)
+    total = np.zeros(len(grams.words), np.int64)
+    np.add.at(total, grams.codes, grams.weight)
+    at = np.flatnonzero(total[1:]) + 1
+    words = [grams.words[c] for c in at.tolist()]
+    yield 0, np.zeros(1, np.uint64), [b""], total[1:].sum(keepdims=True)
+    yield 1, np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), words, total[at]
 
 
 def frequencies(
@@ -368,28 +413,9 @@ def frequencies(
     # Pages whose runs are all of two words have no longer candidate, but are spelled all the same.
     longer = _candidates(runs, range(3, longest + 1), bits, least) if longest > 2 else pairs.limit(0)
     told = longer.groupBy("page").agg(F.collect_list(F.struct("n", "tags")).alias("frequent"))
-    spelled = _spelled(runs.join(told, "page", "left"), longest, bits)
-    counts = spelled.where("size > 1").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    singles = stored(
-        _rows(pages, _single, "lang string, phrase string, size int, f long").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")),
-        "words",
-    )
-    totals = singles.where("size = 0").select("lang", F.col("f").alias("n"))
-    return stored(counts.unionByName(singles.where((F.col("size") == 1) & (F.col("f") >= least))), "phrases"), totals
-
-
-def _single(row: pd.Series) -> dict:
-    """What a page counts of each word, and of all words (size 0)."""
-    grams = _Grams(row)
-    total = np.zeros(len(grams.words), np.int64)
-    np.add.at(total, grams.codes, grams.weight)
-    at = np.flatnonzero(total[1:]) + 1
-    return {
-        "lang": [row["lang"]] * (len(at) + 1),
-        "phrase": [None, *(grams.words[c].decode("utf-8", "replace") for c in at.tolist())],
-        "size": [0] + [1] * len(at),
-        "f": [int(total[1:].sum()), *total[at].tolist()],
-    }
+    phrases = _exact(runs.join(told, "page", "left"), _phrases(longest, bits), bits, least)
+    counts = stored(phrases.unionByName(_exact(pages, _words, bits, least)), "phrases")
+    return counts.where("size > 0"), counts.where("size = 0").select("lang", F.col("f").alias("n"))
 
 
 def _slice(first: Column, size: Column) -> Column:
