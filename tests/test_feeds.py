@@ -9,6 +9,8 @@ import pytest
 from tests.conftest import day
 from tidemark import constants as K
 from tidemark.catalog import DATASETS
+from tidemark.plans.outcomes import read_outcomes
+from tidemark.plans.rejects import read_rejects
 from tidemark.plans.feeds import BUNDLES, FEEDS, ingest, ingest_bundle, read_curve
 from tidemark.plans.save import read_dataset
 
@@ -168,3 +170,42 @@ def test_statistical_sets_start_with_a_month(spark, tmp_path):
     assert values() == list(zip(months, [1.0, 2.0, 2.0, 2.0]))
     ingest(spark, store, f"{tmp_path}/two", "eurostat_hicp", "2024-08-01", full_history=True)
     assert values() == list(zip(months, [2.0] * 4))
+
+
+def test_bad_lines_are_kept_with_their_places(spark, tmp_path):
+    """Lines of a file that is read in several blocks: good and bad ones together are all that landed."""
+    good = {"ticker": "a", "timestamp": 1704067200000, "close": 2}
+    lines = []
+    for n in range(300):
+        bad = {**good, "timestamp": "soon"} if n % 10 == 3 else {"ticker": "a"} if n % 10 == 5 else good
+        lines.append(json.dumps({**bad, "transactions": n}) if n % 10 != 7 else '{"ticker": "a", "ti')
+    put(tmp_path / "landing/daily_bars/b.json", "\n".join(lines) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in before:
+        spark.conf.set(key, "4096")
+    try:
+        for _ in range(2):  # started again, a run has its rejects once
+            ingest(spark, f"{tmp_path}/s", f"{tmp_path}/landing", "daily_bars", BATCH, run_id="r")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    rows = read_rejects(spark, f"{tmp_path}/s", "r").collect()
+    assert len(rows) == 90 and len({(r["file"], r["block"], r["line"]) for r in rows}) == 90
+    assert len({r["block"] for r in rows}) > 2
+    # The place finds the line again: blocks begin at the first line that starts after their first byte.
+    text = (tmp_path / "landing/daily_bars/b.json").read_text()
+    for row in rows:
+        start = 0 if row["block"] == 0 else text.index("\n", row["block"]) + 1
+        assert text[start:].split("\n")[row["line"]] == row["raw"]
+    counts = {r["item"]: (r["landed"], r["rejected"]) for r in read_outcomes(spark, f"{tmp_path}/s", "r").collect()}
+    assert counts == {"A": (270, 60), "?": (30, 30)}
+
+
+def test_series_with_bad_values_are_rejects(spark, tmp_path):
+    put(tmp_path / "landing/gsw_term_premiums/spot/5Y.json", {"observations": [{"date": "2024-01-02", "value": "0.1"}]})
+    put(tmp_path / "landing/gsw_term_premiums/forward/5Y.json", {"observations": [{"date": "2024-01-02", "value": "high"}]})
+    ledger = ingest(spark, f"{tmp_path}/s", f"{tmp_path}/landing", "gsw_term_premiums", BATCH, run_id="r")
+    assert [r["status"] for r in ledger.collect()] == ["saved"]
+    rows = read_rejects(spark, f"{tmp_path}/s", "r").collect()
+    assert [(r["item"], r["line"], r["reason"], r["file"].split("/")[-2]) for r in rows] == [("5Y", 0, "bad value", "forward")]
+    assert read_rejects(spark, f"{tmp_path}/none").count() == 0

@@ -24,7 +24,9 @@ from tidemark.operators.ledger import (
 from tidemark.plans import load, rollup, save, upkeep
 from tidemark.session import scratch_root
 from tidemark.sinks import ConcurrentPublish, PublishedTable
-from tidemark.sinks.published import read_lineage
+from tidemark.plans.marks import read_marks
+from tidemark.plans.outcomes import read_outcomes
+from tidemark.sinks.published import bucket_value, read_lineage
 from tidemark.streaming import landed_stream, merge_stream
 
 PRICES = Dataset(
@@ -285,6 +287,73 @@ def test_items_have_their_own_start_date(spark, store):
     }
 
 
+def outcomes_of(spark, store: str, run_id: str) -> dict:
+    return {r["item"]: (r["status"], r["reason"], r["landed"], r["taken"], r["kept"], r["replaced"]) for r in read_outcomes(spark, store, run_id).collect()}
+
+
+def test_only_what_changed_the_store_is_saved(spark, store):
+    first = [("A", "2024-01-31", 1.0, "2024-02-01"), ("B", "2024-01-31", 1.0, "2024-02-01"), ("C", "2024-01-31", 1.0, "2024-02-01")]
+    save.save_by_item(spark, store, BARS, bars(spark, *first))
+    batch = [
+        ("A", "2024-01-02", 2.0, "2024-03-01"), first[1], ("C", "2024-01-31", 2.0, "2024-03-01"), ("C", "2024-02-01", 2.0, "2024-03-01"),
+        ("C", "2024-02-01", 3.0, "2024-03-02"),
+    ]
+    save.save_by_item(spark, store, BARS, bars(spark, *batch), lookback_days=7, run_id="r2")
+    assert outcomes_of(spark, store, "r2") == {
+        "A": ("skipped", "before the start date", 1, 0, 0, 0), "B": ("skipped", "nothing new", 1, 1, 0, 0), "C": ("saved", None, 3, 3, 2, 1),
+    }
+    version = PublishedTable(spark, store, BARS).manifest().version
+    ledger = save.save_by_item(spark, store, BARS, bars(spark, *batch[:2]), lookback_days=7, run_id="r3")
+    assert {r["item"]: r["status"] for r in ledger.collect()} == {"A": "skipped", "B": "skipped"}
+    assert PublishedTable(spark, store, BARS).manifest().version == version
+
+
+def test_a_job_that_dies_before_its_commit_has_no_ledger(spark, store, monkeypatch):
+    batch = bars(spark, ("A", "2024-01-02", 1.0, "2024-01-02"))
+    commit = PublishedTable.commit
+    monkeypatch.setattr(PublishedTable, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        save.save_by_item(spark, store, BARS, batch, run_id="r1")
+    assert outcomes_of(spark, store, "r1") == {}
+    monkeypatch.setattr(PublishedTable, "commit", commit)
+    for _ in range(2):
+        save.save_by_item(spark, store, BARS, batch, run_id="r1")
+    # The run that was started again found nothing new: its rows are the run's ledger.
+    assert outcomes_of(spark, store, "r1") == {"A": ("skipped", "nothing new", 1, 1, 0, 0)}
+
+
+def test_a_batch_without_a_key_is_reported(spark, store):
+    batch = bars(spark, ("A", "2024-01-02", 1.0, "2024-01-02")).drop("date")
+    ledger = save.save_by_item(spark, store, BARS, batch, run_id="r1").collect()
+    assert [(r["item"], r["status"], r["reason"]) for r in ledger] == [("A", "failed", "required_columns: missing: date")]
+
+
+def test_start_dates_come_from_marks(spark, store, monkeypatch):
+    months = [("A", f"2023-{m:02d}-15", 1.0, "2024-01-01") for m in range(1, 13)] + [("B", "2023-03-15", 1.0, "2024-01-01")]
+    save.save_by_item(spark, store, BARS, bars(spark, *months), lookback_days=7)
+    table = PublishedTable(spark, store, BARS)
+    marks = {r["item"]: r["newest"] for r in read_marks(table, table.manifest()).collect()}
+    assert marks == {"A": day("2023-12-15"), "B": day("2023-03-15")}
+    seen, read = set(), PublishedTable.read
+
+    def watched(self, version=None, keep=None, manifest=None, with_bucket=False):
+        if self.root == table.root:
+            names = (manifest or self.manifest(version)).buckets
+            seen.update(n for n in names if keep is None or keep(bucket_value(n)))
+        return read(self, version, keep, manifest, with_bucket)
+
+    monkeypatch.setattr(PublishedTable, "read", watched)
+    newer = bars(spark, ("A", "2023-12-15", 2.0, "2024-02-01"), ("A", "2023-12-16", 2.0, "2024-02-01"), ("A", "2023-05-15", 9.0, "2024-02-01"))
+    save.save_by_item(spark, store, BARS, newer, lookback_days=7)
+    # Of twelve buckets, the increment has read the one it touches.
+    assert seen == {"__bucket=2023-12-01"}
+    assert {r["item"]: r["newest"] for r in read_marks(table, table.manifest()).collect()}["A"] == day("2023-12-16")
+    # Another kind of save makes the marks stale: they are taken from the rows again.
+    monkeypatch.undo()
+    save.save_dataset(spark, store, BARS, bars(spark, ("B", "2023-09-01", 1.0, "2024-03-01")))
+    assert {r["item"]: r["newest"] for r in read_marks(table, table.manifest()).collect()}["B"] == day("2023-09-01")
+
+
 def test_details_have_no_date_and_are_saved(spark, store):
     rows = spark.createDataFrame([("AAPL", "Apple", ts("2024-01-01"))], "ticker STRING, name STRING, last_fetched_at TIMESTAMP")
     ledger = save.save_by_item(spark, store, "ticker_details", rows)

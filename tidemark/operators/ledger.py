@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 STATE_SCHEMA = "source STRING, dataset STRING, symbol STRING, status STRING, timestamp STRING"
 LEDGER_SCHEMA = "run_id STRING, dataset STRING, item STRING, status STRING, reason STRING"
+# What became of one item of a run: rows landed, taken (from the start date on), kept (stored rows that
+# are new or changed), replaced (stored rows that went for them) and rejected before they were rows.
+OUTCOME_COUNTS = ("landed", "taken", "kept", "replaced", "rejected")
+OUTCOME_SCHEMA = (
+    f"{LEDGER_SCHEMA}, {', '.join(f'{c} BIGINT' for c in OUTCOME_COUNTS)}, attempt STRING, written_at TIMESTAMP"
+)
 TASK_SCHEMA = (
     "run_id STRING, task STRING, status STRING, started_at TIMESTAMP, "
     "finished_at TIMESTAMP, error STRING"
@@ -68,6 +74,38 @@ def failed_symbols(
     return last_status(state, order=order).where(F.col("status") == failed).select("symbol")
 
 
+def item_outcomes(parts: DataFrame) -> DataFrame:
+    """One row per item with its status and reason, from partial counts of it.
+
+    ``parts`` has ``item``, ``spelled`` (the item as its stored rows have it), the counts of
+    ``OUTCOME_COUNTS``, ``batch`` (rows of the batch), ``failed`` (the gate's reason) and ``problem``
+    (why a landed line is no row); all but the item may be null or absent. An item is saved only if the
+    store changed for it.
+    """
+    absent = [c for c in ("batch", *OUTCOME_COUNTS) if c not in parts.columns]
+    parts = parts.withColumns({c: F.lit(None).cast("bigint") for c in absent})
+    absent = [c for c in ("spelled", "failed", "problem") if c not in parts.columns]
+    parts = parts.withColumns({c: F.lit(None).cast("string") for c in absent})
+    counts = {c: F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("batch", *OUTCOME_COUNTS)}
+    counts["landed"] = F.coalesce(F.sum("landed"), F.sum("batch"), F.lit(0)).alias("landed")
+    texts = [F.min(c).alias(c) for c in ("spelled", "failed", "problem")]
+    whole = parts.groupBy(F.col("item").alias("__key")).agg(*counts.values(), *texts)
+    problem = F.col("problem").isNotNull() & (F.col("batch") == 0)
+    status = (
+        F.when(F.col("failed").isNotNull(), "failed").when(F.col("kept") > 0, "saved").when(problem, "failed").otherwise("skipped")
+    )
+    reason = (
+        F.when(F.col("failed").isNotNull(), F.col("failed"))
+        .when(F.col("kept") > 0, F.lit(None))
+        .when(F.col("taken") > 0, "nothing new")
+        .when(F.col("batch") > 0, "before the start date")
+        .otherwise(F.coalesce("problem", F.lit("no rows")))
+    )
+    return whole.select(
+        F.coalesce("spelled", "__key").alias("item"), status.alias("status"), reason.alias("reason"), *OUTCOME_COUNTS
+    )
+
+
 def run_report(ledger: DataFrame) -> DataFrame:
     """Per run: ok, total, saved, failed, skipped. The items themselves stay rows of the ledger."""
     return (

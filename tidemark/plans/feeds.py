@@ -18,31 +18,64 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog import DATASETS
+from tidemark.catalog import DATASETS, Dataset
 from tidemark.operators.ledger import LEDGER_SCHEMA
 from tidemark.operators.reshape import full_curve, single_curve
 from tidemark.operators.union import relaxed_union
+from tidemark.plans.outcomes import read_ledger, record
+from tidemark.plans.rejects import store_rejects
 from tidemark.plans.save import read_dataset, save_by_item, save_dataset
 from tidemark.sources import bars, fundamentals, options, rates, statistics
 from tidemark.sources.files import path_exists
-from tidemark.sources.landed import read_landed, read_landed_table
+from tidemark.sources.landed import placed, read_landed_table, read_lines, read_payloads
 
 Feed = Callable[[SparkSession, str, "dt.datetime | str"], DataFrame]
 
 
-def _curve(component: str) -> Feed:
-    return lambda spark, folder, ts: rates.curve_batch(read_landed(spark, folder), component, ts)
+@dataclass(frozen=True)
+class Landing:
+    """How the files of a dataset are read, judged line by line, and shaped.
+
+    ``read`` gives one row per payload: symbol, raw, file, block, row. ``judge`` adds the
+    ``reason`` why a payload cannot be used, and may keep what it has parsed for
+    ``shape``, which gets the usable ones.
+    """
+
+    read: Callable[[SparkSession, str], DataFrame]
+    judge: Callable[[DataFrame], DataFrame]
+    shape: Callable[[DataFrame, "dt.datetime | str"], DataFrame]
+
+
+def _reason(problem: Callable[[], Column]) -> Callable[[DataFrame], DataFrame]:
+    return lambda landed: landed.withColumn("reason", problem())
+
+
+def _payloads(problem: Callable[[], Column], shape) -> Landing:
+    return Landing(read_payloads, _reason(problem), shape)
+
+
+def _curve(component: str) -> Landing:
+    return _payloads(rates.observations_problem, lambda landed, ts: rates.curve_batch(landed, component, ts))
 
 
-def _term_premiums(spark: SparkSession, folder: str, ts) -> DataFrame:
+def _sides(*folders: str, read=read_payloads) -> Callable[[SparkSession, str], DataFrame]:
+    """Payloads of several folders, with the folder's name as ``side``."""
+
+    def both(spark: SparkSession, folder: str) -> DataFrame:
+        return relaxed_union(*[read(spark, f"{folder}/{side}").withColumn("side", F.lit(side)) for side in folders])
+
+    return both
+
+
+def _term_premiums(landed: DataFrame, ts) -> DataFrame:
     sides = (("spot", "term_premium_spot"), ("forward", "term_premium_forward"))
-    return relaxed_union(
-        *[rates.curve_batch(read_landed(spark, f"{folder}/{d}"), c, ts) for d, c in sides]
-    )
+    return relaxed_union(*[rates.curve_batch(landed.where(F.col("side") == side), c, ts) for side, c in sides])
 
 
 def _ecb(group: str) -> Feed:
@@ -53,55 +86,74 @@ def _statistical(query: Callable) -> Feed:
     return lambda spark, folder, ts: query(read_landed_table(spark, folder), ts)
 
 
-def _statement(name: str) -> Feed:
-    return lambda spark, folder, ts: fundamentals.fundamentals(read_landed(spark, folder), name, ts)
+def _read_symbols(*envelope: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: read_lines(spark, folder, "ticker", *envelope).withColumnRenamed("ticker", "symbol")
 
 
-def _adjusted(interval: str) -> Feed:
-    return lambda spark, folder, ts: fundamentals.adjusted_series(
-        read_landed(spark, folder), interval, ts
-    )
+def _judge_bars(landed: DataFrame) -> DataFrame:
+    parsed = landed.withColumn("bar", bars.parse_bars(F.col("raw")))
+    return parsed.withColumns({"symbol": F.col("bar.ticker"), "reason": F.col("bar.reason")})
 
 
-def _lines(spark: SparkSession, folder: str, *envelope: str) -> DataFrame:
-    """JSON lines next to the envelope fields they carry."""
-    text = spark.read.text(folder).withColumnRenamed("value", "raw")
-    fields = F.from_json("raw", ", ".join(f"{e} STRING" for e in envelope))
-    return text.select("raw", fields.alias("e")).select("raw", "e.*")
+def _shape_bars(landed: DataFrame, ts) -> DataFrame:
+    return bars.shape_bars(landed.where("symbol IS NOT NULL").withColumnRenamed("symbol", "ticker"), ts)
 
 
-def _bars(spark: SparkSession, folder: str, ts) -> DataFrame:
-    lines = _lines(spark, folder, "ticker").withColumnRenamed("ticker", "symbol")
-    return bars.daily_bars(lines.where(F.col("symbol").isNotNull()), ts)
+def _shape_open_close(landed: DataFrame, ts) -> DataFrame:
+    return bars.open_close(landed.where("symbol IS NOT NULL"), ts, F.col("date"))
 
 
-def _open_close(spark: SparkSession, folder: str, ts) -> DataFrame:
-    lines = _lines(spark, folder, "ticker", "date").withColumnRenamed("ticker", "symbol")
-    return bars.open_close(lines.where(F.col("symbol").isNotNull()), ts, F.col("date"))
+_CONTRACT = ("underlying", "expiry", "quick_price", "profile_price", "snapshot_ts")
 
 
-def _listing(spark: SparkSession, folder: str, ts) -> DataFrame:
-    return bars.ticker_list(spark.read.text(folder).withColumnRenamed("value", "raw"), ts)
+def _read_contracts(spark: SparkSession, folder: str) -> DataFrame:
+    return read_lines(spark, folder, *_CONTRACT).withColumn("symbol", F.col("underlying"))
 
 
-def _options(spark: SparkSession, folder: str, ts) -> DataFrame:
-    def side(name: str) -> DataFrame:
-        envelope = ("underlying", "expiry", "quick_price", "profile_price", "snapshot_ts")
-        lines = _lines(spark, f"{folder}/{name}", *envelope)
-        prices = {c: F.col(c).try_cast("double") for c in ("quick_price", "profile_price")}
-        stamped = F.coalesce(F.col("snapshot_ts").try_cast("timestamp"), F.lit(ts).cast("timestamp"))
-        return options.parse_chain(
-            lines.where(F.col("underlying").isNotNull()).withColumns({**prices, "snapshot_ts": stamped})
-        )
-
-    return options.option_chain(side("calls"), side("puts"))
+def _shape_contracts(landed: DataFrame, ts) -> DataFrame:
+    prices = {c: F.col(c).try_cast("double") for c in ("quick_price", "profile_price")}
+    stamped = F.coalesce(F.col("snapshot_ts").try_cast("timestamp"), F.lit(ts).cast("timestamp"))
+    kind = F.when(F.col("side") == "calls", "call").otherwise("put")
+    rows = landed.where("underlying IS NOT NULL").withColumns({**prices, "snapshot_ts": stamped, "type": kind})
+    return options.typed_option_chain(options.parse_chain(rows))
 
 
-FEEDS: dict[str, Feed] = {
+# Datasets that land as payloads, each judged by itself.
+LANDINGS: dict[str, Landing] = {
     "treasury_constant_maturity": _curve("constant_maturity"),
     "gsw_zero_coupon": _curve("zero_coupon"),
     "gsw_forward_rates": _curve("instantaneous_forward"),
-    "gsw_term_premiums": _term_premiums,
+    "gsw_term_premiums": Landing(_sides("spot", "forward"), _reason(rates.observations_problem), _term_premiums),
+    "daily_bars": Landing(
+        lambda spark, folder: placed(spark.read.text(folder)), _judge_bars, _shape_bars
+    ),
+    "daily_open_close": Landing(_read_symbols("date"), _reason(bars.payload_problem), _shape_open_close),
+    "ticker_details": _payloads(bars.payload_problem, bars.ticker_details),
+    "ticker_list": Landing(
+        lambda spark, folder: read_lines(spark, folder, "market").withColumnRenamed("market", "symbol"),
+        _reason(bars.listing_problem), bars.ticker_list,
+    ),
+    **{
+        name: _payloads(fundamentals.statement_problem, lambda landed, ts, n=name: fundamentals.fundamentals(landed, n, ts))
+        for name in fundamentals.STATEMENTS
+    },
+    "overview": _payloads(fundamentals.overview_problem, fundamentals.overview),
+    **{
+        name: _payloads(fundamentals.adjusted_problem, lambda landed, ts, n=name: fundamentals.adjusted_series(landed, n, ts))
+        for name in fundamentals.INTERVALS
+    },
+    "options": Landing(_sides("calls", "puts", read=_read_contracts), _reason(options.contract_problem), _shape_contracts),
+}
+
+
+
+def _feed(landing: Landing) -> Feed:
+    """The usable rows of a landing, without its rejects."""
+    return lambda spark, folder, ts: landing.shape(landing.judge(landing.read(spark, folder)).where("reason IS NULL"), ts)
+
+
+FEEDS: dict[str, Feed] = {
+    **{name: _feed(landing) for name, landing in LANDINGS.items()},
     "ecb_interest_rates": _ecb("interest_rates"),
     "ecb_hicp": _ecb("hicp"),
     "ecb_monetary_aggregates": _ecb("monetary_aggregates"),
@@ -109,14 +161,6 @@ FEEDS: dict[str, Feed] = {
     "gov_bond_yields": _statistical(statistics.gov_bond_yields),
     "eurostat_hicp": _statistical(statistics.hicp),
     "eurostat_gdp": _statistical(statistics.gdp),
-    "daily_bars": _bars,
-    "daily_open_close": _open_close,
-    "ticker_details": lambda spark, folder, ts: bars.ticker_details(read_landed(spark, folder), ts),
-    "ticker_list": _listing,
-    **{name: _statement(name) for name in fundamentals.STATEMENTS},
-    "overview": lambda spark, folder, ts: fundamentals.overview(read_landed(spark, folder), ts),
-    **{name: _adjusted(name) for name in fundamentals.INTERVALS},
-    "options": _options,
 }
 
 # Datasets saved together, by source.
@@ -150,7 +194,7 @@ def ingest(
     ``items`` picks tickers, countries or underlyings. Datasets of many items
     are saved with failures isolated per item, the others as a whole. Every
     item that landed or was asked for has a ledger row: saved, failed with the
-    reason, or skipped. ``full_history`` takes all landed rows in place of those
+    reason, or skipped; payloads that are no rows are kept as rejects. ``full_history`` takes all landed rows in place of those
     from the dataset's start date on.
     """
     dataset = DATASETS[name]
@@ -159,83 +203,64 @@ def ingest(
     if not path_exists(spark, folder):
         row = (run_id, name, name, "skipped", "nothing landed")
         return spark.createDataFrame([row], LEDGER_SCHEMA)
-    batch = FEEDS[name](spark, folder, batch_ts)
+    asked = None if items == "ALL" else [i.upper() for i in ([items] if isinstance(items, str) else items)]
     lookback = None if full_history else dataset.lookback_days
-    monthly = dataset.monthly_start
-    if dataset.item_column:
-        asked = None if items == "ALL" else [items] if isinstance(items, str) else list(items)
-        if asked is not None:
-            upper = [i.upper() for i in asked]
-            batch = batch.where(F.upper(dataset.item_column).isin(upper))
-        ledger = save_by_item(spark, store, dataset, batch, lookback, run_id, monthly)
-        return _whole_ledger(spark, store, folder, name, ledger, run_id, asked)
-    outcome = save_dataset(spark, store, dataset, batch, lookback, monthly)
-    row = (run_id, name, name, outcome.status, outcome.reason)
-    return spark.createDataFrame([row], LEDGER_SCHEMA)
-
-
-def _line_symbols(spark: SparkSession, folder: str, problem: Column) -> DataFrame:
-    lines = _lines(spark, folder, "ticker").withColumnRenamed("ticker", "symbol")
-    return lines.select("symbol", problem.alias("reason"))
-
-
-def _contract_symbols(spark: SparkSession, folder: str) -> DataFrame:
-    sides = [_lines(spark, f"{folder}/{side}", "underlying", "expiry") for side in ("calls", "puts")]
-    both = sides[0].unionByName(sides[1])
-    return both.select(F.col("underlying").alias("symbol"), options.contract_problem().alias("reason"))
-
-
-def _payload_symbols(problem: Callable[[], Column]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: read_landed(spark, folder).select("symbol", problem().alias("reason"))
-
-
-# What has landed, by symbol, with the reason where it cannot be used.
-LANDED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "daily_bars": lambda spark, folder: _line_symbols(spark, folder, bars.bar_problem()),
-    "daily_open_close": lambda spark, folder: _line_symbols(spark, folder, bars.payload_problem()),
-    "ticker_details": _payload_symbols(bars.payload_problem),
-    **{name: _payload_symbols(fundamentals.statement_problem) for name in fundamentals.STATEMENTS},
-    "overview": _payload_symbols(fundamentals.overview_problem),
-    **{name: _payload_symbols(fundamentals.adjusted_problem) for name in fundamentals.INTERVALS},
-    "options": _contract_symbols,
-}
-
-
-def _whole_ledger(
+    how = LANDINGS.get(name)
+    if how is None:
+        batch = FEEDS[name](spark, folder, batch_ts)
+        return _save(spark, store, dataset, batch, lookback, run_id, asked, None)
+    lines = how.read(spark, folder)
+    # One pass reads and judges the payloads; rows, rejects and counts are taken from it.
+    judged = how.judge(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        mine = judged
+        if dataset.item_column and asked is not None:
+            mine = judged.where(F.upper("symbol").isin(asked))
+        store_rejects(judged.select("file", "block", "row"), mine, store, run_id, name)
+        batch = how.shape(judged.where("reason IS NULL"), batch_ts)
+        return _save(spark, store, dataset, batch, lookback, run_id, asked, mine)
+    finally:
+        judged.unpersist()
+
+
+def _save(
     spark: SparkSession,
     store: str,
-    folder: str,
-    name: str,
-    ledger: DataFrame,
+    dataset: Dataset,
+    batch: DataFrame,
+    lookback: int | None,
     run_id: str,
     asked: list[str] | None,
+    judged: DataFrame | None,
 ) -> DataFrame:
-    """The ledger of the saved rows, with what landed without usable rows and what did not land.
+    """Save a batch, by item where the dataset has items. Returns the ledger rows of the run."""
+    name, monthly = dataset.name, dataset.monthly_start
+    if not dataset.item_column:
+        outcome = save_dataset(spark, store, dataset, batch, lookback, monthly)
+        one = spark.createDataFrame([(name, outcome.status, outcome.reason)], "item STRING, status STRING, reason STRING")
+        record(one, store, run_id, name)
+        return read_ledger(spark, store, run_id)
+    if asked is not None:
+        batch = batch.where(F.upper(dataset.item_column).isin(asked))
+    return save_by_item(spark, store, dataset, batch, lookback, run_id, monthly, _expected(spark, judged, asked))
 
-    A line without a symbol is listed as "?", so that broken text is not lost from sight.
+
+def _expected(spark: SparkSession, judged: DataFrame | None, asked: list[str] | None) -> DataFrame | None:
+    """(item, landed, rejected, problem) of what landed or was asked for.
+
+    A line without a symbol is listed as "?" where it is rejected, so that broken text is not lost from sight.
     """
-    if name in LANDED:
+    parts = []
+    if judged is not None:
         symbol = F.coalesce(F.upper("symbol"), F.when(F.col("reason").isNotNull(), F.lit("?")))
-        landed = LANDED[name](spark, folder).select(symbol.alias("item"), "reason").where(F.col("item").isNotNull())
-        others = landed.groupBy("item").agg(F.min("reason").alias("reason"))
-    else:
-        others = spark.createDataFrame([], "item STRING, reason STRING")
-    if asked is not None:
-        upper = [i.upper() for i in asked]
-        others = others.where(F.col("item").isin(upper)).unionByName(
-            spark.createDataFrame([(i, None) for i in upper], others.schema)
+        parts.append(
+            judged.select(symbol.alias("item"), "reason").where(F.col("item").isNotNull()).groupBy("item").agg(
+                F.count(F.lit(1)).alias("landed"), F.count("reason").alias("rejected"), F.min("reason").alias("problem")
+            )
         )
-        others = others.groupBy("item").agg(F.min("reason").alias("reason"))
-    rest = others.join(ledger.select(F.upper("item").alias("item")), "item", "left_anti").select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(name).alias("dataset"),
-        "item",
-        F.when(F.col("reason").isNull(), "skipped").otherwise("failed").alias("status"),
-        F.coalesce("reason", F.lit("no rows")).alias("reason"),
-    )
-    path = f"{store.rstrip('/')}/_run_ledger"
-    rest.write.mode("append").parquet(path)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path).where(F.col("run_id") == run_id)
+    if asked is not None:
+        parts.append(spark.createDataFrame([(i, None, None, None) for i in asked], "item STRING, landed BIGINT, rejected BIGINT, problem STRING"))
+    return relaxed_union(*parts) if parts else None
 
 
 def ingest_bundle(

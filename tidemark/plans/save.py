@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.catalog import DATASETS, Dataset
-from tidemark.operators.ledger import LEDGER_SCHEMA
-from tidemark.operators.merge import dedupe_grain, merge_latest
-from tidemark.operators.project import between_dates, incremental_since_by
+from tidemark.operators.ledger import LEDGER_SCHEMA, item_outcomes
+from tidemark.operators.merge import dedupe_grain, merge_latest, row_hash
+from tidemark.operators.project import between_dates, incremental_start_by
 from tidemark.operators.quality import (
     GateError,
     combined_metrics,
@@ -31,9 +31,15 @@ from tidemark.operators.quality import (
     missing_columns,
 )
 from tidemark.operators.union import align, merged_schema, relaxed_union
+from tidemark.plans.marks import as_stored, move_marks, read_marks
+from tidemark.plans.outcomes import read_ledger, record
 from tidemark.session import scratch_root
 from tidemark.sinks.published import BUCKET, Manifest, PublishedTable, bucket_folder, bucket_value
 
+# Whether a row of a batch lies on or after its item's start date, and that date.
+_TAKEN, _START = "__taken", "__start"
+
+
 @dataclass(frozen=True)
 class SaveOutcome:
     """What a save did: "saved", "skipped" (nothing new) or "failed" (gate)."""
@@ -169,46 +175,116 @@ def save_by_item(
     lookback_days: int | None = None,
     run_id: str | None = None,
     monthly_start: bool = False,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """Merge a batch of many tickers or countries in one job, failures isolated.
 
     Every item is gated by itself, over what it has stored and what the batch
     brings. A failing item adds nothing and its stored rows stay as they are;
-    the others are published. Returns the ledger of the run, one row per item.
-    ``lookback_days`` gives every item its own start date.
+    the others are published. ``lookback_days`` gives every item its own start
+    date, from the marks of the dataset.
+
+    Returns the ledger of the run, one row per item: "saved" only where the
+    store changed. ``expected`` (item, landed, rejected, problem) names more
+    items, which landed without rows or were asked for. ``read_outcomes`` has
+    the counts.
     """
     dataset = DATASETS[dataset] if isinstance(dataset, str) else dataset
     item = dataset.item_column
     table = PublishedTable(spark, store, dataset)
     base = table.manifest()
     run_id = run_id or f"{dataset.name}-{base.version + 1}"
+    absent = missing_columns(new, dict.fromkeys((*dataset.keys, item)))
+    if absent:
+        reason = F.lit(f"required_columns: missing: {','.join(absent)}")
+        named = new.select(F.col(item).alias("item")).distinct() if item in new.columns else spark.range(1).select(F.lit(dataset.name).alias("item"))
+        record(named.select("item", F.lit("failed").alias("status"), reason.alias("reason")), store, run_id, dataset.name)
+        return read_ledger(spark, store, run_id)
+    taken = F.lit(True)
+    if lookback_days is not None and base.buckets:
+        known = as_stored(read_marks(table, base), dataset)
+        starts = incremental_start_by(known, item, lookback_days, dataset.date_column, monthly_start)
+        new = new.join(starts.withColumnRenamed("start_date", _START), item, "left")
+        late = F.col(_START).isNull() | (F.col(dataset.date_column) >= F.col(_START))
+        taken = F.coalesce(late, F.lit(False))
     # The batch is read for its buckets, for the merge and for the ledger.
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    batch = new.withColumn(_TAKEN, taken).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fresh = new
-        touched = touched_buckets(new, dataset)
-        if lookback_days is not None and base.buckets:
-            # The start dates come from all buckets, unless a bucket is an item.
-            own = dataset.bucket_column == item
-            known = table.read(manifest=base, keep=touched.__contains__ if own else None)
-            fresh = incremental_since_by(
-                known, new, item, lookback_days, dataset.date_column, monthly_start
-            )
-        folder, schema = _stage_merged(table, base, fresh, touched)
-        failing = _failing(table, base, folder, schema, new.select(item), touched)
-        # Failures are rare: only they pay for a second merge, of the batch without them.
-        if not failing.isEmpty():
-            fresh = fresh.join(failing, fresh[item].eqNullSafe(failing[item]), "left_anti")
-            folder = None if fresh.isEmpty() else _stage_merged(table, base, fresh, touched)[0]
-        counts = {} if folder is None else table.staged_counts(folder, schema)
+        fresh = batch.where(_TAKEN).drop(_TAKEN, _START)
+        parts = [_batch_counts(batch, item)]
+        if expected is not None:
+            parts.append(_outcome_part(expected, landed="landed", rejected="rejected", problem="problem"))
+        folder, schema, counts = None, None, {}
+        touched = touched_buckets(fresh, dataset)
+        if touched:
+            folder, schema = _stage_merged(table, base, fresh, touched)
+            failing = _failing(table, base, folder, schema, fresh.select(item), touched)
+            # Failures are rare: only they pay for a second merge, of the batch without them.
+            if not failing.isEmpty():
+                parts.append(_outcome_part(failing.withColumnRenamed(item, "item"), failed="reason", spelled="item"))
+                fresh = fresh.join(failing, fresh[item].eqNullSafe(failing[item]), "left_anti")
+                folder = None if fresh.isEmpty() else _stage_merged(table, base, fresh, touched)[0]
+        if folder is not None:
+            changes = _changes(table, base, folder, schema, touched)
+            parts.append(_outcome_part(changes.where("kept > 0 OR replaced > 0"), kept="kept", replaced="replaced"))
+            counts = _changed_buckets(changes)
+        outcomes = item_outcomes(relaxed_union(*parts))
+        record(outcomes, store, run_id, dataset.name, folder if counts else None)
         if counts:
-            table.commit(base, folder, counts, schema, extra={"run_id": run_id})
-        path = f"{table.store}/_run_ledger"
-        ledger = _item_ledger(new.select(item), item, failing, dataset.name, run_id)
-        ledger.write.mode("append").parquet(path)
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path).where(F.col("run_id") == run_id)
+            done = table.commit(base, folder, counts, schema, extra={"run_id": run_id, "attempt": folder})
+            if dataset.date_column and (lookback_days is not None or dataset.lookback_days is not None):
+                move_marks(table, base, done, fresh)
+        return read_ledger(spark, store, run_id)
     finally:
-        new.unpersist()
+        batch.unpersist()
+
+
+def _outcome_part(rows: DataFrame, **columns: str) -> DataFrame:
+    """Partial counts of items, for ``item_outcomes``: its columns by the columns of ``rows``."""
+    return rows.select(F.upper(F.col("item").cast("string")).alias("item"), *[F.col(c).alias(k) for k, c in columns.items()])
+
+
+def _batch_counts(batch: DataFrame, item: str) -> DataFrame:
+    counted = batch.groupBy(F.col(item).alias("item")).agg(F.count(F.lit(1)).alias("batch"), F.count_if(F.col(_TAKEN)).alias("taken"))
+    return _outcome_part(counted, batch="batch", taken="taken", spelled="item").withColumn("spelled", F.col("spelled").cast("string"))
+
+
+def _changes(
+    table: PublishedTable, base: Manifest, folder: str, schema: StructType, touched: set[str | None]
+) -> DataFrame:
+    """(bucket, item, rows, kept, replaced) of the staged files against the buckets they replace.
+
+    Both sides are compared as multisets of row hashes: rows that are staged and
+    were not there are kept, rows that were there and are not staged are
+    replaced. Only hashes are shuffled, spread over all tasks.
+    """
+    dataset = table.dataset
+    key = [dataset.bucket_expr().alias("bucket"), F.col(dataset.item_column).alias("item")]
+    before = align(table.read(manifest=base, keep=touched.__contains__), schema)
+    after = table.staged(folder, schema).drop(BUCKET)
+    sides = [
+        side.select(*key, row_hash(side).alias("hash"), F.lit(old).alias("old"), F.lit(1 - old).alias("now"))
+        for side, old in ((after, 0), (before, 1))
+    ]
+    rows = sides[0].unionByName(sides[1]).groupBy("bucket", "item", "hash").agg(F.sum("old").alias("old"), F.sum("now").alias("now"))
+    more = F.col("now") - F.col("old")
+    changes = rows.groupBy("bucket", "item").agg(
+        F.sum("now").alias("rows"), F.sum(F.greatest(more, F.lit(0))).alias("kept"), F.sum(F.greatest(-more, F.lit(0))).alias("replaced")
+    )
+    path = scratch_root(table.spark, "changes")
+    changes.write.parquet(path)
+    return table.spark.read.schema(changes.schema).parquet(path)
+
+
+def _changed_buckets(changes: DataFrame) -> dict[str, int]:
+    """Rows of each bucket that the staged files change; one row per bucket is collected."""
+    moved = F.sum(F.col("kept") + F.col("replaced"))
+    rows = changes.groupBy("bucket").agg(F.sum("rows").alias("rows"), moved.alias("moved")).where("moved > 0").collect()
+    counts: dict[str, int] = {}
+    for row in rows:
+        name = bucket_folder(row["bucket"])
+        counts[name] = counts.get(name, 0) + row["rows"]
+    return counts
 
 
 def _failing(
@@ -229,10 +305,10 @@ def _failing(
     batch = items.distinct()
     staged = table.staged(folder, schema).join(batch, item, "left_semi")
     failing = failing_items(staged, item, gate)
-    others = table.read(manifest=base, keep=lambda bucket: bucket not in touched)
     bounded = gate.max_rows is not None or gate.min_date is not None or gate.max_date is not None
     untouched = any(bucket_value(name) not in touched for name in base.buckets)
     if untouched and (bounded or not failing.isEmpty()):
+        others = table.read(manifest=base, keep=lambda bucket: bucket not in touched)
         parts = staged.select(*schema.fieldNames()).unionByName(align(others, schema).join(batch, item, "left_semi"))
         failing = failing_items(parts, item, gate)
     path = scratch_root(table.spark, "failing")
@@ -240,22 +316,6 @@ def _failing(
     return table.spark.read.schema(failing.schema).parquet(path)
 
 
-def _item_ledger(
-    items: DataFrame, item: str, failing: DataFrame, name: str, run_id: str
-) -> DataFrame:
-    return (
-        items.distinct()
-        .join(failing.withColumnRenamed(item, "__item"), F.col(item).eqNullSafe(F.col("__item")), "left")
-        .select(
-            F.lit(run_id).alias("run_id"),
-            F.lit(name).alias("dataset"),
-            F.col(item).alias("item"),
-            F.when(F.col("reason").isNull(), "saved").otherwise("failed").alias("status"),
-            F.col("reason"),
-        )
-    )
-
-
 def save_term_premiums(
     spark: SparkSession, store: str, spot: DataFrame, forward: DataFrame, lookback_days: int = 7
 ) -> SaveOutcome:
@@ -272,19 +332,20 @@ def save_bundle(
 
     The loop runs over catalogue entries; each save is a Spark job of its own.
     """
-    rows = []
+    rows: list[tuple[str, str, str | None]] = []
     for name, batch in batches.items():
         dataset = DATASETS[name]
         try:
             outcome = save_dataset(
                 spark, store, dataset, batch, dataset.lookback_days, dataset.monthly_start
             )
-            rows.append((run_id, name, name, outcome.status, outcome.reason))
+            rows.append((name, outcome.status, outcome.reason))
         except Exception as error:  # the reason is kept, the next dataset goes on
-            rows.append((run_id, name, name, "failed", str(error).splitlines()[0]))
-    ledger = spark.createDataFrame(rows, LEDGER_SCHEMA)
-    ledger.coalesce(1).write.mode("append").parquet(f"{store.rstrip('/')}/_run_ledger")
-    return ledger
+            rows.append((name, "failed", str(error).splitlines()[0]))
+    for name, status, reason in rows:
+        one = spark.createDataFrame([(name, status, reason)], "item STRING, status STRING, reason STRING")
+        record(one.coalesce(1), store, run_id, name)
+    return spark.createDataFrame([(run_id, name, name, status, reason) for name, status, reason in rows], LEDGER_SCHEMA)
 
 
 def read_dataset(spark: SparkSession, store: str, name: str, key: str | None = None) -> DataFrame:

@@ -125,6 +125,11 @@ class PublishedTable:
             body = self._manifest_body(versions[-2])
         return Manifest(body["version"], body["buckets"], T.StructType.fromJson(body["schema"]))
 
+    def extra(self) -> dict[str, str]:
+        """What the caller said of the newest publish; nothing before the first."""
+        versions = self._manifest_versions()
+        return self._manifest_body(versions[-1])["extra"] if versions else {}
+
     def _manifest_body(self, version: int) -> dict:
         stream = self._fs().open(self._path(self._manifest_path(version)))
         try:
@@ -326,9 +331,10 @@ class PublishedTable:
         return sorted(gone)
 
 
-def read_lineage(spark: SparkSession, store: str) -> DataFrame:
-    """The lineage table: one row per publish of every dataset of a store."""
-    return spark.read.schema(META_SCHEMA).json(f"{store.rstrip('/')}/*/manifests/*.json")
+def read_lineage(spark: SparkSession, store: str, names: Iterable[str] | None = None) -> DataFrame:
+    """The lineage table: one row per publish of every dataset of a store, or of the named ones."""
+    folders = ["*"] if names is None else list(names)
+    return spark.read.schema(META_SCHEMA).json([f"{store.rstrip('/')}/{n}/manifests/*.json" for n in folders])
 
 
 def bucket_start(width: str, day: dt.date) -> dt.date:

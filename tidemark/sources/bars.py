@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.catalog import DATASETS
-from tidemark.functions import lenient_date, ms_to_date
+from tidemark.functions import bind, lenient_date, ms_to_date
 from tidemark.operators.limits import paged_limit
 from tidemark.operators.project import between_dates, conform, with_audit
 from tidemark.sources.landed import error_payload, is_broken_json
@@ -18,6 +18,7 @@ BAR_PAYLOAD = (
     "timestamp BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE, "
     "vwap DOUBLE, transactions BIGINT"
 )
+_BAR_COLUMNS = ("date", "open", "high", "low", "close", "volume", "vwap", "transactions")
 OPEN_CLOSE_PAYLOAD = (
     "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE, vwap DOUBLE, "
     "afterHours DOUBLE, preMarket DOUBLE"
@@ -33,19 +34,60 @@ LISTING_PAYLOAD = (
 )
 
 
+# A line of bars as it lands: every field once, and what a vendor sends in place of data.
+_BAR_LINE = (
+    BAR_PAYLOAD.replace("timestamp BIGINT", "timestamp STRING")
+    + ", ticker STRING, `Error Message` STRING, Note STRING, Information STRING, _corrupt_record STRING"
+)
+
+
+def _judged_bar(line: Column) -> Column:
+    """A parsed line as a bar with its ticker, date and the reason why it cannot be used, else null."""
+    error = F.coalesce(line["Error Message"], line["Note"], line["Information"])
+    time = line["timestamp"].try_cast("bigint")
+    broken = line["_corrupt_record"].isNotNull() & F.coalesce(line["ticker"], line["timestamp"], error).isNull()
+    reason = (
+        F.when(line.isNull() | broken, F.lit("not JSON"))
+        .when(error.isNotNull(), error)
+        .when(line["timestamp"].isNull(), F.lit("no timestamp"))
+        .when(time.isNull(), F.lit("bad timestamp"))
+    )
+    numbers = [f.split(" ")[0] for f in BAR_PAYLOAD.split(", ")][1:]
+    return F.struct(
+        line["ticker"].alias("ticker"), ms_to_date(time).alias("date"), *[line[n].alias(n) for n in numbers],
+        reason.alias("reason"),
+    )
+
+
+def parse_bars(raw: Column) -> Column:
+    """A line of bars parsed and judged, with one parse: ticker, date, the bar's fields, reason."""
+    parsed = F.from_json(raw, _BAR_LINE, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return bind(parsed, _judged_bar)
+
+
+def shape_bars(parsed: DataFrame, batch_ts: dt.datetime | str) -> DataFrame:
+    """Usable lines (``ticker``, ``bar``) to the bars table."""
+    rows = parsed.select(F.upper("ticker").alias("ticker"), *[F.col(f"bar.{c}").alias(c) for c in _BAR_COLUMNS])
+    return conform(with_audit(rows, K.SOURCE_BARS, batch_ts), DATASETS["daily_bars"].schema)
+
+
 def daily_bars(
     landed: DataFrame,
     batch_ts: dt.datetime | str,
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
 ) -> DataFrame:
-    """Vendor bars, one JSON object per row, to the bars table. Missing fields are null."""
-    bar = landed.select(
-        F.upper("symbol").alias("ticker"), F.from_json("raw", BAR_PAYLOAD).alias("bar")
+    """Vendor bars, one JSON object per row, to the bars table. Missing fields are null.
+
+    The filter stands inside the array that is unnested, so that it does not repeat the parse.
+    """
+    parsed = F.transform(F.array(F.from_json("raw", _BAR_LINE, {"columnNameOfCorruptRecord": "_corrupt_record"})), _judged_bar)
+    usable = F.filter(parsed, lambda bar: bar["date"].isNotNull())
+    rows = landed.select(F.upper("symbol").alias("symbol"), F.inline(usable)).select(
+        F.col("symbol").alias("ticker"), *_BAR_COLUMNS
     )
-    rows = bar.select("ticker", ms_to_date("bar.timestamp").alias("date"), "bar.*")
-    rows = with_audit(rows.where(F.col("date").isNotNull()), K.SOURCE_BARS, batch_ts)
-    return between_dates(conform(rows, DATASETS["daily_bars"].schema), start, end)
+    rows = conform(with_audit(rows, K.SOURCE_BARS, batch_ts), DATASETS["daily_bars"].schema)
+    return between_dates(rows, start, end)
 
 
 def open_close(
@@ -89,10 +131,9 @@ def payload_problem() -> Column:
     return F.when(is_broken_json(raw), F.lit("not JSON")).otherwise(error_payload(raw))
 
 
-def bar_problem() -> Column:
-    """Why a line of bars cannot be used, else null."""
-    missing = F.get_json_object("raw", "$.timestamp").isNull()
-    return F.coalesce(payload_problem(), F.when(missing, F.lit("no timestamp")))
+def listing_problem() -> Column:
+    """Why a line of a listing cannot be used, else null."""
+    return F.coalesce(payload_problem(), F.when(F.get_json_object("raw", "$.ticker").isNull(), F.lit("no ticker")))
 
 
 def ticker_list(

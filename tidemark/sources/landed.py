@@ -25,6 +25,26 @@ def read_landed(spark: SparkSession, path: str, one_per_line: bool = False) -> D
     return text.select(file_name.alias("symbol"), F.col("value").alias("raw"))
 
 
+def placed(text: DataFrame) -> DataFrame:
+    """Text rows with where they lie: ``raw``, ``file``, ``block`` (first byte of the file block), ``row``."""
+    return text.select(
+        F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
+    )
+
+
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """``read_landed`` of whole files, with where they lie."""
+    files = placed(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True))
+    return files.withColumn("symbol", F.regexp_extract("file", r"([^/]+?)(\.[A-Za-z]+)?$", 1))
+
+
+def read_lines(spark: SparkSession, path: str, *envelope: str) -> DataFrame:
+    """JSON lines with where they lie, next to the envelope fields they carry."""
+    fields = F.from_json("raw", ", ".join(f"{e} STRING" for e in envelope))
+    return placed(spark.read.text(path)).withColumn("__envelope", fields).select("*", "__envelope.*").drop("__envelope")
+
+
 def read_landed_table(
     spark: SparkSession, path: str, schema: str | None = None, sep: str = ","
 ) -> DataFrame:

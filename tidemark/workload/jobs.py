@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import DATASETS
 from tidemark.plans import feeds, load, save
+from tidemark.plans.outcomes import read_outcomes
+from tidemark.plans.rejects import read_rejects
 from tidemark.session import scratch_root
 from tidemark.sinks.published import PublishedTable
 from tidemark.sources.landed import read_landed_table
@@ -96,6 +98,35 @@ def _ingest_ledger(spark, sf):
     return ledger.select("item", "status", "reason")
 
 
+@query("ingest_rejects", """
+    WITH e AS (SELECT upper(event_type) AS item, CASE WHEN event_id % 13 = 0 THEN 'not JSON'
+                 WHEN event_id % 11 = 0 THEN 'no timestamp' WHEN event_id % 7 = 0 THEN 'bad timestamp' END AS reason FROM events),
+    named AS (SELECT CASE WHEN reason = 'not JSON' THEN '?' ELSE item END AS item, reason FROM e)
+    SELECT item, reason, count(*) AS lines, count(*) AS places FROM named WHERE reason IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT item, 'landed', count(*), count(reason) FROM named GROUP BY item""")
+def _ingest_rejects(spark, sf):
+    # Good and bad lines of the same tickers; each bad line is kept with its place, and all lines are counted.
+    root = scratch_root(spark, "rejects")
+    number = F.col("event_id")
+    time = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    line = F.to_json(F.struct(
+        F.col("event_type").alias("ticker"),
+        F.when(number % 11 == 0, F.lit(None)).when(number % 7 == 0, F.lit("soon")).otherwise(time).alias("timestamp"),
+        cents("value").alias("close"),
+    ))
+    lines = table(spark, sf, "events").select(F.when(number % 13 == 0, F.lit('{"ticker": "x", "clo')).otherwise(line))
+    lines.write.text(f"{root}/landing/daily_bars")
+    feeds.ingest(spark, f"{root}/store", f"{root}/landing", "daily_bars", BATCH_TS, run_id="run-1")
+    rejects = read_rejects(spark, f"{root}/store", "run-1")
+    found = rejects.groupBy(F.coalesce("item", F.lit("?")).alias("item"), "reason").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("file", "block", "line").alias("places")
+    )
+    counts = read_outcomes(spark, f"{root}/store", "run-1")
+    return found.unionByName(counts.select(
+        "item", F.lit("landed").alias("reason"), F.col("landed").alias("lines"), F.col("rejected").alias("places")
+    ))
+
+
 @query("load_constraints", """
     WITH counts AS (
         SELECT count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS nulls, count(*) AS n,

@@ -12,6 +12,7 @@ from tidemark.catalog import NOT_EMPTY, TABLES, Dataset, Gate, table_schema
 from tidemark.functions import as_utc
 from tidemark.operators.ledger import append_state, read_state
 from tidemark.plans import load, rollup, save, upkeep
+from tidemark.plans.outcomes import read_outcomes
 from tidemark.session import scratch_root
 from tidemark.sinks.published import PublishedTable, read_lineage
 from tidemark.streaming import bucket_stream, landed_stream, merge_stream, refresh_touched
@@ -123,6 +124,30 @@ def _save_ledger(spark, sf):
     return save.save_by_item(spark, store, "daily_bars", batch, run_id="run-1")
 
 
+@query("save_by_item_skipped", """
+    WITH o AS (SELECT o_orderpriority AS item, CAST(o_orderdate AS DATE) AS date FROM orders),
+    starts AS (SELECT item, max(date) - 7 AS start FROM o GROUP BY 1),
+    b AS (SELECT o.*, date >= start AS late FROM o JOIN starts USING (item)
+          WHERE item NOT LIKE '1%' OR date < start)
+    SELECT item, CASE WHEN item LIKE '3%' THEN 'saved' ELSE 'skipped' END AS status,
+           CASE WHEN item LIKE '1%' THEN 'before the start date' WHEN item NOT LIKE '3%' THEN 'nothing new' END AS reason,
+           count(*) AS landed, count(*) FILTER (WHERE late) AS taken,
+           CASE WHEN item LIKE '3%' THEN count(DISTINCT date) FILTER (WHERE late) ELSE 0 END AS kept,
+           CASE WHEN item LIKE '3%' THEN count(DISTINCT date) FILTER (WHERE late) ELSE 0 END AS replaced
+    FROM b GROUP BY item""")
+def _save_by_item_skipped(spark, sf):
+    # The second batch: old rows only of one ticker, later prices of one, the same rows of the others.
+    store = scratch_root(spark, "skipped")
+    save.save_by_item(spark, store, "daily_bars", _bar_batch(spark, sf))
+    once, later = _bar_batch(spark, sf), _bar_batch(spark, sf, 2)
+    ends = once.groupBy("ticker").agg(F.max("date").alias("end"))
+    old = once.where("ticker LIKE '1%'").join(ends, "ticker").where("date < end - INTERVAL 7 DAYS").drop("end")
+    same = once.where("ticker NOT LIKE '1%' AND ticker NOT LIKE '3%'")
+    batch = old.unionByName(same).unionByName(later.where("ticker LIKE '3%'"))
+    save.save_by_item(spark, store, "daily_bars", batch, lookback_days=7, run_id="run-2")
+    return read_outcomes(spark, store, "run-2").select("item", "status", "reason", "landed", "taken", "kept", "replaced")
+
+
 @query("save_by_country", """
     WITH daily AS (SELECT upper(event_type) AS country, CAST(ts AS DATE) AS date,
                           max(round(value * 100)) AS value FROM events GROUP BY 1, 2),
