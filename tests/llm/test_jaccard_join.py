@@ -133,3 +133,31 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(5)).collect()}
     alone = {a for a, b in pairs if a == b} - {x for a, b in pairs if a != b for x in (a, b)}
     assert got == {x: root(x) for x in parent if x not in alone}
+
+
+@pytest.mark.parametrize("many", [300, 600, 1200])
+def test_links_grow_with_the_documents(spark, monkeypatch, many):
+    """Near copies of one text, a word changed in each: a forest of links, not all pairs."""
+    draw = random.Random(many)
+    base = prose(5, 50).split()
+    rows = []
+    for doc in range(many):
+        words = list(base)
+        words[draw.randrange(50)] = f"changed{doc}"
+        rows.append((doc, " ".join(words)))
+    counted, whole = [], jaccard_join.components
+
+    def counting(links):
+        counted.append(links.count())
+        return whole(links)
+
+    monkeypatch.setattr(jaccard_join, "components", counting)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.link(frame, words=5, percent=80).collect()}
+    assert max(counted) <= 4 * many
+    sets = {doc: set(jaccard_join.shingles(text, 5).tolist()) for doc, text in rows}
+    for doc in range(0, many, 60):
+        for other in range(many):
+            both = len(sets[doc] & sets[other])
+            if 100 * both >= 80 * (len(sets[doc]) + len(sets[other]) - both):
+                assert found[doc] == found[other]

@@ -28,6 +28,8 @@ COUNTERS = 1 << 17
 LEAF = 32
 #: Most points of a block in one task; larger blocks are dealt out as pairs of parts.
 PART = 2048
+#: Shingles of all rows of a task, on average, at most.
+TASK_SHINGLES = 4_000_000
 
 
 class _Words(dict):
@@ -259,6 +261,20 @@ def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Da
     return both.where((100 + percent) * overlap >= percent * total).select("a", "b").distinct()
 
 
+def _open_sets(rows: DataFrame, open_ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n, point, made) of the documents that are still open: their points and whole sorted sets."""
+    wanted = SlotFilter(open_ids, "doc_id")
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            some = batch[wanted.held(batch["slot"])]
+            made = [shingles(text, words) for text in some["text"]]
+            out = [(doc, len(m), vector(m), m.tobytes()) for doc, m in zip(some["doc_id"], made) if len(m)]
+            yield pd.DataFrame(out, columns=["doc_id", "n", "point", "made"])
+
+    return rows.withColumn("slot", wanted.slot("doc_id")).mapInPandas(sets, "doc_id long, n long, point binary, made binary")
+
+
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The pairs whose points do not rule a link out."""
     left, right = (
@@ -276,17 +292,21 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 
 def _dealt(inside: DataFrame) -> DataFrame:
-    """The rows of blocks (token, doc_id, class, rows) dealt out to tasks, with their part and the parts (i, j) to compare.
+    """The rows of blocks (token, doc_id, class, rows, n) dealt out to tasks, with their part and the parts (i, j) to compare.
 
-    Whole small blocks share tasks of about 10,000 rows. A large block is dealt
+    Whole small blocks share tasks of about 10,000 rows or ``TASK_SHINGLES`` shingles. A large block is dealt
     by class: a class of ``PART`` rows or more has parts of its own, the others
     share parts. Only two parts that hold different classes meet, in a task of
     their own, so a hot class is never copied against itself.
     """
     zero = F.lit(0).cast("long")
     whole = inside.where(F.col("rows") <= PART)
-    count = inside.agg(F.count_if(F.col("rows") <= PART).alias("whole"), F.count_if(F.col("rows") > PART).alias("large")).first()
-    tasks = max(1, -(-count["whole"] // 10_000))
+    small = F.col("rows") <= PART
+    count = inside.agg(
+        F.count_if(small).alias("whole"), F.count_if(~small).alias("large"), F.sum(F.when(small, F.col("n"))).alias("shingles")
+    ).first()
+    tasks = max(1, -(-count["whole"] // 10_000), -(-(count["shingles"] or 0) // TASK_SHINGLES))
+    inside, whole = inside.drop("n"), whole.drop("n")
     whole = whole.withColumns({"part": zero, "i": zero, "j": zero}).withColumn("task", F.pmod(F.xxhash64("token"), F.lit(tasks)))
     if not count["large"]:
         return whole.drop("rows")
@@ -304,8 +324,21 @@ def _dealt(inside: DataFrame) -> DataFrame:
     return whole.drop("rows").unionByName(apart)
 
 
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    few, many = (a, b) if len(a) <= len(b) else (b, a)
+    place = np.searchsorted(many, few)
+    place[place == len(many)] = 0
+    return int((many[place] == few).sum())
+
+
 def _searched(blocks: DataFrame, percent: int) -> DataFrame:
-    """Pairs over classes that the points of a block leave open; each pair in one block where that can be told."""
+    """Links between classes, found and checked block by block: of each task a spanning forest of its classes.
+
+    Points rule pairs out, whole sets decide. Classes that a task has linked
+    already are not compared again, so a task gives fewer links than it has
+    classes; each pair is looked at in one block where that can be told.
+    """
 
     def small(frame: pd.DataFrame, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right = [], []
@@ -338,13 +371,24 @@ def _searched(blocks: DataFrame, percent: int) -> DataFrame:
         token, i, j = block.T
         # In a task for two parts of a block, pairs within a part belong to another task.
         pairs = pairs[(part[pairs[:, 0]] != part[pairs[:, 1]]) | (i[pairs[:, 0]] == j[pairs[:, 0]])]
-        ids = frame["doc_id"].to_numpy()
-        out = set()
+        ids, made = frame["doc_id"].to_numpy(), frame["made"].to_list()
+        above: dict[int, int] = {}
+
+        def root(one: int) -> int:
+            while one in above:
+                above[one] = one = above.get(above[one], above[one])
+            return one
+
+        out = []
         for x, y in pairs.tolist():
-            pair = (min(ids[x], ids[y]), max(ids[x], ids[y]))
-            if pair not in out and not any(t < token[x] for t in set(heads[x]) & set(heads[y])):
-                out.add(pair)
-        return pd.DataFrame(sorted(out), columns=["a", "b"])
+            p, q = root(classes[x]), root(classes[y])
+            if p == q or any(t < token[x] for t in set(heads[x]) & set(heads[y])):
+                continue
+            one, two = np.frombuffer(made[x], np.uint64), np.frombuffer(made[y], np.uint64)
+            if may_link(_overlap(one, two), len(one) + len(two), percent):
+                above[max(p, q)] = min(p, q)
+                out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return blocks.groupBy("task").applyInPandas(search, "a long, b long")
 
@@ -361,7 +405,9 @@ def link(
     links as any of them does; a null id has a null component. No pair of
     different sets is given up: what points cannot rule out is checked on the
     whole sets, and only pairs already known to be in one component are not
-    looked at again. Other columns are ignored.
+    looked at again; the links that go on are as many as there are rows of
+    blocks at most, however large a group of copies. Very long texts are taken
+    whole. Other columns, whatever their names, are ignored.
     """
     rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     sketch = _sketch(rows, words)
@@ -409,9 +455,10 @@ def link(
     needed = firsts.groupBy("token").agg(F.min("first").alias("low"), F.max("first").alias("high"))
     needed = needed.where("low < high OR high = token").select("token")
     inside = stored(inside.join(needed, "token", "left_semi"), "needed")
-    dealt = _dealt(inside).join(light.join(heads_of, "doc_id"), "doc_id")
-    open_pairs = stored(_searched(dealt, percent).distinct(), "pairs")
-    second = _verified(open_pairs, known, words, percent)
+    sizes_of = light.groupBy("doc_id").agg(F.max("n").alias("n"))
+    sets = _open_sets(known, inside.select("doc_id"), words).join(heads_of, "doc_id")
+    dealt = _dealt(stored(inside.join(sizes_of, "doc_id"), "sized")).join(sets, "doc_id")
+    second = stored(_searched(dealt, percent), "links")
 
     found = components(first.unionByName(second).unionByName(equal))
     named = found.select(F.col("id").alias("doc_id"), "component")
