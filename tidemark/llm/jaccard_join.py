@@ -28,7 +28,7 @@ COUNTERS = 1 << 17
 LEAF = 32
 #: Most points of a block in one task; larger blocks are dealt out as pairs of parts.
 PART = 2048
-#: Shingles of all rows of a task, on average, at most.
+#: Shingles of the whole sets in a task, on average, at most.
 TASK_SHINGLES = 4_000_000
 
 
@@ -292,21 +292,17 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 
 def _dealt(inside: DataFrame) -> DataFrame:
-    """The rows of blocks (token, doc_id, class, rows, n) dealt out to tasks, with their part and the parts (i, j) to compare.
+    """The rows of blocks (token, doc_id, class, rows) dealt out to tasks, with their part and the parts (i, j) to compare.
 
-    Whole small blocks share tasks of about 10,000 rows or ``TASK_SHINGLES`` shingles. A large block is dealt
+    Whole small blocks share tasks of about 10,000 rows. A large block is dealt
     by class: a class of ``PART`` rows or more has parts of its own, the others
     share parts. Only two parts that hold different classes meet, in a task of
     their own, so a hot class is never copied against itself.
     """
     zero = F.lit(0).cast("long")
     whole = inside.where(F.col("rows") <= PART)
-    small = F.col("rows") <= PART
-    count = inside.agg(
-        F.count_if(small).alias("whole"), F.count_if(~small).alias("large"), F.sum(F.when(small, F.col("n"))).alias("shingles")
-    ).first()
-    tasks = max(1, -(-count["whole"] // 10_000), -(-(count["shingles"] or 0) // TASK_SHINGLES))
-    inside, whole = inside.drop("n"), whole.drop("n")
+    count = inside.agg(F.count_if(F.col("rows") <= PART).alias("whole"), F.count_if(F.col("rows") > PART).alias("large")).first()
+    tasks = max(1, -(-count["whole"] // 10_000))
     whole = whole.withColumns({"part": zero, "i": zero, "j": zero}).withColumn("task", F.pmod(F.xxhash64("token"), F.lit(tasks)))
     if not count["large"]:
         return whole.drop("rows")
@@ -332,13 +328,16 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((many[place] == few).sum())
 
 
-def _searched(blocks: DataFrame, percent: int) -> DataFrame:
-    """Links between classes, found and checked block by block: of each task a spanning forest of its classes.
+def _searched(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
+    """Blocks searched for pairs over classes, each pair in one block where that can be told.
 
-    Points rule pairs out, whole sets decide. Classes that a task has linked
-    already are not compared again, so a task gives fewer links than it has
-    classes; each pair is looked at in one block where that can be told.
+    First, by points alone: the rows that are in some pair left open, each once
+    a block. Then, ``checked`` by the whole sets of these rows: links, of each
+    task a spanning forest of its classes. Classes that a task has linked
+    already are not compared again. Either way there are at most as many rows
+    out as in, however many pairs a block has.
     """
+    same = ["task", "token", "doc_id", "class", "part", "i", "j", "heads"]
 
     def small(frame: pd.DataFrame, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right = [], []
@@ -371,6 +370,11 @@ def _searched(blocks: DataFrame, percent: int) -> DataFrame:
         token, i, j = block.T
         # In a task for two parts of a block, pairs within a part belong to another task.
         pairs = pairs[(part[pairs[:, 0]] != part[pairs[:, 1]]) | (i[pairs[:, 0]] == j[pairs[:, 0]])]
+        if len(pairs):
+            met = np.array([not any(t < token[x] for t in set(heads[x]) & set(heads[y])) for x, y in pairs.tolist()])
+            pairs = pairs[met]
+        if not checked:
+            return frame.loc[np.unique(pairs), same]
         ids, made = frame["doc_id"].to_numpy(), frame["made"].to_list()
         above: dict[int, int] = {}
 
@@ -382,7 +386,7 @@ def _searched(blocks: DataFrame, percent: int) -> DataFrame:
         out = []
         for x, y in pairs.tolist():
             p, q = root(classes[x]), root(classes[y])
-            if p == q or any(t < token[x] for t in set(heads[x]) & set(heads[y])):
+            if p == q:
                 continue
             one, two = np.frombuffer(made[x], np.uint64), np.frombuffer(made[y], np.uint64)
             if may_link(_overlap(one, two), len(one) + len(two), percent):
@@ -390,7 +394,8 @@ def _searched(blocks: DataFrame, percent: int) -> DataFrame:
                 out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return blocks.groupBy("task").applyInPandas(search, "a long, b long")
+    rows = "task long, token long, doc_id long, class long, part long, i long, j long, heads array<long>"
+    return blocks.groupBy("task").applyInPandas(search, "a long, b long" if checked else rows)
 
 
 def link(
@@ -455,10 +460,13 @@ def link(
     needed = firsts.groupBy("token").agg(F.min("first").alias("low"), F.max("first").alias("high"))
     needed = needed.where("low < high OR high = token").select("token")
     inside = stored(inside.join(needed, "token", "left_semi"), "needed")
-    sizes_of = light.groupBy("doc_id").agg(F.max("n").alias("n"))
-    sets = _open_sets(known, inside.select("doc_id"), words).join(heads_of, "doc_id")
-    dealt = _dealt(stored(inside.join(sizes_of, "doc_id"), "sized")).join(sets, "doc_id")
-    second = stored(_searched(dealt, percent), "links")
+    dealt = _dealt(inside).join(light.join(heads_of, "doc_id"), "doc_id")
+    left = stored(_searched(dealt, percent, checked=False), "open")
+    sets = stored(_open_sets(known, left.select("doc_id"), words).join(left.select("doc_id").distinct(), "doc_id", "left_semi"), "sets")
+    volume = left.join(sets.select("doc_id", "n"), "doc_id").agg(F.sum("n")).first()[0] or 0
+    shared = F.pmod(F.xxhash64("token"), F.lit(max(1, -(-volume // TASK_SHINGLES))))
+    left = left.withColumn("task", F.when((F.col("i") == 0) & (F.col("j") == 0), shared).otherwise(F.col("task")))
+    second = stored(_searched(left.join(sets, "doc_id"), percent, checked=True), "links")
 
     found = components(first.unionByName(second).unionByName(equal))
     named = found.select(F.col("id").alias("doc_id"), "component")
