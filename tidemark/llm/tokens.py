@@ -47,7 +47,7 @@ class WordEncoder:
     looks like a special token, goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 160_000):
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = _byte_letters()
