@@ -23,26 +23,32 @@ CHAIN_PAYLOAD = (
 )
 
 
-def parse_chain(landed: DataFrame) -> DataFrame:
+def _requested(contracts: DataFrame, expiries: Iterable[str] | DataFrame | None) -> DataFrame:
+    """Rows of the expiries asked for (all where None); a long request is a DataFrame with an ``expiry`` column."""
+    if isinstance(expiries, DataFrame):
+        return contracts.join(expiries, "expiry", "left_semi")
+    if expiries is not None:
+        return contracts.where(F.col("expiry").isin([F.lit(e).cast("date") for e in expiries]))
+    return contracts
+
+
+def parse_chain(landed: DataFrame, expiries: Iterable[str] | DataFrame | None = None) -> DataFrame:
     """Contract payloads, one JSON object per row, next to their snapshot envelope.
 
     The envelope has ``underlying``, ``expiry`` (text), ``quick_price``,
     ``profile_price`` and ``snapshot_ts``; the quick quote is preferred. Contracts
     with a bad expiry or a broken payload are left out (``contract_problem``). A
-    ``type`` (side) is kept.
+    ``type`` (side) is kept. What the envelope can tell (bad expiries, ``expiries``
+    that nobody asked for) is filtered before a payload is parsed.
     """
     spot = first_available(to_decimal6("quick_price"), to_decimal6("profile_price"))
-    kept = [c for c in ("type",) if c in landed.columns]
-    return landed.select(
-        "underlying",
-        lenient_date("expiry").alias("expiry"),
-        spot.alias("underlying_price"),
-        "snapshot_ts",
-        F.from_json("raw", CHAIN_PAYLOAD).alias("contract"),
-        *kept,
-    ).where(F.col("expiry").isNotNull() & F.col("contract.contractSymbol").isNotNull()).select(
-        "underlying", "expiry", "underlying_price", "snapshot_ts", *kept, "contract.*"
-    )
+    envelope = ["underlying", "expiry", "underlying_price", "snapshot_ts"]
+    envelope += [c for c in ("type",) if c in landed.columns]
+    dated = landed.withColumns({"expiry": lenient_date("expiry"), "underlying_price": spot})
+    wanted = _requested(dated.where(F.col("expiry").isNotNull()), expiries)
+    # Unnested, so that the test of the symbol cannot be pushed below the parse and repeat it.
+    contract = F.inline(F.array(F.from_json("raw", CHAIN_PAYLOAD)))
+    return wanted.select(*envelope, contract).where(F.col("contractSymbol").isNotNull())
 
 
 def contract_problem() -> Column:
@@ -70,10 +76,7 @@ def typed_option_chain(
     contracts: DataFrame, expiries: Iterable[str] | DataFrame | None = None
 ) -> DataFrame:
     """``option_chain`` of contracts that carry their side as ``type``: one parse, one join."""
-    if isinstance(expiries, DataFrame):
-        contracts = contracts.join(expiries, "expiry", "left_semi")
-    elif expiries is not None:
-        contracts = contracts.where(F.col("expiry").isin([F.lit(e).cast("date") for e in expiries]))
+    contracts = _requested(contracts, expiries)
     return dedupe_grain(typed_chains_to_long(contracts), DATASETS["options"].keys)
 
 

@@ -381,7 +381,7 @@ def _option_chain(spark, sf):
     expiries = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(
         F.col("o_orderdate").cast("date").alias("expiry")
     )
-    chain = options.typed_option_chain(options.parse_chain(landed), expiries)
+    chain = options.typed_option_chain(options.parse_chain(landed, expiries))
     return shown(chain.select("underlying", "type", "expiry", "contract_symbol", "underlying_price"))
 
 
