@@ -112,7 +112,8 @@ def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.withColumn("has_repeat", F.col("n_removed") > 0)
 
 
 @query("op10_jaccard_join")

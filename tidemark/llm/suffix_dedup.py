@@ -26,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,6 +156,20 @@ def _signed(values: np.ndarray, kind: type) -> np.ndarray:
     return values.astype(np.uint64 if kind is np.int64 else np.uint32).view(kind)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.Table]:
+    """The batches of a task joined to tables of about ``rows`` rows; for rows of a few numbers each."""
+    waiting, count = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            count += batch.num_rows
+        if count >= rows:
+            yield pa.Table.from_batches(waiting).combine_chunks()
+            waiting, count = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
 def twins(rows: DataFrame, bucket: list[str], finer: str | None = None) -> DataFrame:
     """The rows that share their bucket with another row, found by one sort.
 
@@ -164,42 +179,44 @@ def twins(rows: DataFrame, bucket: list[str], finer: str | None = None) -> DataF
     """
     order = [*bucket, *([finer] if finer else []), *[c for c in rows.columns if c not in bucket and c != finer]]
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", whole boolean, first boolean, twin boolean, edge boolean"
-    columns = rows.columns
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[pa.Table, dict[str, np.ndarray]] | None = None
 
-        def released(frame: pd.DataFrame) -> pd.DataFrame:
-            return frame[frame["twin"] | frame["edge"]]
+        def released(table: pa.Table, flags: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+            flagged = table
+            for name in ("whole", "first", "twin", "edge"):
+                flagged = flagged.append_column(name, pa.array(flags[name]))
+            yield from flagged.filter(pa.array(flags["twin"] | flags["edge"])).to_batches()
 
-        for batch in batches:
-            if not len(batch):
-                continue
-            frame = batch.assign(whole=False, first=True, twin=False, edge=False)
+        for table in _gathered(batches):
+            count = table.num_rows
+            flags = {"whole": np.zeros(count, bool), "first": np.ones(count, bool), "twin": np.zeros(count, bool),
+                     "edge": np.zeros(count, bool)}
             if held is None:
-                frame.iloc[0, frame.columns.get_loc("edge")] = True
+                flags["edge"][0] = True
             else:
-                frame = pd.concat([held, frame], ignore_index=True)
-            same = np.ones(len(frame) - 1, bool)
+                table = pa.concat_tables([held[0], table])
+                flags = {name: np.concatenate([held[1][name], flag]) for name, flag in flags.items()}
+            same = np.ones(table.num_rows - 1, bool)
             for name in bucket:
-                values = frame[name].to_numpy()
+                values = table.column(name).to_numpy()
                 same &= values[1:] == values[:-1]
-            alike = same & (np.diff(frame[finer].to_numpy()) == 0) if finer else same
+            alike = same
+            if finer:
+                values = table.column(finer).to_numpy()
+                alike = same & (values[1:] == values[:-1])
             for name, equal in (("twin", same), ("whole", alike)):
-                flags = frame[name].to_numpy().copy()
-                flags[1:] |= equal
-                flags[:-1] |= equal
-                frame[name] = flags
-            firsts = frame["first"].to_numpy().copy()
-            firsts[1:] = ~alike
-            held = frame.assign(first=firsts).iloc[-1:]
-            frame["first"] = firsts
-            yield released(frame.iloc[:-1])[[*columns, "whole", "first", "twin", "edge"]]
+                flags[name][1:] |= equal
+                flags[name][:-1] |= equal
+            flags["first"][1:] = ~alike
+            held = table.slice(table.num_rows - 1), {name: flag[-1:] for name, flag in flags.items()}
+            yield from released(table.slice(0, table.num_rows - 1), {name: flag[:-1] for name, flag in flags.items()})
         if held is not None:
-            yield held.assign(edge=True)[[*columns, "whole", "first", "twin", "edge"]]
+            yield from released(held[0], {**held[1], "edge": np.ones(1, bool)})
 
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stored(sorted_rows.mapInPandas(compare, schema), "twins")
+    found = stored(sorted_rows.mapInArrow(compare, schema), "twins")
     shared = found.where("edge").groupBy(*bucket).count().where("count > 1").select(*bucket)
     late = found.where("edge AND NOT twin").join(shared, bucket, "left_semi")
     return found.where("twin").unionByName(late.select(found.columns)).drop("twin", "edge")
@@ -208,42 +225,68 @@ def twins(rows: DataFrame, bucket: list[str], finer: str | None = None) -> DataF
 _KEY = ["doc_id", "tag"]
 
 
+def _bytes(batch: pa.RecordBatch) -> list[bytes]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
+
+
+def _lists(batch: pa.RecordBatch, name: str) -> Iterator[np.ndarray]:
+    column = batch.column(name)
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return (values[low:high] for low, high in zip(ends[:-1], ends[1:]))
+
+
+def _keyed_rows(batch: pa.RecordBatch, of: list[int], found: list[tuple], names: list[tuple[str, type]]) -> pa.RecordBatch:
+    """One row for each number found, with the key of the text (row ``of`` of the batch) that it was found in."""
+    sizes = [len(columns[0]) for columns in found]
+    row = pa.array(np.repeat(np.array(of, np.int64), sizes))
+    arrays = [pa.array(_signed(np.concatenate(values), kind)) for values, (_, kind) in zip(zip(*found), names)]
+    arrays[2:2] = [batch.column(key).take(row) for key in _KEY]
+    labels = [name for name, _ in names]
+    return pa.RecordBatch.from_arrays(arrays, names=[*labels[:2], *_KEY, *labels[2:]])
+
+
 def _sampled(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [("bucket", np.int64), ("around", np.int32), ("place", np.int64)]
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, tag, text in zip(batch["doc_id"], batch["tag"], batch["text"]):
-                parts = list(sampled(text.encode("utf-8", "replace"), length, gram))
-                if not parts:
-                    continue
-                q, around, place = map(np.concatenate, zip(*parts))
-                place, first = np.unique(place, return_index=True)  # stretches overlap
-                out.append(pd.DataFrame({
-                    "bucket": _signed(q[first], np.int64), "around": _signed(around[first], np.int32), "doc_id": doc,
-                    "tag": tag, "place": place,
-                }))
-            if out:
-                yield pd.concat(out).astype({"doc_id": "Int64"})
-
-    return docs.mapInPandas(sample, "bucket long, around int, doc_id long, tag int, place int")
+            of, found = [], []
+            for k, raw in enumerate(_bytes(batch)):
+                parts = list(sampled(raw, length, gram))
+                if len(parts) > 1:  # stretches overlap
+                    q, around, place = map(np.concatenate, zip(*parts))
+                    place, first = np.unique(place, return_index=True)
+                    parts = [(q[first], around[first], place)]
+                if parts:
+                    of.append(k)
+                    found.append(parts[0])
+            if found:
+                yield _keyed_rows(batch, of, found, names)
+
+    return docs.mapInArrow(sample, "bucket long, around int, doc_id long, tag int, place long").withColumn(
+        "place", F.col("place").cast("int")
+    )
 
 
 def _open_starts(marked: DataFrame, length: int, gram: int) -> DataFrame:
-    def refine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                for part in segments(row.text.encode("utf-8", "replace"), length, gram):
-                    starts = part.open(row.places, row.whole, row.shown)
-                    first, check = part.refined(starts)
-                    out.append(pd.DataFrame({
-                        "bucket": _signed(first, np.int64), "check": _signed(check, np.int32), "doc_id": row.doc_id,
-                        "tag": row.tag, "start": starts + part.base,
-                    }))
-            if out:
-                yield pd.concat(out).astype({"doc_id": "Int64"})
+    names = [("bucket", np.int64), ("check", np.int32), ("start", np.int64)]
 
-    return marked.mapInPandas(refine, "bucket long, check int, doc_id long, tag int, start int")
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, found = [], []
+            marks = zip(_bytes(batch), *(_lists(batch, name) for name in ("places", "whole", "shown")))
+            for k, (raw, places, whole, shown) in enumerate(marks):
+                for part in segments(raw, length, gram):
+                    starts = part.open(places, whole, shown)
+                    if len(starts):
+                        of.append(k)
+                        found.append((*part.refined(starts), starts + part.base))
+            if found:
+                yield _keyed_rows(batch, of, found, names)
+
+    return marked.mapInArrow(refine, "bucket long, check int, doc_id long, tag int, start long").withColumn(
+        "start", F.col("start").cast("int")
+    )
 
 
 def runs(covered: np.ndarray) -> np.ndarray:
@@ -252,12 +295,23 @@ def runs(covered: np.ndarray) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
+def _settled(raw: bytes, length: int, gram: int, whole: np.ndarray) -> np.ndarray:
+    """Starts that repeat because the whole neighbourhood of a sample does."""
+    if not len(whole):
+        return whole
+    if len(raw) - length < _SEGMENT:
+        # One stretch: every place was sampled in it and speaks for the starts up to it, with no hash formed again.
+        change = np.zeros(len(raw) - length + 2, np.int32)
+        np.add.at(change, np.maximum(whole - (length - gram), 0), 1)
+        np.add.at(change, np.minimum(whole + 1, len(change) - 1), -1)
+        return np.flatnonzero(np.cumsum(change[:-1]) > 0)
+    return np.concatenate([np.flatnonzero(part.settled(whole)) + part.base for part in segments(raw, length, gram)])
+
+
 def removed(raw: bytes, length: int, gram: int, whole, starts) -> np.ndarray:
     """Which bytes a repeated string covers, given whole samples and refined starts."""
     covered = np.zeros(len(raw) + 1, np.int32)
-    found = [np.asarray(starts, np.int64)]
-    found += [np.flatnonzero(part.settled(whole)) + part.base for part in segments(raw, length, gram)]
-    for at in found:
+    for at in (np.asarray(starts, np.int64), _settled(raw, length, gram, np.asarray(whole, np.int64))):
         np.add.at(covered, at, 1)
         np.add.at(covered, at + length, -1)
     return np.cumsum(covered[:-1]) > 0
