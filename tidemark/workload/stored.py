@@ -6,6 +6,7 @@ scratch root and returns what a reader of the store sees.
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.catalog import NOT_EMPTY, TABLES, Dataset, Gate, table_schema
@@ -338,6 +339,72 @@ def _refresh_rollup(spark, sf):
     return shown(rollup.read_rollup(spark, target, "ohlcv_monthly"))
 
 
+def _refresh_sql(unit: str, width: int, back: int, groups: str, measures: str) -> str:
+    """A rollup whose base tripled, of which only the buckets of the refresh window follow."""
+    rolled = f"""
+        SELECT CAST(CAST(date_trunc('{unit}', date) AS DATE) AS VARCHAR) AS bucket, {groups}, {measures}
+        FROM base GROUP BY ALL"""
+    low = f"d - INTERVAL {back} MONTH"
+    return f"""
+    WITH base AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS label, o_orderstatus AS part,
+                         CAST(sum(round(o_totalprice * 100)) AS DOUBLE) AS value
+                  FROM orders GROUP BY ALL),
+    edge AS (SELECT max(date) AS d FROM base),
+    bounds AS (
+      SELECT CASE WHEN date_trunc('{unit}', {low}) < {low} THEN date_trunc('{unit}', {low}) + INTERVAL {width} MONTH
+                  ELSE date_trunc('{unit}', {low}) END AS w_low,
+             date_trunc('{unit}', d - INTERVAL 1 DAY) AS w_high FROM edge),
+    old AS ({rolled.format(f="value")}), fresh AS ({rolled.format(f="value * 3")})
+    SELECT old.* FROM old, bounds WHERE NOT (CAST(bucket AS DATE) >= w_low AND CAST(bucket AS DATE) < w_high)
+    UNION ALL
+    SELECT fresh.* FROM fresh, bounds WHERE CAST(bucket AS DATE) >= w_low AND CAST(bucket AS DATE) < w_high"""
+
+
+def _refreshed(spark, sf, name: str, base: str, keys: dict[str, Column]):
+    """Base table loaded, rolled up, loaded again with tripled values, refreshed by its newest date."""
+    target = scratch_root(spark, name)
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderdate").cast("date").alias("date"), *[k.alias(n) for n, k in keys.items()],
+        cents("o_totalprice").alias("value"),
+    )
+    rows = orders.groupBy("date", *keys).agg(F.sum("value").cast("double").alias("value"))
+    rows = rows.withColumn("last_fetched_at", F.lit(BATCH_TS).cast("timestamp"))
+    load.load_table(spark, target, base, rows)
+    rollup.build_rollup(spark, target, name)
+    load.load_table(spark, target, base, rows.withColumn("value", F.col("value") * 3))
+    newest = PublishedTable(spark, target, TABLES[base].dataset()).max_date()
+    rollup.refresh_rollup(spark, target, name, newest)
+    return shown(rollup.read_rollup(spark, target, name))
+
+
+@query("refresh_rollup_yield", _refresh_sql(
+    "month", 1, 3, "part AS component, label AS tenor",
+    "avg({f}) AS avg_value, min({f}) AS min_value, max({f}) AS max_value, count(*) AS obs_count",
+))
+def _refresh_rollup_yield(spark, sf):
+    label, part = F.col("o_orderpriority"), F.col("o_orderstatus")
+    series = {"tenor": label, "component": part, "fred_series_id": F.concat(label, part)}
+    return _refreshed(spark, sf, "yield_monthly", "fred_yield_curves", series)
+
+
+@query("refresh_rollup_hicp", _refresh_sql(
+    "month", 1, 6, "label || part AS series_label",
+    "avg({f}) AS avg_value, last({f} ORDER BY date) AS latest_value, count(*) AS obs_count",
+))
+def _refresh_rollup_hicp(spark, sf):
+    series = F.concat("o_orderpriority", "o_orderstatus")
+    return _refreshed(spark, sf, "hicp_monthly", "ecb_hicp", {"series_label": series, "series_id": F.upper(series)})
+
+
+@query("refresh_rollup_gdp", _refresh_sql(
+    "quarter", 3, 24, "label || part AS country",
+    "avg({f}) AS avg_gdp, last({f} ORDER BY date) AS latest_gdp, count(*) AS obs_count",
+))
+def _refresh_rollup_gdp(spark, sf):
+    country = F.concat("o_orderpriority", "o_orderstatus")
+    return _refreshed(spark, sf, "gdp_quarterly", "eurostat_gdp", {"country": country})
+
+
 @query("retain_table", f"""
     WITH {_DAILY_BARS}
     SELECT ticker, CAST(date AS VARCHAR) AS date, price AS close FROM daily
