@@ -13,7 +13,7 @@ from tidemark import constants as K
 from tidemark.catalog import DATASETS
 from tidemark.operators.union import relaxed_union
 from tidemark.sources import bars, files, fundamentals, options, rates, statistics
-from tidemark.sources.landed import read_landed, read_landed_table
+from tidemark.sources.landed import header_lines, read_landed, read_landed_table
 
 BATCH = "2024-06-01 00:00:00"
 
@@ -252,6 +252,7 @@ def test_listing_shows_unreadable_files_without_counts(spark, tmp_path):
     rows = files.list_files(spark, str(tmp_path / "d")).collect()
     assert sorted((r["rows"] is None, r["rows"], r["columns"]) for r in rows) == [(False, 5, 2), (True, None, None)]
     assert all(r["bytes"] > 0 and not r["relative_path"].startswith("/") for r in rows)
+    assert all((r["reason"] is None) == (r["rows"] is not None) for r in rows)
 
 
 def test_read_all_unites_types(spark, tmp_path):
@@ -262,6 +263,24 @@ def test_read_all_unites_types(spark, tmp_path):
     assert relaxed_union(both).columns == ["v", "w"]
 
 
+def test_headers_of_files_of_several_splits(spark, tmp_path):
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\nKEY,OBS_VALUE\n" + "".join(f"a{n},{n}\n" for n in range(5_000)))
+    (folder / "b.csv").write_text("OBS_VALUE,KEY\r\n" + "".join(f"{n},b{n}\r\n" for n in range(5_000)))
+    (folder / "empty.csv").write_text("")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 10
+        heads = {r["file"][-5:]: r["header"] for r in header_lines(spark, str(folder)).collect()}
+        rows = read_landed_table(spark, str(folder)).select("KEY", "OBS_VALUE").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert heads == {"a.csv": "KEY,OBS_VALUE", "b.csv": "OBS_VALUE,KEY"}
+    assert sorted(map(tuple, rows)) == sorted((f"{x}{n}", str(n)) for x in "ab" for n in range(5_000))
+
+
 def test_files_with_other_headers_are_read_by_name(spark, tmp_path):
     folder = tmp_path / "tables"
     folder.mkdir()

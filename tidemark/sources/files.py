@@ -56,11 +56,11 @@ def csv_to_parquet(
     reader.csv(source).write.option("compression", "zstd").parquet(target)
 
 
-_LISTING_SCHEMA = "path STRING, bytes BIGINT, modified TIMESTAMP, rows BIGINT, columns INT"
+_LISTING_SCHEMA = "path STRING, bytes BIGINT, modified TIMESTAMP, rows BIGINT, columns INT, reason STRING"
 
 
-def _footer_counts(path: str) -> tuple[int | None, int | None]:
-    """(rows, columns) from a file's footer; unknown when it cannot be read."""
+def _footer_counts(path: str) -> tuple[int | None, int | None, str | None]:
+    """(rows, columns, None) from a file's footer, or the reason why it cannot be read in place of counts."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
@@ -70,24 +70,25 @@ def _footer_counts(path: str) -> tuple[int | None, int | None]:
         fs, inner = pafs.FileSystem.from_uri(uri)
         with fs.open_input_file(inner) as handle:
             meta = pq.read_metadata(handle)
-            return meta.num_rows, len(meta.schema.to_arrow_schema())
-    except Exception:
-        return None, None
+            return meta.num_rows, len(meta.schema.to_arrow_schema()), None
+    except (OSError, ValueError, NotImplementedError) as fault:  # Arrow's own errors are of these kinds
+        return None, None, f"{type(fault).__name__}: {fault}"
 
 
 def _add_footers(batches: Iterator) -> Iterator:
     for frame in batches:
         counts = [_footer_counts(path) for path in frame["path"]]
-        frame["rows"] = [rows for rows, _ in counts]
-        frame["columns"] = [columns for _, columns in counts]
+        frame["rows"] = [rows for rows, _, _ in counts]
+        frame["columns"] = [columns for _, columns, _ in counts]
+        frame["reason"] = [reason for _, _, reason in counts]
         yield frame.astype({"rows": "Int64", "columns": "Int32"})
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every Parquet file under ``root``: path, size, modified time, rows, columns.
+    """Every Parquet file under ``root``: path, size, modified time, rows, columns, reason.
 
     Only footers are read, inside the tasks. A file that cannot be read has
-    null counts.
+    null counts and the reason; a readable one has no reason.
     """
     listing = (
         spark.read.format("binaryFile")

@@ -45,6 +45,18 @@ def read_lines(spark: SparkSession, path: str, *envelope: str) -> DataFrame:
     return placed(spark.read.text(path)).withColumn("__envelope", fields).select("*", "__envelope.*").drop("__envelope")
 
 
+def header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The first line with text of each file: ``header, file``.
+
+    Files are read as lines and may be split; no task holds a file. Where a
+    first line stands is one hash aggregate over row numbers of the files'
+    first blocks, so no line is sorted.
+    """
+    lines = placed(spark.read.text(path)).where("block = 0")
+    first = lines.where(F.trim("raw") != "").groupBy("file").agg(F.min("row").alias("row"))
+    return lines.join(first, ["file", "row"]).select(F.col("raw").alias("header"), "file")
+
+
 def read_landed_table(
     spark: SparkSession, path: str, schema: str | None = None, sep: str = ","
 ) -> DataFrame:
@@ -52,17 +64,16 @@ def read_landed_table(
 
     Files may differ in which columns they have and in their order: those with
     the same header line are read together, and the groups are united by name.
+    Paths come to the driver, which lists them anyway, only where headers differ.
     """
     reader = spark.read.option("header", "true").option("sep", sep)
-    files = spark.read.text(path, wholetext=True)
-    header = F.regexp_replace(F.substring_index("value", "\n", 1), r"\r$", "")
-    groups = (
-        files.select(header.alias("header"), F.col("_metadata.file_path").alias("file"))
-        .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    )
-    if len(groups) < 2:
+    heads = header_lines(spark, path)
+    if heads.agg(F.min("header") == F.max("header")).first()[0] is not False:
         return (reader.schema(schema) if schema else reader).csv(path)
-    read = relaxed_union(*[reader.csv(group["files"]) for group in groups])
+    groups: dict[str, list[str]] = {}
+    for row in heads.orderBy("header", "file").toLocalIterator():
+        groups.setdefault(row["header"], []).append(row["file"])
+    read = relaxed_union(*[reader.csv(paths) for paths in groups.values()])
     if schema is None:
         return read
     wanted = T.StructType.fromDDL(schema)
