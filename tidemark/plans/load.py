@@ -44,7 +44,8 @@ def loadable(df: DataFrame, spec: TableSpec) -> tuple[DataFrame | None, str | No
 def load_table(spark: SparkSession, store: str, spec: TableSpec | str, df: DataFrame) -> tuple:
     """Load one table: replace its rows, or upsert them by primary key.
 
-    An empty source leaves the table as it is. Rows that break the declared
+    An empty source leaves the table as it is. Buckets whose rows come again
+    as they are keep their files, compacted or not. Rows that break the declared
     keys are set aside and counted in ``reason``: of rows with one primary key
     the one fetched last stays, rows with a null where none may be go. Returns
     a row of ``LOAD_SCHEMA``.
@@ -61,11 +62,13 @@ def load_table(spark: SparkSession, store: str, spec: TableSpec | str, df: DataF
     final = conform(with_defaults(rows, spec), spec.schema)
     total = final.agg(F.count(F.lit(1)), F.count_if(~_filled(spec))).first()
     folder = table.stage(dedupe_grain(final.where(_filled(spec)), spec.primary_key))
-    counts = table.staged_counts(folder, spec.schema)
+    found = table.staged_prints(folder, spec.schema)
+    counts = {name: rows for name, (rows, _) in found.items()}
     aside = _aside(total[1], total[0] - total[1] - sum(counts.values()))
     if not counts:
         return (spec.name, "skipped", aside or "no rows", 0, matched)
-    table.commit(base, folder, counts, spec.schema, replace_all=True)
+    prints = {name: mark for name, (_, mark) in found.items()}
+    table.commit(base, folder, counts, spec.schema, replace_all=True, prints=prints)
     return (spec.name, "loaded", aside, sum(counts.values()), matched)
 
 

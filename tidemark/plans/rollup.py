@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.catalog import NOT_EMPTY, TABLES, Dataset
+from tidemark.functions import time_bucket
 from tidemark.operators.aggregate import ROLLUPS, Rollup, roll_up
+from tidemark.plans.invalidation import behind, note, overlapping
 from tidemark.sinks.published import PublishedTable, bucket_day, bucket_start
 
 
@@ -66,9 +68,11 @@ def _base(spark: SparkSession, store: str, rollup: Rollup) -> PublishedTable:
 def build_rollup(spark: SparkSession, store: str, name: str) -> int:
     """Full rebuild of a rollup. Returns its rows."""
     rollup = ROLLUPS[name]
-    rows = _stored_form(roll_up(_base(spark, store, rollup).read(), rollup))
+    base = _base(spark, store, rollup)
+    seen = base.manifest()
+    rows = _stored_form(roll_up(base.read(manifest=seen), rollup))
     table = PublishedTable(spark, store, rollup_dataset(rollup, rows.schema))
-    return table.replace(rows).rows
+    return table.replace(rows, note(seen, ())).rows
 
 
 def refresh_rollup(spark: SparkSession, store: str, name: str, now: dt.date) -> int:
@@ -80,6 +84,8 @@ def refresh_rollup(spark: SparkSession, store: str, name: str, now: dt.date) ->
     rollup = ROLLUPS[name]
     first, end = refresh_window(rollup, now)
     base = _base(spark, store, rollup)
+    seen = base.manifest()
+    left = {d for d in behind(_probe(spark, store, rollup), base, seen, rollup) if not first <= d < end}
     source = base.read_dates(first, end - dt.timedelta(days=1))
     rows = _stored_form(roll_up(source, rollup))
     table = PublishedTable(spark, store, rollup_dataset(rollup, rows.schema))
@@ -88,12 +94,57 @@ def refresh_rollup(spark: SparkSession, store: str, name: str, now: dt.date) ->
     counts = table.staged_counts(folder, rows.schema)
     days = {n: bucket_day(n) for n in manifest.buckets}
     in_window = [n for n, day in days.items() if day is not None and first <= day < end]
-    table.commit(manifest, folder, counts, rows.schema, drop=in_window)
+    table.commit(manifest, folder, counts, rows.schema, drop=in_window, extra=note(seen, left))
     return sum(counts.values())
 
 
-def read_rollup(spark: SparkSession, store: str, name: str) -> DataFrame:
+def refresh_changed(spark: SparkSession, store: str, name: str, now: dt.date) -> list[dt.date]:
+    """Recompute the buckets of the refresh window whose base rows changed since they were computed.
+
+    Only base buckets that overlap these are read; where nothing changed,
+    nothing is read or published. Changed buckets outside the window stay
+    noted until a later window holds them. Returns the buckets recomputed.
+    """
     rollup = ROLLUPS[name]
-    probe = PublishedTable(spark, store, rollup_dataset(rollup, T.StructType([])))
-    return probe.read().withColumnRenamed("bucket_start", "bucket")
+    first, end = refresh_window(rollup, now)
+    base = _base(spark, store, rollup)
+    seen = base.manifest()
+    due = behind(_probe(spark, store, rollup), base, seen, rollup)
+    todo = {d for d in due if first <= d < end}
+    if not todo:
+        return []
+
+    def wanted(bucket: str | None) -> bool:
+        if bucket is None:
+            return False
+        return bool(todo & overlapping(base.dataset.bucket_width, dt.date.fromisoformat(bucket), rollup.width))
+
+    days = sorted(todo)
+    source = base.read(manifest=seen, keep=wanted)
+    rows = _stored_form(roll_up(source.where(time_bucket(rollup.width, rollup.date_column).isin(days)), rollup))
+    table = PublishedTable(spark, store, rollup_dataset(rollup, rows.schema))
+    manifest = table.manifest()
+    folder = table.stage(rows)
+    counts = table.staged_counts(folder, rows.schema)
+    gone = [n for n in manifest.buckets if bucket_day(n) in todo]
+    table.commit(manifest, folder, counts, rows.schema, drop=gone, extra=note(seen, due - todo))
+    return days
+
+
+def refresh_all_changed(spark: SparkSession, store: str, now: dt.date) -> DataFrame:
+    """``refresh_changed`` of every rollup whose base is stored: rollup, refreshed_buckets."""
+    out = [
+        (name, len(refresh_changed(spark, store, name, now)))
+        for name, rollup in ROLLUPS.items()
+        if _base(spark, store, rollup).exists()
+    ]
+    return spark.createDataFrame(out, "rollup STRING, refreshed_buckets INT")
+
+
+def _probe(spark: SparkSession, store: str, rollup: Rollup) -> PublishedTable:
+    return PublishedTable(spark, store, rollup_dataset(rollup, T.StructType([])))
+
+
+def read_rollup(spark: SparkSession, store: str, name: str) -> DataFrame:
+    return _probe(spark, store, ROLLUPS[name]).read().withColumnRenamed("bucket_start", "bucket")
 

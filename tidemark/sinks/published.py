@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.catalog import Dataset
+from tidemark.operators.merge import row_hash
 
 META_SCHEMA = (
     "dataset STRING, version BIGINT, location STRING, row_count BIGINT, column_count INT, "
@@ -46,7 +47,8 @@ class ConcurrentPublish(RuntimeError):
 @dataclass
 class Manifest:
     version: int
-    # Bucket folder name -> {"v": id of the version folder, "rows": row count, "compacted": bool}
+    # Bucket folder name -> {"v": id of the version folder, "rows": row count, "compacted": bool,
+    # "print": hash of the rows in any order, where the publish took one}
     buckets: dict[str, dict] = field(default_factory=dict)
     schema: T.StructType | None = None
 
@@ -263,6 +265,15 @@ class PublishedTable:
         rows = self.staged(folder, schema).groupBy(BUCKET).count().collect()
         return {bucket_folder(r[BUCKET]): r["count"] for r in rows}
 
+    def staged_prints(self, folder: str, schema: T.StructType) -> dict[str, tuple[int, str]]:
+        """``staged_counts`` with a hash of each bucket's rows, in any order, from the same read."""
+        staged = self.staged(folder, schema)
+        hashed = staged.select(BUCKET, row_hash(staged.drop(BUCKET)).alias("h"))
+        # The sum of the upper bits tells rows apart that cancel out in the other.
+        both = F.concat_ws(".", F.hex(F.bit_xor("h")), F.sum(F.shiftrightunsigned("h", 40)).cast("string"))
+        rows = hashed.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"), both.alias("print")).collect()
+        return {bucket_folder(r[BUCKET]): (r["n"], r["print"]) for r in rows}
+
     def commit(
         self,
         base: Manifest,
@@ -273,13 +284,27 @@ class PublishedTable:
         replace_all: bool = False,
         compacted: bool = False,
         extra: dict[str, str] | None = None,
+        prints: dict[str, str] | None = None,
     ) -> Manifest:
-        """Publish a staged folder on top of ``base`` and record its lineage."""
+        """Publish a staged folder on top of ``base`` and record its lineage.
+
+        With ``prints``, a bucket whose rows are those of ``base`` keeps its
+        files there, so that readers of the manifests see no change.
+        """
+        prints = prints or {}
+        same_schema = base.schema == schema
         buckets = {} if replace_all else dict(base.buckets)
         for name in drop:
             buckets.pop(name, None)
         for name, rows in counts.items():
+            old = base.buckets.get(name, {})
+            mark = old.get("print") if compacted else prints.get(name)
+            if mark and not compacted and same_schema and (old.get("print"), old.get("rows")) == (mark, rows):
+                buckets[name] = old
+                continue
             buckets[name] = {"v": folder, "rows": rows, "compacted": compacted}
+            if mark:
+                buckets[name]["print"] = mark
         merged = Manifest(base.version + 1, buckets, schema)
         self._write_manifest(merged, extra or {})
         return merged

@@ -92,5 +92,7 @@ def refresh_touched(base: PublishedTable, batch: DataFrame, rollup_name: str) ->
     table = PublishedTable(base.spark, base.store, rollup_dataset(rollup, rolled.schema))
     manifest = table.manifest()
     folder = table.stage(rolled)
-    table.commit(manifest, folder, table.staged_counts(folder, rolled.schema), rolled.schema)
+    counts = table.staged_counts(folder, rolled.schema)
+    # What the rollup notes of its base stays: these buckets are merely done early.
+    table.commit(manifest, folder, counts, rolled.schema, extra=table.extra())
     return touched

@@ -360,15 +360,20 @@ def _refresh_sql(unit: str, width: int, back: int, groups: str, measures: str) -
     SELECT fresh.* FROM fresh, bounds WHERE CAST(bucket AS DATE) >= w_low AND CAST(bucket AS DATE) < w_high"""
 
 
-def _refreshed(spark, sf, name: str, base: str, keys: dict[str, Column]):
-    """Base table loaded, rolled up, loaded again with tripled values, refreshed by its newest date."""
-    target = scratch_root(spark, name)
+def _daily_values(spark, sf, keys: dict[str, Column]):
+    """Order totals by day and ``keys``, as rows of a series table."""
     orders = table(spark, sf, "orders").select(
         F.col("o_orderdate").cast("date").alias("date"), *[k.alias(n) for n, k in keys.items()],
         cents("o_totalprice").alias("value"),
     )
     rows = orders.groupBy("date", *keys).agg(F.sum("value").cast("double").alias("value"))
-    rows = rows.withColumn("last_fetched_at", F.lit(BATCH_TS).cast("timestamp"))
+    return rows.withColumn("last_fetched_at", F.lit(BATCH_TS).cast("timestamp"))
+
+
+def _refreshed(spark, sf, name: str, base: str, keys: dict[str, Column]):
+    """Base table loaded, rolled up, loaded again with tripled values, refreshed by its newest date."""
+    target = scratch_root(spark, name)
+    rows = _daily_values(spark, sf, keys)
     load.load_table(spark, target, base, rows)
     rollup.build_rollup(spark, target, name)
     load.load_table(spark, target, base, rows.withColumn("value", F.col("value") * 3))
@@ -387,6 +392,38 @@ def _refresh_rollup_yield(spark, sf):
     return _refreshed(spark, sf, "yield_monthly", "fred_yield_curves", series)
 
 
+@query("refresh_changed", """
+    WITH base AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS tenor, o_orderstatus AS component,
+                         CAST(sum(round(o_totalprice * 100)) AS DOUBLE) AS value
+                  FROM orders GROUP BY ALL),
+    edge AS (SELECT max(date) AS d FROM base),
+    rolled AS (SELECT CAST(date_trunc('month', date) AS DATE) AS bucket, component, tenor, count(*) AS obs_count,
+                      avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value
+               FROM base GROUP BY ALL),
+    judged AS (SELECT rolled.*, month(bucket) % 2 = 0 AND bucket >= d - INTERVAL 3 MONTH
+                      AND bucket < date_trunc('month', d - INTERVAL 1 DAY) AS redone FROM rolled, edge)
+    SELECT CAST(bucket AS VARCHAR) AS bucket, component, tenor, obs_count, redone,
+           avg_value * f AS avg_value, min_value * f AS min_value, max_value * f AS max_value
+    FROM (SELECT *, CASE WHEN redone THEN 3 ELSE 1 END AS f FROM judged)""")
+def _refresh_changed(spark, sf):
+    # The base comes again as it is, then with other values in even months: only these are redone.
+    target = scratch_root(spark, "changed")
+    name, base = "yield_monthly", "fred_yield_curves"
+    label, part = F.col("o_orderpriority"), F.col("o_orderstatus")
+    keys = {"tenor": label, "component": part, "fred_series_id": F.concat(label, part)}
+    rows = _daily_values(spark, sf, keys)
+    load.load_table(spark, target, base, rows)
+    rollup.build_rollup(spark, target, name)
+    newest = PublishedTable(spark, target, TABLES[base].dataset()).max_date()
+    load.load_table(spark, target, base, rows)
+    done = rollup.refresh_changed(spark, target, name, newest)
+    even = F.col("value") * F.when(F.month("date") % 2 == 0, 3).otherwise(1)
+    load.load_table(spark, target, base, rows.withColumn("value", even))
+    done += rollup.refresh_changed(spark, target, name, newest)
+    redone = F.col("bucket").isin(done) if done else F.lit(False)
+    return shown(rollup.read_rollup(spark, target, name).withColumn("redone", redone))
+
+
 @query("refresh_rollup_hicp", _refresh_sql(
     "month", 1, 6, "label || part AS series_label",
     "avg({f}) AS avg_value, last({f} ORDER BY date) AS latest_value, count(*) AS obs_count",
