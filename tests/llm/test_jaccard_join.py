@@ -109,6 +109,24 @@ def test_tree_leaves_nothing_out():
             assert (i, j) in found
 
 
+@pytest.mark.parametrize("groups", [32, 1 << 15])
+def test_leaf_bounds(groups):
+    draw = np.random.default_rng(groups)
+    x, y = (draw.integers(0, 15, (n, groups)).astype(np.uint16) for n in (9, 32))
+    want = [[int(np.minimum(a, b).sum()) for b in y] for a in x]
+    assert jaccard_join._leaf_bounds(x, y).tolist() == want
+
+
+def test_long_points_are_folded_in_a_tree():
+    draw = np.random.default_rng(1)
+    sets = [np.unique(draw.integers(0, 1 << 63, 70_000, np.uint64)) for _ in range(2)]
+    sets.append(np.unique(np.concatenate([sets[0][:66_000], sets[1][:900]])))
+    order = np.argsort([len(s) for s in sets])
+    tree = Tree(np.array([len(sets[k]) for k in order]), order, [vector(sets[k]) for k in order])
+    pairs = {tuple(sorted(order[list(p)].tolist())) for p in tree.pairs(80)}
+    assert (0, 2) in pairs and (0, 1) not in pairs
+
+
 def test_bounds_hold_for_folded_points():
     a, b = shingles(prose(1, 400), 4), shingles(prose(1, 330), 4)
     x, y = (counts_of([vector(s)])[0] for s in (a, b))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,19 +22,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(df: DataFrame, rows: int = 1_000) -> DataFrame:
-    """``df``, in a session whose Arrow batches hold at most ``rows`` rows.
+def small_batches(df: DataFrame, rows: int = 1_000, size: int = 4 << 20) -> DataFrame:
+    """``df``, in a session whose Arrow batches end at ``rows`` rows or about ``size`` bytes.
 
     Texts are long. A batch exists in the JVM and in the Python worker at once,
     and each worker of an executor has its own.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     conf = df.sparkSession.conf
-    if not 0 < int(conf.get(key)) <= rows:
-        conf.set(key, str(rows))
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        # Spark shows a size with its unit; a value that is no plain number is replaced.
+        now = str(conf.get(key)).removesuffix("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(key, str(most))
     return df
 
 
+def release() -> None:
+    """Memory this worker has freed goes back to the system; the JVM and the other workers need it."""
+    pa.default_memory_pool().release_unused()
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

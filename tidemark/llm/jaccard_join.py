@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SlotFilter, small_batches, stored, text_or_empty, without
+from tidemark.llm.common import SlotFilter, release, small_batches, stored, text_or_empty, without
 from tidemark.llm.components import components
 
 U = np.uint64
@@ -28,8 +28,12 @@ COUNTERS = 1 << 17
 LEAF = 32
 #: Most points of a block in one task; larger blocks are dealt out as pairs of parts.
 PART = 2048
+#: Rows of small blocks that share a task.
+TASK_ROWS = 4_000
 #: Shingles of the whole sets in a task, on average, at most.
-TASK_SHINGLES = 4_000_000
+TASK_SHINGLES = 1_000_000
+#: Most groups of a point in a tree: longer points are folded, which only loosens their bounds.
+GROUPS = 1 << 14
 
 
 class _Words(dict):
@@ -109,6 +113,13 @@ def folded(v: np.ndarray, groups: int) -> np.ndarray:
     return v.reshape(*v.shape[:-1], -1, groups).sum(-2, dtype=np.uint16)
 
 
+def _leaf_bounds(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper bound of the overlap of every row of ``x`` with every row of ``y``, a few rows at a time."""
+    step = max(1, (1 << 19) // y.size)
+    some = [np.minimum(x[k : k + step, None, :], y[None, :, :]).sum(2, dtype=np.int64) for k in range(0, len(x), step)]
+    return np.concatenate(some)
+
+
 def may_link(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     return (100 + percent) * overlap >= percent * sizes
 
@@ -136,7 +147,7 @@ class Tree:
         self.levels: list[list[tuple]] = [[]]
         for low in range(0, len(sizes), LEAF):
             rows = np.arange(low, min(low + LEAF, len(sizes)))
-            groups = 2 * min(len(vectors[k]) for k in rows)
+            groups = min(GROUPS, 2 * min(len(vectors[k]) for k in rows))
             points = None
             if groups:
                 points = np.concatenate([folded(counts_of([vectors[k]]), groups) for k in rows])
@@ -185,8 +196,7 @@ class Tree:
             if one[1] is not None and two[1] is not None:
                 groups = min(one[1].shape[1], two[1].shape[1])
                 x, y = folded(one[1], groups), folded(two[1], groups)
-                bound = np.minimum(x[:, None, :], y[None, :, :]).sum(2, dtype=np.int64)
-                open_ &= may_link(bound, sizes, percent)
+                open_ &= may_link(_leaf_bounds(x, y), sizes, percent)
             x, y = np.nonzero(open_)
             found.append(np.stack([a[x], b[y]], 1))
         return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
@@ -294,7 +304,7 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 def _dealt(inside: DataFrame) -> DataFrame:
     """The rows of blocks (token, doc_id, class, rows) dealt out to tasks, with their part and the parts (i, j) to compare.
 
-    Whole small blocks share tasks of about 10,000 rows. A large block is dealt
+    Whole small blocks share tasks of about ``TASK_ROWS`` rows. A large block is dealt
     by class: a class of ``PART`` rows or more has parts of its own, the others
     share parts. Only two parts that hold different classes meet, in a task of
     their own, so a hot class is never copied against itself.
@@ -302,7 +312,7 @@ def _dealt(inside: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     whole = inside.where(F.col("rows") <= PART)
     count = inside.agg(F.count_if(F.col("rows") <= PART).alias("whole"), F.count_if(F.col("rows") > PART).alias("large")).first()
-    tasks = max(1, -(-count["whole"] // 10_000))
+    tasks = max(1, -(-count["whole"] // TASK_ROWS))
     whole = whole.withColumns({"part": zero, "i": zero, "j": zero}).withColumn("task", F.pmod(F.xxhash64("token"), F.lit(tasks)))
     if not count["large"]:
         return whole.drop("rows")
@@ -328,14 +338,22 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((many[place] == few).sum())
 
 
-def _searched(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
+def _searched(blocks: DataFrame, percent: int) -> DataFrame:
+    """Rows of blocks that are in some pair which points alone leave open, each once a block."""
+    return _search(blocks, percent, checked=False)
+
+
+def _linked(blocks: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) by the whole sets of the rows: of each task a spanning forest of its classes."""
+    return _search(blocks, percent, checked=True)
+
+
+def _search(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
     """Blocks searched for pairs over classes, each pair in one block where that can be told.
 
-    First, by points alone: the rows that are in some pair left open, each once
-    a block. Then, ``checked`` by the whole sets of these rows: links, of each
-    task a spanning forest of its classes. Classes that a task has linked
-    already are not compared again. Either way there are at most as many rows
-    out as in, however many pairs a block has.
+    Where whole sets are ``checked``, classes that a task has linked already
+    are not compared again. Either way there are at most as many rows out as
+    in, however many pairs a block has.
     """
     same = ["task", "token", "doc_id", "class", "part", "i", "j", "heads"]
 
@@ -373,6 +391,7 @@ def _searched(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
         if len(pairs):
             met = np.array([not any(t < token[x] for t in set(heads[x]) & set(heads[y])) for x, y in pairs.tolist()])
             pairs = pairs[met]
+        release()
         if not checked:
             return frame.loc[np.unique(pairs), same]
         ids, made = frame["doc_id"].to_numpy(), frame["made"].to_list()
@@ -461,12 +480,12 @@ def link(
     needed = needed.where("low < high OR high = token").select("token")
     inside = stored(inside.join(needed, "token", "left_semi"), "needed")
     dealt = _dealt(inside).join(light.join(heads_of, "doc_id"), "doc_id")
-    left = stored(_searched(dealt, percent, checked=False), "open")
+    left = stored(_searched(dealt, percent), "open")
     sets = stored(_open_sets(known, left.select("doc_id"), words).join(left.select("doc_id").distinct(), "doc_id", "left_semi"), "sets")
     volume = left.join(sets.select("doc_id", "n"), "doc_id").agg(F.sum("n")).first()[0] or 0
     shared = F.pmod(F.xxhash64("token"), F.lit(max(1, -(-volume // TASK_SHINGLES))))
     left = left.withColumn("task", F.when((F.col("i") == 0) & (F.col("j") == 0), shared).otherwise(F.col("task")))
-    second = stored(_searched(left.join(sets, "doc_id"), percent, checked=True), "links")
+    second = stored(_linked(left.join(sets, "doc_id"), percent), "links")
 
     found = components(first.unionByName(second).unionByName(equal))
     named = found.select(F.col("id").alias("doc_id"), "component")
