@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -41,6 +43,9 @@ def small_batches(df: DataFrame, rows: int = 1_000, size: int = 4 << 20) -> Data
 def release() -> None:
     """Memory this worker has freed goes back to the system; the JVM and the other workers need it."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_or_empty(column: str) -> Column:

@@ -129,8 +129,32 @@ def sorted_runs(found: DataFrame, spans: int, keep: str = "largest") -> DataFram
     )
 
 
-def merge_round(pages: DataFrame, fan_in: int, keep: str = "largest") -> DataFrame:
-    """Each ``fan_in`` neighbouring runs become one, digest range by digest range."""
+def _rows(entries: np.ndarray, copies: np.ndarray) -> pa.Table:
+    """(digest, check, best, copies), a row for each entry."""
+    raw = entries.view(np.uint8).reshape(-1, _ENTRY)
+
+    def number(start: int) -> np.ndarray:
+        return np.ascontiguousarray(raw[:, start : start + 8]).view(">u8").ravel().astype(np.uint64)
+
+    ids = pa.array((number(49) ^ _SIGN).view(np.int64), mask=raw[:, _KEY] == 0)
+    check = [pa.array(number(32).astype(np.int32)), pa.array(number(40).view(np.int64))]
+    digest = np.ascontiguousarray(raw[:, :32])
+    offsets = np.arange(0, digest.size + 1, 32, dtype=np.int32)
+    return pa.table(
+        {
+            "digest": pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(offsets), pa.py_buffer(digest)]),
+            "check": pa.StructArray.from_arrays(check, ["size", "hash"]),
+            "best": pa.StructArray.from_arrays([ids, pa.array(number(57).view(np.int64))], ["doc_id", "row"]),
+            "copies": pa.array(copies),
+        }
+    )
+
+
+def merge_round(pages: DataFrame, fan_in: int, keep: str = "largest", last: bool = False) -> DataFrame:
+    """Each ``fan_in`` neighbouring runs become one, digest range by digest range.
+
+    The ``last`` round gives a row for each entry in place of pages.
+    """
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         runs = [
@@ -138,6 +162,8 @@ def merge_round(pages: DataFrame, fan_in: int, keep: str = "largest") -> DataFra
             for e, c in zip(table.column("entries"), table.column("copies"))
         ]
         entries, copies = merge_sorted(runs, keep)
+        if last:
+            return _rows(entries, copies)
         return pa.table(
             {
                 "run": pa.array([key[0].as_py()], pa.int32()),
@@ -148,38 +174,7 @@ def merge_round(pages: DataFrame, fan_in: int, keep: str = "largest") -> DataFra
         )
 
     grouped = pages.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")).groupBy("run", "span")
-    return grouped.applyInArrow(merge, _PAGES)
-
-
-def _unpack(pages: DataFrame) -> DataFrame:
-    """(digest, check, best, copies), a row for each entry."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for entries, copies in zip(batch.column("entries"), batch.column("copies")):
-                raw = np.frombuffer(entries.as_py(), np.uint8).reshape(-1, _ENTRY)
-
-                def number(start: int) -> np.ndarray:
-                    return np.ascontiguousarray(raw[:, start : start + 8]).view(">u8").ravel().astype(np.uint64)
-
-                ids = pa.array((number(49) ^ _SIGN).view(np.int64), mask=raw[:, _KEY] == 0)
-                check = [pa.array(number(32).astype(np.int32)), pa.array(number(40).view(np.int64))]
-                best = [ids, pa.array(number(57).view(np.int64))]
-                digest = np.ascontiguousarray(raw[:, :32])
-                offsets = np.arange(0, digest.size + 1, 32, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.Array.from_buffers(
-                            pa.binary(), len(raw), [None, pa.py_buffer(offsets), pa.py_buffer(digest)]
-                        ),
-                        pa.StructArray.from_arrays(check, ["size", "hash"]),
-                        pa.StructArray.from_arrays(best, ["doc_id", "row"]),
-                        pa.array(np.frombuffer(copies.as_py(), np.int64)),
-                    ],
-                    ["digest", "check", "best", "copies"],
-                )
-
-    return pages.mapInArrow(rows, _MERGED)
+    return grouped.applyInArrow(merge, _MERGED if last else _PAGES)
 
 
 def merge_runs(found: DataFrame, keep: str = "largest", fan_in: int = 4) -> DataFrame:
@@ -197,11 +192,10 @@ def merge_runs(found: DataFrame, keep: str = "largest", fan_in: int = 4) -> Data
     rows, last = found.agg(F.count(F.lit(1)), F.max("run")).first()
     pages = sorted_runs(found, max(8, -(-rows // PAGE_ENTRIES)), keep)
     runs = (last or 0) + 1
-    while True:
+    while runs > fan_in:
         pages = merge_round(pages, fan_in, keep)
         runs = -(-runs // fan_in)
-        if runs <= 1:
-            return _unpack(pages)
+    return merge_round(pages, fan_in, keep, last=True)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:

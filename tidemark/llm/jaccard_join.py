@@ -38,7 +38,7 @@ GROUPS = 1 << 14
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 100_000:
+        if len(self) >= 30_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -217,6 +217,7 @@ def _sketch(rows: DataFrame, words: int) -> DataFrame:
             if slots:
                 counters += np.bincount(np.concatenate(slots), minlength=COUNTERS)
             yield pd.DataFrame(out, columns=["doc_id", "n", "signature", "counter"]).astype({"doc_id": "Int64", "counter": "Int32"})
+        release()
         used = np.flatnonzero(counters)
         yield pd.DataFrame({
             "doc_id": None, "n": counters[used], "signature": None, "counter": used,
@@ -245,6 +246,7 @@ def _points(rows: DataFrame, words: int, percent: int, weight: np.ndarray, alike
                 prefix = made[order[: len(made) - least + 1]].view(np.int64)
                 out.append((doc, len(made), xxhash.xxh3_128_digest(made.tobytes()), vector(made), prefix, again))
             yield pd.DataFrame(out, columns=["doc_id", "n", "signature", "point", "prefix", "again"])
+        release()
 
     schema = "doc_id long, n long, signature binary, point binary, prefix array<long>, again boolean"
     made = stored(rows.withColumn("slot", copies.slot("doc_id")).mapInPandas(point, schema), "points")
@@ -262,6 +264,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Da
             some = batch[wanted.held(batch["slot"])]
             made = [shingles(text, words).view(np.int64) for text in some["text"]]
             yield pd.DataFrame({"doc_id": some["doc_id"], "made": pd.Series(made, index=some.index, dtype=object)})
+        release()
 
     found = rows.withColumn("slot", wanted.slot("doc_id")).mapInPandas(sets, "doc_id long, made array<long>")
     left, right = (found.withColumnsRenamed({"doc_id": x, "made": f"set_{x}"}) for x in "ab")
@@ -281,6 +284,7 @@ def _open_sets(rows: DataFrame, open_ids: DataFrame, words: int) -> DataFrame:
             made = [shingles(text, words) for text in some["text"]]
             out = [(doc, len(m), vector(m), m.tobytes()) for doc, m in zip(some["doc_id"], made) if len(m)]
             yield pd.DataFrame(out, columns=["doc_id", "n", "point", "made"])
+        release()
 
     return rows.withColumn("slot", wanted.slot("doc_id")).mapInPandas(sets, "doc_id long, n long, point binary, made binary")
 
@@ -368,6 +372,8 @@ def _search(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
         return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
     def search(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        # What the group before this one held is free now.
+        release()
         frame = frame.sort_values(["token", "i", "j", "n", "doc_id"], ignore_index=True)
         block = frame[["token", "i", "j"]].to_numpy()
         starts = np.flatnonzero(np.append(True, (block[1:] != block[:-1]).any(1)))
@@ -391,7 +397,6 @@ def _search(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
         if len(pairs):
             met = np.array([not any(t < token[x] for t in set(heads[x]) & set(heads[y])) for x, y in pairs.tolist()])
             pairs = pairs[met]
-        release()
         if not checked:
             return frame.loc[np.unique(pairs), same]
         ids, made = frame["doc_id"].to_numpy(), frame["made"].to_list()
