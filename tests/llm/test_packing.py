@@ -33,6 +33,16 @@ def test_word_by_word_is_the_tokenizer():
         assert got == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_frequent_words_stay_known():
+    encoder, made = WordEncoder(PATH, limit=20), []
+    make = encoder.words.make
+    encoder.words.make = lambda word: made.append(word) or make(word)
+    for k in range(200):
+        encoder.encode(f"frequent rare{k}x")
+    assert made.count("frequent") == 1
+    assert len(encoder.words) + len(encoder.words.old) <= 20
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_pieces_and_places(hard, capacity):
     rows = pack(pieces(hard, PATH, capacity), capacity, shard_pieces=50).collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from struct import pack
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -24,15 +25,21 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Kept(dict):
-    """Ids of what was asked for before, as little-endian 32-bit bytes; ``limit`` entries at most."""
+    """Ids of what was asked for before, as little-endian 32-bit bytes; ``limit`` entries at most.
+
+    Half of them are young. When these are full they grow old, and old ones not asked for since are forgotten.
+    """
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit // 2, {}
 
     def __missing__(self, key: str) -> bytes:
-        ids = self.make(key)
+        ids = self.old.pop(key, None)
+        if ids is None:
+            ids = self.make(key)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
         self[key] = ids
         return ids
@@ -52,10 +59,19 @@ class WordEncoder:
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.parts = _Kept(self._part, limit // 2)
-        self.words = _Kept(lambda word: b"".join(map(self.parts.__getitem__, _PARTS.findall(word))), limit)
+        self.words = _Kept(self._word, limit)
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self._part(word)
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(word)))
 
     def _part(self, part: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(part.translate(self.letters))], "<u4").tobytes()
+        # Visible ASCII stands for itself.
+        if not (part.isascii() and part.isprintable()):
+            part = part.translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(part)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         try:
