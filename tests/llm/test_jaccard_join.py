@@ -87,6 +87,34 @@ def test_hot_classes_are_not_copied_against_themselves(spark, monkeypatch):
     assert large.groupBy("task").count().agg(F.max("count")).first()[0] < 4 * 8
 
 
+def test_blocks_hold_only_rows_that_may_link(spark, monkeypatch):
+    kept, stored = {}, jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, label: kept.setdefault(label, stored(df, label)))
+    words = prose(1, 200).split()
+    texts = [" ".join(words[:k]) for k in (100, 150, 200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert result(docs) == brute(docs, 4, 85)
+    # They share many shingles, but none is close in size to another.
+    assert kept["blocks"].count() == 0
+
+
+def test_a_task_gets_a_set_once(spark, monkeypatch):
+    given, linked = [], jaccard_join._linked
+    monkeypatch.setattr(jaccard_join, "_linked", lambda blocks, percent: given.append(blocks) or linked(blocks, percent))
+    draw, texts = random.Random(7), []
+    for group in range(6):
+        words = prose(group, 150).split()
+        for _ in range(8):
+            some = list(words)
+            for _ in range(2):
+                some[draw.randrange(len(some))] = str(draw.random())
+            texts.append(" ".join(some))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert result(docs) == brute(docs, 4, 85)
+    sets = given[0].select("task", "doc_id")
+    assert sets.count() and sets.count() == sets.distinct().count()
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     assert result(docs) == brute(docs, 4, 85)

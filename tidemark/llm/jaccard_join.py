@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SlotFilter, release, small_batches, stored, text_or_empty, without
@@ -254,6 +254,31 @@ def _points(rows: DataFrame, words: int, percent: int, weight: np.ndarray, alike
     return made.where("NOT again").unionByName(first.select(made.columns)).drop("again", "signature")
 
 
+def _blocks(points: DataFrame, percent: int) -> DataFrame:
+    """(token, doc_id, rows, leader) of the rows that may link inside their block, by size and place; ``rows`` counts all.
+
+    Of two linked sets the smaller one has a shared token among the first of its
+    prefix already, as the overlap must reach ``percent`` of the larger one too.
+    So a row stays if a larger set close in size follows such an early row of
+    its own, or if such a row of a smaller set, close in size, comes before it.
+    Sizes are dense in blocks over ``PART`` rows, which stay whole and are dealt by
+    class. One shuffle of the tokens; sizes and counts come from windows over it.
+    """
+    early = F.col("pos") < F.expr(f"n - (2 * {percent} * n + {99 + percent}) div {100 + percent} + 1")
+    tokens = points.select("doc_id", "n", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "doc_id", (2 * F.col("n") + F.when(early, 0).otherwise(1)).alias("place")
+    )
+    by_size = Window.partitionBy("token").orderBy("place")
+    every = by_size.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    n, early = F.expr("place div 2"), F.col("place") % 2 == 0
+    before = F.last(F.when(early, n), ignorenulls=True).over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    sized = tokens.withColumns({"before": before, "after": F.lead(n).over(by_size), "rows": F.count(F.lit(1)).over(every)})
+    close = sized.where(
+        (F.col("rows") > PART) | (100 * F.col("before") >= percent * n) | (early & (100 * n >= percent * F.col("after")))
+    )
+    return close.select("token", "doc_id", "rows", F.min("doc_id").over(Window.partitionBy("token")).alias("leader"))
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link. Only texts whose id may be in a pair are looked at again."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
@@ -334,6 +359,30 @@ def _dealt(inside: DataFrame) -> DataFrame:
     return whole.drop("rows").unionByName(apart)
 
 
+def _gathered(left: DataFrame) -> DataFrame:
+    """(task, doc_id, class, heads, blocks) of open rows, so that a task gets a document's set once for all its blocks.
+
+    Blocks that share documents go to one task: each follows the smallest id
+    near it, two steps far. Where too much would meet, a block goes by its token.
+    """
+    single = (F.col("i") == 0) & (F.col("j") == 0)
+    some = left.where(single).select("token", "doc_id", "n")
+    first = some.groupBy("token").agg(F.min("doc_id").alias("first"))
+    near = some.join(first, "token").groupBy("doc_id").agg(F.min("first").alias("near"))
+    home = stored(some.join(near, "doc_id").groupBy("token").agg(F.min("near").alias("home"), F.sum("n").alias("volume")), "homes")
+    volume = home.agg(F.sum("volume")).first()[0] or 0
+    tasks = F.lit(max(1, -(-volume // TASK_SHINGLES)))
+    small = home.groupBy("home").agg(F.sum("volume").alias("volume")).where(F.col("volume") <= TASK_SHINGLES).select("home")
+    at = home.join(small.withColumn("small", F.lit(True)), "home", "left").select(
+        "token", F.pmod(F.when(F.col("small"), F.xxhash64("home")).otherwise(F.xxhash64("token")), tasks).alias("shared")
+    )
+    placed = left.join(at, "token", "left").withColumn("task", F.when(single, F.col("shared")).otherwise(F.col("task")))
+    return placed.groupBy("task", "doc_id").agg(
+        F.first("class").alias("class"), F.first("heads").alias("heads"),
+        F.collect_set(F.array("token", "part", "i", "j")).alias("blocks"),
+    )
+
+
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     """How many values two sorted sets share."""
     few, many = (a, b) if len(a) <= len(b) else (b, a)
@@ -348,7 +397,7 @@ def _searched(blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def _linked(blocks: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) by the whole sets of the rows: of each task a spanning forest of its classes."""
+    """Links (a, b) by the whole sets of rows as ``_gathered``: of each task a spanning forest of its classes."""
     return _search(blocks, percent, checked=True)
 
 
@@ -359,7 +408,7 @@ def _search(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
     are not compared again. Either way there are at most as many rows out as
     in, however many pairs a block has.
     """
-    same = ["task", "token", "doc_id", "class", "part", "i", "j", "heads"]
+    same = ["task", "token", "doc_id", "class", "part", "i", "j", "heads", "n"]
 
     def small(frame: pd.DataFrame, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right = [], []
@@ -374,6 +423,10 @@ def _search(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
     def search(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         # What the group before this one held is free now.
         release()
+        if checked:
+            own = [np.stack(blocks) for blocks in frame["blocks"]]
+            frame = frame.drop(columns="blocks").iloc[np.repeat(np.arange(len(frame)), [len(b) for b in own])]
+            frame[["token", "part", "i", "j"]] = np.concatenate(own)
         frame = frame.sort_values(["token", "i", "j", "n", "doc_id"], ignore_index=True)
         block = frame[["token", "i", "j"]].to_numpy()
         starts = np.flatnonzero(np.append(True, (block[1:] != block[:-1]).any(1)))
@@ -418,7 +471,7 @@ def _search(blocks: DataFrame, percent: int, checked: bool) -> DataFrame:
                 out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    rows = "task long, token long, doc_id long, class long, part long, i long, j long, heads array<long>"
+    rows = "task long, token long, doc_id long, class long, part long, i long, j long, heads array<long>, n long"
     return blocks.groupBy("task").applyInPandas(search, "a long, b long" if checked else rows)
 
 
@@ -456,9 +509,7 @@ def link(
     points = _points(known, words, percent, weight, alike)
     light = points.drop("prefix")
 
-    tokens = points.select("doc_id", F.explode("prefix").alias("token"))
-    blocks = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("leader"))
-    kept = stored(tokens.join(blocks.where("rows > 1"), "token"), "blocks")
+    kept = stored(_blocks(points, percent), "blocks")
 
     # First links: each document with the leaders of its first and last block.
     ends = kept.groupBy("doc_id").agg(
@@ -486,11 +537,8 @@ def link(
     inside = stored(inside.join(needed, "token", "left_semi"), "needed")
     dealt = _dealt(inside).join(light.join(heads_of, "doc_id"), "doc_id")
     left = stored(_searched(dealt, percent), "open")
-    sets = stored(_open_sets(known, left.select("doc_id"), words).join(left.select("doc_id").distinct(), "doc_id", "left_semi"), "sets")
-    volume = left.join(sets.select("doc_id", "n"), "doc_id").agg(F.sum("n")).first()[0] or 0
-    shared = F.pmod(F.xxhash64("token"), F.lit(max(1, -(-volume // TASK_SHINGLES))))
-    left = left.withColumn("task", F.when((F.col("i") == 0) & (F.col("j") == 0), shared).otherwise(F.col("task")))
-    second = stored(_linked(left.join(sets, "doc_id"), percent), "links")
+    sets = _open_sets(known, left.select("doc_id"), words)
+    second = stored(_linked(stored(_gathered(left), "gathered").join(sets, "doc_id"), percent), "links")
 
     found = components(first.unionByName(second).unionByName(equal))
     named = found.select(F.col("id").alias("doc_id"), "component")
