@@ -43,6 +43,33 @@ def test_frequent_words_stay_known():
     assert len(encoder.words) + len(encoder.words.old) <= 20
 
 
+def test_batch_is_text_by_text():
+    draw = random.Random(2)
+    texts = ["", " \n\xa0", "One\x85two\x0bthree\xa0four", "日本 語", "a<|endoftext|>b", "x\x1cy", "don't 'sx", "\n\n", "x\udc80"]
+    texts += ["".join(chr(draw.randrange(256)) for _ in range(draw.randrange(90))) for _ in range(60)]
+    draw.shuffle(texts)
+    whole = Tokenizer.from_file(PATH)
+    want = [whole.encode(t.encode("utf-8", "replace").decode(), add_special_tokens=False).ids for t in texts]
+    for limit in (8, 100_000):
+        got = WordEncoder(PATH, limit=limit).encode_all(texts)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+    assert WordEncoder(PATH).encode_all([]) == []
+
+
+def test_words_of_a_batch_are_looked_up_once():
+    encoder, asked = WordEncoder(PATH), Counter()
+    words = encoder.words
+
+    class Counted(dict):
+        def __missing__(self, part):
+            asked[part] += 1
+            return words[part]
+
+    encoder.words = Counted()
+    encoder.encode_all([f"frequent rare{k}x Frequent\tfrequent" for k in range(200)])
+    assert asked["frequent"] == 1 and asked["rare"] == 200
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_pieces_and_places(hard, capacity):
     rows = pack(pieces(hard, PATH, capacity), capacity, shard_pieces=50).collect()

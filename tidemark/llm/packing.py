@@ -38,8 +38,8 @@ def pieces(
         words = encoder(tokenizer)
         for batch in batches:
             out: list[tuple] = []
-            for row, doc, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-                ids = words.encode(text) + end
+            for row, doc, ids in zip(batch["row"], batch["doc_id"], words.encode_all(batch["text"])):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     own = (np.frombuffer(part, "<u4").astype(np.int32),) if with_ids else ()
