@@ -58,6 +58,28 @@ def test_stretches_of_long_texts(spark, monkeypatch):
     assert result(docs, length=60, gram=42) == brute(docs, 60)
 
 
+def _around_passage(seed: int) -> str:
+    passage, draw = "".join(random.Random(400).choices("abcdefgh", k=390)), random.Random(seed)
+    return "".join(draw.choices("ijklmnop", k=200)) + passage + "".join(draw.choices("ijklmnop", k=200))
+
+
+@pytest.mark.parametrize("pair", [(333, 45306), (54465, 60801)])
+def test_short_passage_of_many_texts_stays(spark, pair):
+    """Neighbourhoods of a passage of 390 bytes whose hashes agree in 32 bits: no 400 bytes repeat."""
+    docs = spark.createDataFrame([(k, _around_passage(k)) for k in pair], "doc_id long, text string")
+    assert {(r.doc_id, r.n_removed) for r in remove_repeats(docs).collect()} == {(k, 0) for k in pair}
+    assert result(docs) == brute(docs, 400)
+
+
+@pytest.mark.parametrize("doc", [1, None])
+def test_rows_of_one_id_are_told_apart(spark, doc):
+    """Two texts of one id (or of none) that have the same 32-bit hash; the first also comes under another id."""
+    words = "a 4462" + " one" * 150
+    other = "b 100578" + "".join(f" {k}" for k in range(1000, 1150))
+    docs = spark.createDataFrame([(doc, words), (doc, other), (2, words + "!")], "doc_id long, text string")
+    assert result(docs) == brute(docs, 400)
+
+
 def test_spans_and_kept(spark):
     docs = spark.createDataFrame([(1, "x" + "abcdefghij" * 6), (2, "abcdefghij" * 6 + "é")], "doc_id long, text string")
     rows = {r.doc_id: r for r in remove_repeats(docs, length=60, gram=42, with_text=True).collect()}
